@@ -20,6 +20,12 @@ from vigiltx.operators.features import both_sides
 DAY = 86_400
 
 
+def _slice(second: Column, width: int) -> Column:
+    """Index of the time slice. Declared never NULL, so that Spark adds no null filter
+    of its own to one of several uses and they share one shuffle."""
+    return F.coalesce(F.floor(second / width), F.lit(0))
+
+
 def to_currency(tx: DataFrame, name: str = "converted", rates: dict[str, float] = RATES) -> DataFrame:
     return tx.withColumn(name, convert(F.col("amount_usd"), F.col("currency"), rates))
 
@@ -105,12 +111,12 @@ def burst_sessions(tx: DataFrame, gap_seconds: int = 59, min_events: int = 1) ->
         .groupBy(F.col("origin").alias("customer_id"), second.alias("started"))
         .agg(F.count("*").alias("events"), F.sum(cents(F.col("amount_usd"))).alias("cents"))
         .withColumn("ended", F.col("started"))
-        .withColumn("slice", F.floor(F.col("started") / width))
+        .withColumn("slice", _slice(F.col("started"), width))
     )
     local = _chain(ticks, ["customer_id", "slice"], gap_seconds)
     near_start = F.col("started") - F.col("slice") * width <= gap_seconds
     near_end = (F.col("slice") + 1) * width - F.col("ended") <= gap_seconds
-    at_border = near_start | near_end
+    at_border = F.coalesce(near_start | near_end, F.lit(True))  # as in _slice
     across = _chain(local.filter(at_border), ["customer_id"], gap_seconds)
     sessions = local.filter(~at_border).drop("slice").unionByName(across)
     return sessions.filter(F.col("events") >= min_events).select(
@@ -168,7 +174,8 @@ def pass_through(
     last day itself is looked at by the second.
     """
     amount = F.col("amount_usd")
-    timed = tx.filter(F.col("tx_ts").isNotNull())
+    # Filtered on the very expression used below, so both uses of by_second are one plan.
+    timed = tx.filter(F.unix_seconds("tx_ts").isNotNull())
     received = (
         timed.filter(F.col("channel") == inbound_channel)
         .groupBy(F.col("destination").alias("customer_id"))
@@ -178,51 +185,48 @@ def pass_through(
             F.max(F.unix_seconds("tx_ts")).alias("last_in"),
         )
         .filter(F.col("customer_id").isNotNull())
-        .withColumn("last_day", F.floor(F.col("last_in") / DAY))
+        .withColumn("last_day", _slice(F.col("last_in"), DAY))
     )
     by_second = (
         timed.filter((F.col("channel") == outbound_channel) & F.col("origin").isNotNull())
         .groupBy(F.col("origin").alias("customer_id"), F.unix_seconds("tx_ts").alias("second"))
         .agg(F.count("*").alias("n"), F.sum(cents(amount)).alias("cents"))
-        .withColumn("day", F.floor(F.col("second") / DAY))
+        .withColumn("day", _slice(F.col("second"), DAY))
     )
     by_day = by_second.groupBy("customer_id", "day").agg(
         F.sum("n").alias("n"), F.sum("cents").alias("cents")
     )
-    later_days = (
-        by_day.join(received, "customer_id")
-        .filter(F.col("day") > F.col("last_day"))
-        .select("customer_id", "n", "cents")
-    )
-    same_day = (
-        by_second.join(
-            received.select("customer_id", F.col("last_day").alias("day"), "last_in"),
-            ["customer_id", "day"],
-        )
+    later_days = by_day.join(received, "customer_id").filter(F.col("day") > F.col("last_day"))
+    last_day = (
+        by_second.withColumnRenamed("day", "last_day")
+        .join(received, ["customer_id", "last_day"])
         .filter(F.col("second") > F.col("last_in"))
-        .select("customer_id", "n", "cents")
     )
+    wanted = ["customer_id", "in_count", "in_cents", "last_in", "n", "cents"]
     sent = (
-        later_days.unionByName(same_day)
+        later_days.select(*wanted)
+        .unionByName(last_day.select(*wanted))
         .groupBy("customer_id")
-        .agg(F.sum("n").alias("out_count"), F.sum("cents").alias("out_cents"))
+        .agg(
+            F.max("in_count").alias("in_count"),
+            F.max("in_cents").alias("in_cents"),
+            F.max("last_in").alias("last_in"),
+            F.sum("n").alias("out_count"),
+            F.sum("cents").alias("out_cents"),
+        )
     )
     out_total, in_total = F.col("out_total"), F.col("in_total")
     suspicious = out_total >= min_share * in_total
     if limit is not None:
         suspicious = suspicious | ((out_total >= limit - near_limit) & (out_total < limit))
-    return (
-        sent.join(received, "customer_id")
-        .select(
-            "customer_id",
-            "in_count",
-            from_cents(F.col("in_cents")).alias("in_total"),
-            F.timestamp_seconds("last_in").alias("last_in_at"),
-            "out_count",
-            from_cents(F.col("out_cents")).alias("out_total"),
-        )
-        .filter(suspicious)
-    )
+    return sent.select(
+        "customer_id",
+        "in_count",
+        from_cents(F.col("in_cents")).alias("in_total"),
+        F.timestamp_seconds("last_in").alias("last_in_at"),
+        "out_count",
+        from_cents(F.col("out_cents")).alias("out_total"),
+    ).filter(suspicious)
 
 
 def time_profile(tx: DataFrame) -> DataFrame:

@@ -49,21 +49,20 @@ STRUCTURING_NOTE = (
 def summary(tx: DataFrame, profiles: DataFrame) -> DataFrame:
     """One row: transactions, customers, alerts per typology and their total.
 
-    Income deviation is not an alert of this report.
+    Income deviation is not an alert of this report. The two tables' figures are
+    stacked and added up, which needs no join.
     """
-
-    def raised(flag: str) -> Column:
-        return F.coalesce(F.sum(flag), F.lit(0))
-
+    counted = tx.agg(F.count("*").alias("total_tx"))
     figures = profiles.agg(
         F.count("*").alias("total_customers"),
-        raised("flag_structuring").alias("structuring_alerts"),
-        raised("flag_fan_in").alias("fan_in_alerts"),
-        raised("flag_crypto").alias("crypto_alerts"),
+        F.sum("flag_structuring").alias("structuring_alerts"),
+        F.sum("flag_fan_in").alias("fan_in_alerts"),
+        F.sum("flag_crypto").alias("crypto_alerts"),
     )
-    counted = tx.agg(F.count("*").alias("total_tx"))
-    # Both sides are one row.
-    return counted.join(figures, F.lit(True)).withColumn(
+    stacked = counted.unionByName(figures, allowMissingColumns=True)
+    return stacked.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in stacked.columns]
+    ).withColumn(
         "total_alerts",
         F.col("structuring_alerts") + F.col("fan_in_alerts") + F.col("crypto_alerts"),
     )
@@ -115,9 +114,9 @@ def _plain(number: Column, pattern: str) -> Column:
     return F.call_function("format_number", number, F.lit(pattern))
 
 
-def _lines(df: DataFrame, lines: list[tuple[str, int, Column]]) -> DataFrame:
+def _lines(df: DataFrame, lines: list[tuple[str, Column, Column]]) -> DataFrame:
     rows = [
-        F.struct(F.lit(section).alias("section"), F.lit(place).alias("place"), text.alias("line"))
+        F.struct(F.lit(section).alias("section"), place.alias("place"), text.alias("line"))
         for section, place, text in lines
     ]
     return df.select(F.explode(F.array(*rows)).alias("l")).select("l.*")
@@ -125,60 +124,56 @@ def _lines(df: DataFrame, lines: list[tuple[str, int, Column]]) -> DataFrame:
 
 def report_lines(tx: DataFrame, profiles: DataFrame) -> DataFrame:
     """(section, place, line): headline, distribution, subjects. A missing subject has no line."""
+    def count_of(name: str) -> Column:
+        return F.col(name).cast("string")
+
+    headline = F.format_string(
+        HEADLINE,
+        *[_grouped(F.col(c)) for c in ("total_tx", "total_customers", "total_alerts")],
+    )
     figures = _lines(
         summary(tx, profiles),
         [
-            (
-                "summary",
-                1,
-                F.format_string(
-                    HEADLINE,
-                    _grouped(F.col("total_tx")),
-                    _grouped(F.col("total_customers")),
-                    _grouped(F.col("total_alerts")),
-                ),
-            ),
-            ("distribution", 1, F.format_string(FAN_IN_LINE, F.col("fan_in_alerts").cast("string"))),
-            ("distribution", 2, F.format_string(CRYPTO_LINE, F.col("crypto_alerts").cast("string"))),
+            ("summary", F.lit(1), headline),
+            ("distribution", F.lit(1), F.format_string(FAN_IN_LINE, count_of("fan_in_alerts"))),
+            ("distribution", F.lit(2), F.format_string(CRYPTO_LINE, count_of("crypto_alerts"))),
             (
                 "distribution",
-                3,
-                F.format_string(STRUCTURING_LINE, F.col("structuring_alerts").cast("string")),
+                F.lit(3),
+                F.format_string(STRUCTURING_LINE, count_of("structuring_alerts")),
             ),
         ],
     )
-    subjects = top_subjects(profiles)
     who, sent = F.col("customer_id"), _grouped(F.col("sent_total"), 2)
-    sentences = {
-        "fan_in": (
-            1,
-            F.format_string(FAN_IN_SUBJECT, who),
-            F.format_string(
-                FAN_IN_NOTE,
-                _plain(F.col("received_count"), "0"),
-                sent,
-                _plain(F.col("moved_income_ratio"), "0.00"),
-            ),
-        ),
-        "crypto": (
-            3,
-            F.format_string(CRYPTO_SUBJECT, who),
-            F.format_string(
-                CRYPTO_NOTE,
-                sent,
-                _plain(F.col("crypto_ratio") * 100, "0.0"),
-                _plain(F.col("crypto_count"), "0"),
-            ),
+
+    def by_typology(fan_in: Column, crypto: Column, structuring: Column) -> Column:
+        kind = F.col("typology")
+        return (
+            F.when(kind == "fan_in", fan_in).when(kind == "crypto", crypto).otherwise(structuring)
+        )
+
+    title = by_typology(
+        F.format_string(FAN_IN_SUBJECT, who),
+        F.format_string(CRYPTO_SUBJECT, who),
+        F.format_string(STRUCTURING_SUBJECT, who),
+    )
+    note = by_typology(
+        F.format_string(
+            FAN_IN_NOTE,
+            _plain(F.col("received_count"), "0"),
+            sent,
+            _plain(F.col("moved_income_ratio"), "0.00"),
         ),
-        "structuring": (
-            5,
-            F.format_string(STRUCTURING_SUBJECT, who),
-            F.format_string(STRUCTURING_NOTE, _plain(F.col("sent_count"), "0"), sent),
+        F.format_string(
+            CRYPTO_NOTE,
+            sent,
+            _plain(F.col("crypto_ratio") * 100, "0.0"),
+            _plain(F.col("crypto_count"), "0"),
         ),
-    }
-    for typology, (place, title, note) in sentences.items():
-        one = subjects.filter(F.col("typology") == typology)
-        figures = figures.unionByName(
-            _lines(one, [("subjects", place, title), ("subjects", place + 1, note)])
-        )
-    return figures
+        F.format_string(STRUCTURING_NOTE, _plain(F.col("sent_count"), "0"), sent),
+    )
+    place = by_typology(F.lit(1), F.lit(3), F.lit(5))
+    subjects = _lines(
+        top_subjects(profiles), [("subjects", place, title), ("subjects", place + 1, note)]
+    )
+    return figures.unionByName(subjects)
