@@ -355,8 +355,8 @@ SELECT CASE WHEN origin LIKE 'C%' THEN 'b1' ELSE 'b2' END AS batch_id, 'core' AS
 FROM bronze GROUP BY ALL""",
     "incremental_upsert": INCREMENTAL,
     "pruned_scan": f"""WITH {SILVER}
-SELECT tx_id, amount_usd, tx_date[1:7] AS month, channel FROM tx
-WHERE tx_date[1:7] BETWEEN '1997-01' AND '1997-06' AND channel = 'Exchange_Crypto'""",
+SELECT tx_id, amount_usd, cast(year(tx_ts) AS integer) AS year, channel FROM tx
+WHERE year(tx_ts) BETWEEN 1997 AND 1998 AND channel = 'Exchange_Crypto'""",
     "lineage_columns": f"""WITH {PROFILES}
 SELECT tx_id, origin, risk_score, 'b1' AS batch_id, 'core' AS source_system
 FROM tx JOIN profiles ON origin = customer_id WHERE risk_score >= {ALERT_FROM}""",

@@ -136,12 +136,12 @@ def upsert_idempotent(spark, sf):
 @query
 def upsert_by_partition(spark, sf):
     tx = mapped.silver_transactions(spark, sf).select(*SILVER_COLUMNS)
-    by_month = tx.withColumn("month", F.date_format("tx_date", "yyyy-MM"))
+    by_year = tx.withColumn("year", F.year("tx_date"))
     path = fresh_path(spark, "upsert-partitions")
     write_partitioned(
-        by_month.filter("amount_usd < 1000").withColumn("channel", F.lit("old")), path, ["month"]
+        by_year.filter("amount_usd < 1000").withColumn("channel", F.lit("old")), path, ["year"]
     )
-    upsert_partitions(materialize(by_month.filter("amount_usd >= 500"), "batch"), path, "tx_id", "month")
+    upsert_partitions(by_year.filter("amount_usd >= 500"), path, "tx_id", "year")
     return as_text(publish(spark.read.parquet(path).select(*SILVER_COLUMNS)))
 
 
@@ -182,13 +182,13 @@ def incremental_upsert(spark, sf):
 
 @query
 def pruned_scan(spark, sf):
-    tx = mapped.silver_transactions(spark, sf).withColumn("month", F.date_format("tx_date", "yyyy-MM"))
-    path = fresh_path(spark, "by-month")
-    write_partitioned(tx.select("tx_id", "amount_usd", "month", "channel"), path, ["month", "channel"])
+    tx = mapped.silver_transactions(spark, sf).withColumn("year", F.year("tx_date"))
+    path = fresh_path(spark, "by-year")
+    write_partitioned(tx.select("tx_id", "amount_usd", "year", "channel"), path, ["year", "channel"])
     return (
         spark.read.parquet(path)
-        .filter("month BETWEEN '1997-01' AND '1997-06' AND channel = 'Exchange_Crypto'")
-        .select("tx_id", "amount_usd", "month", "channel")
+        .filter("year BETWEEN 1997 AND 1998 AND channel = 'Exchange_Crypto'")
+        .select("tx_id", "amount_usd", "year", "channel")
     )
 
 

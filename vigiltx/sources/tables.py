@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigiltx.sources.shared import materialize
+
 
 class RepeatedKeyError(ValueError):
     """An upsert source holds the same key more than once."""
@@ -115,8 +117,8 @@ def upsert_partitions(source: DataFrame, path: str, key: str, partition: str) ->
     keys now; the latter are found by reading nothing but the key column. A rerun
     after a failed commit gives the same table.
     """
-    spark = source.sparkSession
-    target = spark.read.parquet(path)
+    source = materialize(source, "batch")  # feeds three reads, computed once
+    target = source.sparkSession.read.parquet(path)
     reject_repeated_keys(source, key)
     keys = source.select(key)
     touched = (
