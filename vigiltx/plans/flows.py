@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vigiltx.functions.money import money_sum
 from vigiltx.functions.ranks import dense_index
+from vigiltx.operators.alerts import with_sender
 
 # Pattern per flag, the first raised one counts.
 PATTERNS = {
@@ -40,8 +41,7 @@ def sender_risk(profiles: DataFrame) -> DataFrame:
 
 def risk_facts(tx: DataFrame, profiles: DataFrame) -> DataFrame:
     """Transactions of known customers with their sender's pattern."""
-    risk = sender_risk(profiles)
-    return tx.join(risk, tx["origin"] == risk["customer_id"]).select(
+    return with_sender(tx, sender_risk(profiles)).select(
         "tx_id", "customer_id", "tx_date", "amount_usd", "channel",
         "pattern", "is_fraud", "risk_score",
     )

@@ -114,24 +114,32 @@ def upsert_partitions(source: DataFrame, path: str, key: str, partition: str) ->
     """Upsert into a table laid out by one column, rewriting touched partitions only.
 
     Touched are the partitions the source writes to and those that hold one of its
-    keys now; the latter are found by reading nothing but the key column. A rerun
-    after a failed commit gives the same table.
+    keys now; the latter are found by reading nothing but the key column. Partitions
+    left without rows are removed last, so a rerun after a failure at any point gives
+    the same table. Readers should wait: partitions are switched one by one.
     """
-    source = materialize(source, "batch")  # feeds three reads, computed once
-    target = source.sparkSession.read.parquet(path)
+    spark = source.sparkSession
+    source = materialize(source, "batch")  # feeds several reads, computed once
+    target = spark.read.parquet(path)
     reject_repeated_keys(source, key)
     keys = source.select(key)
-    touched = (
-        source.select(partition)
-        .union(target.join(keys, key, "left_semi").select(partition))
-        .distinct()
-        .collect()  # at most one value per partition directory, which the driver lists anyway
-    )
-    values = [row[0] for row in touched]
-    in_touched = F.col(partition).isin([v for v in values if v is not None])
-    if None in values:
-        in_touched = in_touched | F.col(partition).isNull()
-    kept = target.filter(in_touched).join(keys, key, "left_anti")
+
+    def partitions_of(df: DataFrame) -> set:
+        # At most one value per partition directory, which the driver lists anyway.
+        return {row[0] for row in df.select(partition).distinct().collect()}
+
+    def rows_in(values: set) -> DataFrame:
+        return target.filter(
+            F.col(partition).isin([v for v in values if v is not None])
+            | (F.col(partition).isNull() & F.lit(None in values))
+        )
+
+    written = partitions_of(source)
+    held = partitions_of(target.join(keys, key, "left_semi"))
+    kept = rows_in(written | held).join(keys, key, "left_anti")
+    emptied = held - written - partitions_of(kept)
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    stale = rows_in(emptied).select(folder).distinct().collect() if emptied else []
     (
         kept.unionByName(source, allowMissingColumns=True)
         .hint("rebalance", partition)
@@ -140,6 +148,10 @@ def upsert_partitions(source: DataFrame, path: str, key: str, partition: str) ->
         .partitionBy(partition)
         .parquet(path)
     )
+    for (uri,) in stale:
+        jvm = spark._jvm
+        old = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(uri))
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: str, source_system: str) -> None:
