@@ -4,6 +4,9 @@ Fitting reads the rows twice: a count, and a draw by key hash that keeps a bound
 number of rows whatever the table size. Trees grow in parallel, one small group
 each. Scoring sends only the model columns to Python, in Arrow batches, next to a
 broadcast node table of at most trees * (2 * max_samples - 1) rows.
+
+What runs inside tasks refers to numpy and pandas only, so executors need no copy of
+this package.
 """
 
 from __future__ import annotations
@@ -107,8 +110,9 @@ def draw_samples(vectors: DataFrame, cfg: ModelConfig, n: int) -> DataFrame:
     )
 
 
-def _grow(columns: list[str], seed: int):
-    """Grows one tree from its sample; used inside applyInPandas."""
+def _grower(columns: list[str], cfg: ModelConfig):
+    """The function that grows one tree from its sample."""
+    seed, below_leaf = cfg.seed, [mean_path(n) for n in range(cfg.max_samples + 1)]
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("customer_id")
@@ -118,8 +122,8 @@ def _grow(columns: list[str], seed: int):
         nodes: list[list] = []
 
         def add(members: np.ndarray, depth: int) -> int:
-            me = len(nodes)
-            nodes.append([tree, me, me, me, 0, math.inf, len(members), depth + mean_path(len(members))])
+            me, size = len(nodes), len(members)
+            nodes.append([tree, me, me, me, 0, math.inf, size, depth + below_leaf[size]])
             low, high = members.min(axis=0), members.max(axis=0)
             splittable = np.flatnonzero(low < high)
             if depth < limit and splittable.size:
@@ -146,7 +150,7 @@ def node_table(
 ) -> DataFrame:
     """Every node of every tree. A leaf points to itself and lets every value pass left."""
     samples = draw_samples(vectors, cfg, vectors.count())
-    return samples.groupBy("tree").applyInPandas(_grow(columns, cfg.seed), NODE_SCHEMA)
+    return samples.groupBy("tree").applyInPandas(_grower(columns, cfg), NODE_SCHEMA)
 
 
 @dataclass(frozen=True)
@@ -162,22 +166,6 @@ class Forest:
     depth: int
     sample_size: int
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """-2^(-mean depth / expected depth), in [-1, 0); lower is more anomalous."""
-        flat, start = x.ravel(), np.arange(len(x)) * x.shape[1]
-        total = np.zeros(len(x))
-        for tree in range(len(self.left)):
-            at = np.zeros(len(x), dtype=np.int64)
-            for _ in range(self.depth):
-                value = flat[start + self.feature[tree][at]]
-                at = np.where(
-                    value <= self.threshold[tree][at], self.left[tree][at], self.right[tree][at]
-                )
-            total += self.path[tree][at]
-        expected = mean_path(self.sample_size)
-        depth = total / (len(self.left) * expected) if expected else np.ones(len(x))
-        return -(2.0**-depth)
-
 
 def fit(
     vectors: DataFrame, cfg: ModelConfig = ModelConfig(), columns: list[str] = MODEL_COLUMNS
@@ -205,11 +193,27 @@ def fit(
 
 
 def add_raw_score(features: DataFrame, forest: Forest) -> DataFrame:
-    shared = features.sparkSession.sparkContext.broadcast(forest)
+    """Adds raw_score = -2^(-mean depth / expected depth), in [-1, 0); lower is more anomalous."""
+    nodes = features.sparkSession.sparkContext.broadcast(
+        {name: getattr(forest, name) for name in ("left", "right", "feature", "threshold", "path")}
+    )
+    depth, expected = forest.depth, mean_path(forest.sample_size)
 
     @F.pandas_udf("double")
     def raw_score(*columns: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score(np.column_stack([c.to_numpy() for c in columns])))
+        x = np.column_stack([c.to_numpy() for c in columns])
+        flat, start, total = x.ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x))
+        trees = zip(*(nodes.value[k] for k in ("left", "right", "feature", "threshold", "path")))
+        count = 0
+        for left, right, feature, threshold, path in trees:
+            at = np.zeros(len(x), dtype=np.int64)
+            for _ in range(depth):
+                at = np.where(flat[start + feature[at]] <= threshold[at], left[at], right[at])
+            total += path[at]
+            count += 1
+        # One sampled row expects no depth at all; every row then scores alike.
+        share = total / (count * expected) if expected else np.ones(len(x))
+        return pd.Series(-(2.0**-share))
 
     return features.withColumn("raw_score", raw_score(*[finite(c) for c in forest.columns]))
 
