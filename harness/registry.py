@@ -22,7 +22,7 @@ from vigiltx.schema import (
 )
 from vigiltx.sources.shared import fresh_path, materialize
 from vigiltx.sources.tables import (
-    VersionedTable, append_batch, read_batches, upsert_partitions, with_lineage, write_partitioned,
+    PartitionedTable, VersionedTable, append_batch, read_batches, with_lineage, write_partitioned,
 )
 from vigiltx.streaming.bursts import burst_windows
 from vigiltx.streaming.upsert import load_new_batches, stream_silver
@@ -137,12 +137,10 @@ def upsert_idempotent(spark, sf):
 def upsert_by_partition(spark, sf):
     tx = mapped.silver_transactions(spark, sf).select(*SILVER_COLUMNS)
     by_year = tx.withColumn("year", F.year("tx_date"))
-    path = fresh_path(spark, "upsert-partitions")
-    write_partitioned(
-        by_year.filter("amount_usd < 1000").withColumn("channel", F.lit("old")), path, ["year"]
-    )
-    upsert_partitions(by_year.filter("amount_usd >= 500"), path, "tx_id", "year")
-    return as_text(publish(spark.read.parquet(path).select(*SILVER_COLUMNS)))
+    table = PartitionedTable(spark, fresh_path(spark, "upsert-partitions"), "year")
+    table.upsert(by_year.filter("amount_usd < 1000").withColumn("channel", F.lit("old")), "tx_id")
+    table.upsert(by_year.filter("amount_usd >= 500"), "tx_id")
+    return as_text(publish(table.read().select(*SILVER_COLUMNS)))
 
 
 @query

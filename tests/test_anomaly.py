@@ -124,3 +124,8 @@ def test_dense_index(spark):
 def test_mean_path():
     assert [anomaly.mean_path(n) for n in (0, 1, 2)] == [0.0, 0.0, 1.0]
     assert anomaly.mean_path(256) == pytest.approx(10.2448, abs=1e-4)
+
+
+def test_nothing_to_fit_on(spark):
+    with pytest.raises(ValueError):
+        anomaly.fit(cloud(spark, 1).limit(0), ModelConfig(trees=2), COLUMNS)

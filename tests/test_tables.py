@@ -8,7 +8,8 @@ from vigiltx.operators.clean import clean_transactions
 from vigiltx.plans.layers import refresh_gold, refresh_silver
 from vigiltx.schema import ALERT_COLUMNS, PROFILE_COLUMNS, PUBLISHED
 from vigiltx.sources.tables import (
-    RepeatedKeyError, VersionedTable, append_batch, read_batches, upsert_partitions, write_partitioned,
+    ConcurrentWriteError, PartitionedTable, RepeatedKeyError, VersionedTable, append_batch,
+    read_batches, write_partitioned,
 )
 from vigiltx.streaming.upsert import load_new_batches
 
@@ -57,6 +58,30 @@ def test_failed_write_leaves_the_table(spark, table):
     assert content(table.read()) == {"a": 1}
 
 
+def test_two_writers_do_not_lose_each_others_rows(spark, table, monkeypatch):
+    table.overwrite(pairs(spark, a=1))
+    other, write = VersionedTable(spark, table.path), VersionedTable._write
+
+    def slow_write(self, df):
+        if self is table:
+            other.upsert(pairs(spark, b=2), "k")
+        return write(self, df)
+
+    monkeypatch.setattr(VersionedTable, "_write", slow_write)
+    with pytest.raises(ConcurrentWriteError):
+        table.overwrite(pairs(spark, c=3))
+    assert content(table.read()) == {"a": 1, "b": 2}
+
+
+def test_a_pointer_left_empty_is_passed_over(spark, table):
+    table.overwrite(pairs(spark, a=1))
+    with open(f"{table.path}/_versions/0000000002", "w"):
+        pass
+    assert content(table.read()) == {"a": 1}
+    table.upsert(pairs(spark, b=2), "k")
+    assert content(table.read()) == {"a": 1, "b": 2}
+
+
 def test_overwrite_replaces_the_schema(spark, table):
     table.overwrite(pairs(spark, a=1))
     table.overwrite(spark.createDataFrame([("x",)], "other string"))
@@ -129,14 +154,16 @@ def test_partition_upsert_equals_plain_upsert(spark, tmp_path, table):
     before = rows(("stays", 1, "d1"), ("moves", 1, "d1"), ("same", 1, "d2"), ("undated", 1, None), ("far", 1, "d9"))
     source = rows(("moves", 2, "d2"), ("same", 2, "d2"), ("new", 2, "d3"), ("undated", 2, "d1"))
     path = tmp_path / "parts"
-    write_partitioned(before, str(path), ["day"])
+    parts = PartitionedTable(spark, str(path), "day")
+    assert not parts.exists()
+    parts.upsert(before, "k")
     untouched = [f.stat().st_mtime_ns for f in path.glob("day=d9/*")]
     table.overwrite(before)
     for _ in range(2):
-        upsert_partitions(source, str(path), "k", "day")
+        parts.upsert(source, "k")
         table.upsert(source, "k")
         columns = ["k", "v", "day"]
-        assert set(spark.read.parquet(str(path)).select(columns).collect()) == set(table.read().select(columns).collect())
+        assert set(parts.read().select(columns).collect()) == set(table.read().select(columns).collect())
     assert [f.stat().st_mtime_ns for f in path.glob("day=d9/*")] == untouched
 
 

@@ -172,6 +172,8 @@ def fit(
 ) -> Forest:
     """Fit on a table of model vectors; pass a written table, it is read more than once."""
     nodes = node_table(vectors, cfg, columns).toPandas()
+    if nodes.empty:
+        raise ValueError("no rows to fit on")
     width = int(nodes["node"].max()) + 1
 
     def grid(name: str, fill, dtype) -> np.ndarray:

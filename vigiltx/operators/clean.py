@@ -10,6 +10,9 @@ from vigiltx.functions.money import amount2
 from vigiltx.functions.times import parse_time, time_of_day
 from vigiltx.schema import CUSTOMERS, SILVER_COLUMNS
 
+# What rounds to more than 0.00. Compared before rounding, the filter reaches the scan.
+SMALLEST_AMOUNT = 0.005
+
 
 def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row per key, the first in ``order`` (NULLs last).
@@ -30,9 +33,9 @@ def clean_transactions(bronze: DataFrame) -> DataFrame:
     extra = [c for c in bronze.columns if c not in (*SILVER_COLUMNS, "time_text")]
     usable = (
         bronze.filter(F.col("tx_id").isNotNull())
+        .filter(F.col("amount_usd").try_cast("double") >= SMALLEST_AMOUNT)
         .withColumn("amount_original", amount2(F.col("amount_original")))
         .withColumn("amount_usd", amount2(F.col("amount_usd")))
-        .filter("amount_usd > 0")
         .withColumn("channel", F.trim("channel"))
         .withColumn("currency", F.upper(F.trim("currency")))
         .withColumn("tx_ts", parse_time(F.col("time_text")))

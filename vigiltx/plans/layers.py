@@ -13,7 +13,7 @@ from vigiltx.operators.features import customer_features
 from vigiltx.operators.rules import add_flags, add_scores
 from vigiltx.schema import CUSTOMERS, PROFILE_COLUMNS, adopt, publish
 from vigiltx.sources.shared import materialize
-from vigiltx.sources.tables import VersionedTable
+from vigiltx.sources.tables import PartitionedTable, VersionedTable
 
 
 def anomaly_scores(features: DataFrame, cfg: MonitorConfig = MonitorConfig()) -> DataFrame:
@@ -48,7 +48,7 @@ def rule_profiles(
 def refresh_silver(
     bronze_tx: DataFrame,
     bronze_customers: DataFrame,
-    silver_tx: VersionedTable,
+    silver_tx: VersionedTable | PartitionedTable,
     silver_customers: VersionedTable,
 ) -> None:
     """Clean both bronze tables and upsert them into silver."""
@@ -57,7 +57,7 @@ def refresh_silver(
 
 
 def refresh_gold(
-    silver_tx: VersionedTable,
+    silver_tx: VersionedTable | PartitionedTable,
     silver_customers: VersionedTable,
     profiles: VersionedTable,
     alert_table: VersionedTable,

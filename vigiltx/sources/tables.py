@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +16,12 @@ class RepeatedKeyError(ValueError):
     """An upsert source holds the same key more than once."""
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another writer changed the table meanwhile; read it again and repeat."""
+
+
 class VersionedTable:
-    """A table whose every write is a new directory; a small pointer file names the live one.
+    """A table whose every write is a new directory; numbered pointer files name the live one.
 
     Readers never see a half-written version, a failed write leaves the live one in
     place, and no directory is overwritten while it is read. ``mark`` stores the last
@@ -28,21 +33,18 @@ class VersionedTable:
         self.path = path.rstrip("/")
 
     def exists(self) -> bool:
-        return self._pointer() is not None
+        return bool(self._live())
 
     def mark(self) -> str | None:
-        pointer = self._pointer()
-        return pointer and pointer["mark"]
+        return self._live().get("mark")
 
     def read(self) -> DataFrame:
-        pointer = self._pointer()
-        if pointer is None:
-            raise FileNotFoundError(f"no table at {self.path}")
-        return self.spark.read.parquet(pointer["data"])
+        return self._read(self._live())
 
     def overwrite(self, df: DataFrame, mark: str | None = None) -> None:
         """Replace rows and schema."""
-        self._switch(self._write(df), mark)
+        base = self._live()
+        self._switch(base, self._write(df), mark)
 
     def upsert(self, source: DataFrame, key: str, mark: str | None = None) -> None:
         """Update rows whose key matches, insert the others, keep unmatched target rows.
@@ -50,46 +52,91 @@ class VersionedTable:
         Columns new to either side are filled with NULL. The source is written first:
         it feeds the key check, the anti-join and the union, and is computed once.
         """
+        base = self._live()
         written = self._write(source)
         batch = self.spark.read.parquet(written)
         reject_repeated_keys(batch, key)
-        if self.exists():
-            kept = self.read().join(batch.select(key), key, "left_anti")
+        if base:
+            kept = self._read(base).join(batch.select(key), key, "left_anti")
             written = self._write(kept.unionByName(batch, allowMissingColumns=True))
-        self._switch(written, mark)
+        self._switch(base, written, mark)
+
+    def _read(self, version: dict) -> DataFrame:
+        if not version:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return self.spark.read.parquet(version["data"])
 
     def _write(self, df: DataFrame) -> str:
         target = f"{self.path}/v-{uuid.uuid4().hex}"
         df.write.parquet(target)
         return target
 
-    # The pointer goes through the Hadoop file system, so any Spark path works.
-
-    def _file(self, name: str):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _pointer(self) -> dict | None:
-        path, fs = self._file("_current")
-        if not fs.exists(path):
-            return None
-        stream = fs.open(path)
+    def _pointers(self) -> list[int]:
+        folder, fs = hadoop_path(self.spark, f"{self.path}/_versions")
+        if not fs.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        return sorted(int(name) for name in names if name.isdigit())
+
+    def _live(self) -> dict:
+        """The newest complete pointer; empty when there is no table."""
+        for number in reversed(self._pointers()):
+            file, fs = hadoop_path(self.spark, f"{self.path}/_versions/{number:010d}")
+            stream = fs.open(file)
+            try:
+                text = bytes(stream.readAllBytes())
+            finally:
+                stream.close()
+            if text:  # empty while its writer is at work, or after it died
+                return json.loads(text)
+        return {}
+
+    def _switch(self, base: dict, data: str, mark: str | None) -> None:
+        if self._live() != base:
+            raise ConcurrentWriteError(self.path)
+        number = 1 + max(self._pointers(), default=0)
+        file, fs = hadoop_path(self.spark, f"{self.path}/_versions/{number:010d}")
         try:
-            return json.loads(bytes(stream.readAllBytes()))
-        finally:
-            stream.close()
-
-    def _switch(self, data: str, mark: str | None) -> None:
-        pointer = json.dumps({"data": data, "mark": mark or self.mark()})
-        path, fs = self._file("_current")
-        out = fs.create(path, True)
+            out = fs.create(file, False)
+        except Py4JJavaError as taken:
+            raise ConcurrentWriteError(self.path) from taken
         try:
-            out.write(bytearray(pointer, "utf-8"))
+            out.write(bytearray(json.dumps({"data": data, "mark": mark or base.get("mark")}), "utf-8"))
         finally:
             out.close()
 
 
+class PartitionedTable:
+    """A table laid out by one column. An upsert rewrites only the partitions it touches,
+    which suits large tables and batches that fall on few dates."""
+
+    def __init__(self, spark: SparkSession, path: str, column: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.column = column
+
+    def exists(self) -> bool:
+        folder, fs = hadoop_path(self.spark, self.path)
+        return fs.exists(folder)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def upsert(self, source: DataFrame, key: str) -> None:
+        if self.exists():
+            upsert_partitions(source, self.path, key, self.column)
+        else:
+            source = materialize(source, "batch")
+            reject_repeated_keys(source, key)
+            write_partitioned(source, self.path, [self.column])
+
+
+def hadoop_path(spark: SparkSession, name):
+    """The path and its file system; goes through Hadoop, so any Spark path works."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def reject_repeated_keys(df: DataFrame, key: str) -> None:
     repeated = (
         df.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").limit(1)
@@ -149,9 +196,8 @@ def upsert_partitions(source: DataFrame, path: str, key: str, partition: str) ->
         .parquet(path)
     )
     for (uri,) in stale:
-        jvm = spark._jvm
-        old = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(uri))
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+        folder, fs = hadoop_path(spark, spark._jvm.java.net.URI.create(uri))
+        fs.delete(folder, True)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: str, source_system: str) -> None:

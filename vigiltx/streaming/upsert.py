@@ -8,21 +8,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vigiltx.operators.clean import clean_transactions
 from vigiltx.schema import BRONZE_TRANSACTIONS
-from vigiltx.sources.tables import VersionedTable, read_batches
+from vigiltx.sources.tables import PartitionedTable, VersionedTable, read_batches
 
 
 def stream_silver(
-    spark: SparkSession, bronze_path: str, silver: VersionedTable, checkpoint: str,
-    files_per_batch: int = 1000,
+    spark: SparkSession, bronze_path: str, silver: VersionedTable | PartitionedTable,
+    checkpoint: str, files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Clean and upsert every bronze file not seen before, then stop.
 
-    A micro-batch that is run again after a failure upserts the same keys.
+    A micro-batch that is run again after a failure upserts the same keys. Use a table
+    partitioned by ``tx_date`` where rewriting all of silver per batch is too much.
     """
-    path = silver.path
 
     def load(batch: DataFrame, _: int) -> None:
-        VersionedTable(batch.sparkSession, path).upsert(clean_transactions(batch), "tx_id")
+        silver.upsert(clean_transactions(batch), "tx_id")
 
     return (
         spark.readStream.schema(BRONZE_TRANSACTIONS)
