@@ -273,7 +273,7 @@ REPORT_LINES = f"""WITH {PROFILES},
 figures AS ({SUMMARY}),
 subjects AS ({TOP_ALL})
 SELECT 'summary' AS section, 1 AS place,
-  {printf(HEADLINE, number(",", "total_tx"), number(",", "total_customers"), number(",", "total_alerts"))} AS line
+  {printf(HEADLINE, number(",", "total_tx"), number(",", "total_customers"), "'Spark'", number(",", "total_alerts"))} AS line
 FROM figures
 UNION ALL SELECT 'distribution', 1, {printf(FAN_IN_LINE, "fan_in_alerts")} FROM figures
 UNION ALL SELECT 'distribution', 2, {printf(CRYPTO_LINE, "crypto_alerts")} FROM figures

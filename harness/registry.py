@@ -149,20 +149,19 @@ def sample_rows(spark, sf):
     return as_text(publish(layers.sample_rows(tx, ["tx_id"])))
 
 
-def write_bronze_batches(spark, sf, path):
+BATCHES = {"b1": "origin LIKE 'C%'", "b2": "origin LIKE 'S%'"}
+
+
+def append_bronze(spark, sf, path, batch_id) -> None:
     bronze = mapped.bronze_transactions(spark, sf)
-    append_batch(bronze.filter("origin LIKE 'C%'"), path, "b1", "core")
-    yield
-    append_batch(bronze.filter("origin LIKE 'S%'"), path, "b2", "core")
-    yield
+    append_batch(bronze.filter(BATCHES[batch_id]), path, batch_id, "core")
 
 
 @query
 def bronze_append(spark, sf):
     path = fresh_path(spark, "bronze")
-    for _ in range(2):  # the second run replaces its own batches only
-        for _ in write_bronze_batches(spark, sf, path):
-            pass
+    for batch_id in [*BATCHES, "b2"]:  # the second run of b2 replaces b2 only
+        append_bronze(spark, sf, path, batch_id)
     return (
         read_batches(spark, path)
         .groupBy("batch_id", "source_system")
@@ -173,7 +172,8 @@ def bronze_append(spark, sf):
 @query
 def incremental_upsert(spark, sf):
     path, table = fresh_path(spark, "bronze"), new_table(spark, "incremental")
-    for _ in write_bronze_batches(spark, sf, path):
+    for batch_id in BATCHES:
+        append_bronze(spark, sf, path, batch_id)
         load_new_batches(spark, path, table)
     return as_text(publish(table.read().select(*SILVER_COLUMNS, "batch_id")))
 

@@ -20,7 +20,16 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
-    assert compare(spark, con, SF, QUERIES[name], ORACLES[name]) == ""
+    built = []
+
+    def query(*args):
+        built.append(QUERIES[name](*args))
+        return built[0]
+
+    assert compare(spark, con, SF, query, ORACLES[name]) == ""
+    plan = built[0]._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert "BatchEvalPython" not in plan
 
 
 def test_only_the_model_has_no_sql():

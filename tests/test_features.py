@@ -1,4 +1,5 @@
 import math
+import random
 import statistics
 
 import pytest
@@ -83,6 +84,18 @@ def test_spread_is_exact(spark):
     assert out["b"]["sent_std"] == pytest.approx(0.01)
 
 
+def test_spread_against_statistics(spark):
+    rng = random.Random(7)
+    rows, want = [], {}
+    for g in range(60):
+        scale = 10 ** rng.uniform(0, 9)
+        amounts = [round(rng.uniform(0.9 * scale, scale), 2) for _ in range(rng.randint(2, 30))]
+        want[f"g{g}"] = statistics.stdev(amounts)
+        rows += [(f"g{g}", f"d{i % 4}", "c", x, i) for i, x in enumerate(amounts)]
+    got = by_key(sent_features(silver(spark, rows)))
+    assert {k: r["sent_std"] for k, r in got.items()} == pytest.approx(want, rel=1e-12)
+
+
 def test_infinite_and_nan_amounts(spark):
     tx = silver(spark, [("a", "b", "c", math.inf, 0), ("a", "b", "c", 5.0, 0), ("n", "b", "c", math.nan, 0)])
     out = by_key(sent_features(tx))

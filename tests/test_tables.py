@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from builders import bronze, customers, silver
 from conftest import executed_plan
@@ -7,6 +9,7 @@ from vigiltx.config import ModelConfig, MonitorConfig
 from vigiltx.operators.clean import clean_transactions
 from vigiltx.plans.layers import refresh_gold, refresh_silver
 from vigiltx.schema import ALERT_COLUMNS, PROFILE_COLUMNS, PUBLISHED
+from vigiltx.sources.shared import shared_folder
 from vigiltx.sources.tables import (
     ConcurrentWriteError, PartitionedTable, RepeatedKeyError, VersionedTable, append_batch,
     read_batches, write_partitioned,
@@ -190,3 +193,19 @@ def test_layers_end_to_end(spark, tmp_path):
     assert top.PK_Cliente == "c0" and top.ML_Anomaly_Score == 100.0
     alerted = {r.PK_Cliente for r in profiles.filter("AML_Risk_Score >= 40").collect()}
     assert {r.FK_Cliente_Origen for r in found.collect()} == alerted
+    profiles.createOrReplaceTempView("gold_perfiles_riesgo_cliente")
+    (busiest,) = spark.sql(
+        "SELECT PK_Cliente, Total_Movido FROM gold_perfiles_riesgo_cliente ORDER BY Total_Movido DESC LIMIT 1"
+    ).collect()
+    assert busiest.PK_Cliente == "c0"
+
+
+def test_a_cluster_must_name_its_shared_folder(spark):
+    def session(master, folder):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: folder), sparkContext=context)
+
+    assert shared_folder(session("yarn", "hdfs://x/shared/")) == "hdfs://x/shared"
+    assert shared_folder(session("local[2]", None))
+    with pytest.raises(RuntimeError):
+        shared_folder(session("yarn", None))

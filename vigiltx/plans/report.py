@@ -24,7 +24,7 @@ TYPOLOGIES = {
 HEADLINE = (
     "En el último barrido de monitoreo transaccional se analizó un universo de %s operaciones "
     "financieras consolidadas, correspondientes a una cartera de %s clientes activos. Tras "
-    "aplicar la matriz de riesgo y reglas heurísticas de detección en Databricks, el sistema ha "
+    "aplicar la matriz de riesgo y reglas heurísticas de detección en %s, el sistema ha "
     "emitido %s alertas confirmadas de alto riesgo."
 )
 FAN_IN_LINE = "- Concentración de Fondos (Fan-In): %s alertas."
@@ -122,14 +122,20 @@ def _lines(df: DataFrame, lines: list[tuple[str, Column, Column]]) -> DataFrame:
     return df.select(F.explode(F.array(*rows)).alias("l")).select("l.*")
 
 
-def report_lines(tx: DataFrame, profiles: DataFrame) -> DataFrame:
-    """(section, place, line): headline, distribution, subjects. A missing subject has no line."""
+def report_lines(tx: DataFrame, profiles: DataFrame, platform: str = "Spark") -> DataFrame:
+    """(section, place, line): headline, distribution, subjects. A missing subject has no line.
+
+    ``platform`` is what the headline says the rules ran on.
+    """
     def count_of(name: str) -> Column:
         return F.col(name).cast("string")
 
     headline = F.format_string(
         HEADLINE,
-        *[_grouped(F.col(c)) for c in ("total_tx", "total_customers", "total_alerts")],
+        _grouped(F.col("total_tx")),
+        _grouped(F.col("total_customers")),
+        F.lit(platform),
+        _grouped(F.col("total_alerts")),
     )
     figures = _lines(
         summary(tx, profiles),
