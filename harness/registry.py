@@ -24,7 +24,7 @@ from vigiltx.sources.shared import fresh_path, materialize
 from vigiltx.sources.tables import (
     PartitionedTable, VersionedTable, append_batch, read_batches, with_lineage, write_partitioned,
 )
-from vigiltx.streaming.bursts import burst_windows
+from vigiltx.streaming.bursts import MERGE_BEFORE_SHUFFLE, burst_windows
 from vigiltx.streaming.upsert import load_new_batches, stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -474,6 +474,7 @@ def stream_upsert(spark, sf):
 def stream_bursts(spark, sf):
     schema = mapped.table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    spark.conf.set(MERGE_BEFORE_SHUFFLE, "true")
     out, progress = fresh_path(spark, "bursts"), fresh_path(spark, "progress")
     closed = burst_windows(events, "user_id", "ts", "value", "6 hours", "1 hour")
     (

@@ -85,6 +85,36 @@ def test_scores(spark):
     assert 0.14 <= share <= 0.15
 
 
+def test_raw_scores_match_a_walk_through_the_nodes(spark):
+    cfg = ModelConfig(trees=12)
+    vectors = materialize(cloud(spark, 700), "vectors")
+    nodes = {(r.tree, r.node): r for r in anomaly.node_table(vectors, cfg, COLUMNS).collect()}
+
+    def depth(tree, row):
+        node = nodes[tree, 0]
+        steps = 0
+        while node.left != node.node:
+            goes_left = row[COLUMNS[node.feature]] <= node.threshold
+            node = nodes[tree, node.left if goes_left else node.right]
+            steps += 1
+        return steps + anomaly.mean_path(node.size)
+
+    scored = anomaly.add_raw_score(vectors, anomaly.fit(vectors, cfg, COLUMNS)).collect()
+    expected = anomaly.mean_path(256)
+    for row in scored:
+        mean = sum(depth(t, row) for t in range(cfg.trees)) / cfg.trees
+        assert row.raw_score == pytest.approx(-(2 ** (-mean / expected)), rel=1e-12)
+
+
+def test_children_split_their_parent(spark):
+    rows = anomaly.node_table(cloud(spark, 600), ModelConfig(trees=3), COLUMNS).collect()
+    nodes = {(r.tree, r.node): r for r in rows}
+    for r in rows:
+        if r.left != r.node:
+            assert nodes[r.tree, r.left].size + nodes[r.tree, r.right].size == r.size
+            assert min(nodes[r.tree, r.left].size, nodes[r.tree, r.right].size) > 0
+
+
 @pytest.mark.parametrize("n", [1, 5])
 def test_equal_customers_score_zero(spark, n):
     same = spark.createDataFrame(

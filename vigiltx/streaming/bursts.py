@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Set to true where one key holds much of a batch: its sessions then merge in each task
+# before the shuffle.
+MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
+
 def burst_windows(
     events: DataFrame, key: str, time: str, amount: str, gap: str, late_by: str
 ) -> DataFrame:
     """One row per key and run of events closer than ``gap``, once the watermark has
-    passed its end. Events later than ``late_by`` are dropped.
-
-    Set ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` to true
-    where one key holds much of a batch: its sessions then merge before the shuffle.
-    """
+    passed its end. Events later than ``late_by`` are dropped."""
     stamped = events.withColumn(time, F.col(time).cast("timestamp"))
     return (
         stamped.withWatermark(time, late_by)
