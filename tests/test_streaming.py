@@ -2,7 +2,6 @@ from datetime import datetime, timedelta
 
 import pytest
 from builders import bronze
-from pyspark.sql import functions as F
 
 from vigiltx.operators.clean import clean_transactions
 from vigiltx.schema import SILVER_COLUMNS

@@ -1,12 +1,11 @@
 from types import SimpleNamespace
 
 import pytest
-from builders import bronze, customers, silver
+from builders import bronze, customers
 from conftest import executed_plan
 from pyspark.sql import functions as F
 
 from vigiltx.config import ModelConfig, MonitorConfig
-from vigiltx.operators.clean import clean_transactions
 from vigiltx.plans.layers import refresh_gold, refresh_silver
 from vigiltx.schema import ALERT_COLUMNS, PROFILE_COLUMNS, PUBLISHED
 from vigiltx.sources.shared import shared_folder
@@ -154,20 +153,35 @@ def test_partition_upsert_equals_plain_upsert(spark, tmp_path, table):
     def rows(*values):
         return spark.createDataFrame(values, "k string, v int, day string")
 
-    before = rows(("stays", 1, "d1"), ("moves", 1, "d1"), ("same", 1, "d2"), ("undated", 1, None), ("far", 1, "d9"))
+    before = rows(("stays", 1, "d1"), ("moves", 1, "d 1/%"), ("same", 1, "d2"), ("undated", 1, None), ("far", 1, "2026-01-01"))
     source = rows(("moves", 2, "d2"), ("same", 2, "d2"), ("new", 2, "d3"), ("undated", 2, "d1"))
-    path = tmp_path / "parts"
-    parts = PartitionedTable(spark, str(path), "day")
+    parts = PartitionedTable(spark, str(tmp_path / "parts"), "day")
     assert not parts.exists()
     parts.upsert(before, "k")
-    untouched = [f.stat().st_mtime_ns for f in path.glob("day=d9/*")]
     table.overwrite(before)
+    first = parts._live()["parts"]
     for _ in range(2):
         parts.upsert(source, "k")
         table.upsert(source, "k")
-        columns = ["k", "v", "day"]
-        assert set(parts.read().select(columns).collect()) == set(table.read().select(columns).collect())
-    assert [f.stat().st_mtime_ns for f in path.glob("day=d9/*")] == untouched
+        got, columns = parts.read(), ["k", "v", "day"]
+        assert set(got.select(columns).collect()) == set(table.read().select(columns).collect())
+        assert dict(got.dtypes) == {"k": "string", "v": "int", "day": "string"}
+    live = parts._live()["parts"]
+    assert live["day=2026-01-01"] == first["day=2026-01-01"]  # untouched, shared
+    assert live["day=d2"] != first["day=d2"]
+    assert set(live) == {"day=2026-01-01", "day=d1", "day=d2", "day=d3"}  # two are empty now
+
+
+def test_partitioned_table_takes_new_columns_and_prunes(spark, tmp_path):
+    parts = PartitionedTable(spark, str(tmp_path / "parts"), "day")
+    parts.overwrite(spark.createDataFrame([("a", 1), ("b", 2)], "k string, day int"))
+    parts.upsert(spark.createDataFrame([("c", 3, "x")], "k string, day int, extra string"), "k")
+    assert {tuple(r) for r in parts.read().select("k", "day", "extra").collect()} == {("a", 1, None), ("b", 2, None), ("c", 3, "x")}
+    assert "PartitionFilters: [isnotnull(day" in executed_plan(parts.read().filter("day = 3"))
+    with pytest.raises(RepeatedKeyError):
+        parts.upsert(spark.createDataFrame([("a", 1), ("a", 2)], "k string, day int"), "k")
+    parts.overwrite(parts.read().limit(0))
+    assert parts.exists() and parts.read().count() == 0
 
 
 def test_layers_end_to_end(spark, tmp_path):
@@ -193,7 +207,7 @@ def test_layers_end_to_end(spark, tmp_path):
     assert top.PK_Cliente == "c0" and top.ML_Anomaly_Score == 100.0
     alerted = {r.PK_Cliente for r in profiles.filter("AML_Risk_Score >= 40").collect()}
     assert {r.FK_Cliente_Origen for r in found.collect()} == alerted
-    profiles.createOrReplaceTempView("gold_perfiles_riesgo_cliente")
+    at("profiles").as_view("gold_perfiles_riesgo_cliente")
     (busiest,) = spark.sql(
         "SELECT PK_Cliente, Total_Movido FROM gold_perfiles_riesgo_cliente ORDER BY Total_Movido DESC LIMIT 1"
     ).collect()

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigiltx.sources.shared import materialize
 
@@ -41,10 +43,14 @@ class VersionedTable:
     def read(self) -> DataFrame:
         return self._read(self._live())
 
+    def as_view(self, name: str) -> None:
+        """Make the table's present content known to SQL under ``name``."""
+        self.read().createOrReplaceTempView(name)
+
     def overwrite(self, df: DataFrame, mark: str | None = None) -> None:
         """Replace rows and schema."""
         base = self._live()
-        self._switch(base, self._write(df), mark)
+        self._switch(base, {"data": self._write(df)}, mark)
 
     def upsert(self, source: DataFrame, key: str, mark: str | None = None) -> None:
         """Update rows whose key matches, insert the others, keep unmatched target rows.
@@ -59,7 +65,7 @@ class VersionedTable:
         if base:
             kept = self._read(base).join(batch.select(key), key, "left_anti")
             written = self._write(kept.unionByName(batch, allowMissingColumns=True))
-        self._switch(base, written, mark)
+        self._switch(base, {"data": written}, mark)
 
     def _read(self, version: dict) -> DataFrame:
         if not version:
@@ -67,7 +73,7 @@ class VersionedTable:
         return self.spark.read.parquet(version["data"])
 
     def _write(self, df: DataFrame) -> str:
-        target = f"{self.path}/v-{uuid.uuid4().hex}"
+        target = f"{self.path}/version={uuid.uuid4().hex}"
         df.write.parquet(target)
         return target
 
@@ -91,7 +97,7 @@ class VersionedTable:
                 return json.loads(text)
         return {}
 
-    def _switch(self, base: dict, data: str, mark: str | None) -> None:
+    def _switch(self, base: dict, version: dict, mark: str | None) -> None:
         if self._live() != base:
             raise ConcurrentWriteError(self.path)
         number = 1 + max(self._pointers(), default=0)
@@ -101,37 +107,77 @@ class VersionedTable:
         except Py4JJavaError as taken:
             raise ConcurrentWriteError(self.path) from taken
         try:
-            out.write(bytearray(json.dumps({"data": data, "mark": mark or base.get("mark")}), "utf-8"))
+            pointer = json.dumps({**version, "mark": mark or base.get("mark")})
+            out.write(bytearray(pointer, "utf-8"))
         finally:
             out.close()
 
 
-class PartitionedTable:
-    """A table laid out by one column. An upsert rewrites only the partitions it touches,
-    which suits large tables and batches that fall on few dates."""
+class PartitionedTable(VersionedTable):
+    """A versioned table laid out by one column; an upsert rewrites touched partitions only.
+
+    The pointer names the directory of every partition, so a new version shares the
+    untouched ones with the last. Suits large tables and batches that fall on few dates.
+    """
 
     def __init__(self, spark: SparkSession, path: str, column: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
+        super().__init__(spark, path)
         self.column = column
 
-    def exists(self) -> bool:
-        folder, fs = hadoop_path(self.spark, self.path)
-        return fs.exists(folder)
+    def overwrite(self, df: DataFrame, mark: str | None = None) -> None:
+        base = self._live()
+        self._switch(base, self._write_parts(df), mark)
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+    def upsert(self, source: DataFrame, key: str, mark: str | None = None) -> None:
+        """As ``VersionedTable.upsert``. Touched are the partitions the source writes to
+        and those that hold one of its keys now; the latter are found by reading nothing
+        but the key column."""
+        base = self._live()
+        batch = materialize(source, "batch")  # feeds several reads, computed once
+        reject_repeated_keys(batch, key)
+        if not base:
+            return self._switch(base, self._write_parts(batch), mark)
+        target, keys = self._read(base), batch.select(key)
+        touched = self._values(batch) | self._values(target.join(keys, key, "left_semi"))
+        in_touched = F.col(self.column).isin([v for v in touched if v is not None]) | (
+            F.col(self.column).isNull() & F.lit(None in touched)
+        )
+        old = target.filter(in_touched)
+        kept = old.join(keys, key, "left_anti")
+        version = self._write_parts(kept.unionByName(batch, allowMissingColumns=True))
+        replaced = self._folders(old)
+        untouched = {f: v for f, v in base["parts"].items() if f not in replaced}
+        self._switch(base, {**version, "parts": untouched | version["parts"]}, mark)
+
+    def _values(self, df: DataFrame) -> set:
+        # At most one value per partition of the table or the batch.
+        return {row[0] for row in df.select(self.column).distinct().collect()}
+
+    def _folders(self, df: DataFrame) -> set[str]:
+        """Names of the partition directories the rows lie in."""
+        name = F.element_at(F.split("_metadata.file_path", "/"), -2)
+        return {unquote(row[0]) for row in df.select(name).distinct().collect()}
 
-    def upsert(self, source: DataFrame, key: str) -> None:
-        if self.exists():
-            upsert_partitions(source, self.path, key, self.column)
-        else:
-            source = materialize(source, "batch")
-            reject_repeated_keys(source, key)
-            write_partitioned(source, self.path, [self.column])
+    def _read(self, version: dict) -> DataFrame:
+        if not version:
+            raise FileNotFoundError(f"no table at {self.path}")
+        schema = T.StructType.fromJson(version["schema"])
+        folders = [f"{self.path}/{v}/{f}" for f, v in sorted(version["parts"].items())]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", self.path)
+        return reader.parquet(*folders).drop("version")
+
+    def _write_parts(self, df: DataFrame) -> dict:
+        name = f"version={uuid.uuid4().hex}"
+        write_partitioned(df, f"{self.path}/{name}", [self.column])
+        folder, fs = hadoop_path(self.spark, f"{self.path}/{name}")
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        parts = {f: name for f in names if f.startswith(f"{self.column}=")}
+        return {"parts": parts, "schema": df.schema.jsonValue()}
 
 
-def hadoop_path(spark: SparkSession, name):
+def hadoop_path(spark: SparkSession, name: str):
     """The path and its file system; goes through Hadoop, so any Spark path works."""
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -157,49 +203,6 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
     )
 
 
-def upsert_partitions(source: DataFrame, path: str, key: str, partition: str) -> None:
-    """Upsert into a table laid out by one column, rewriting touched partitions only.
-
-    Touched are the partitions the source writes to and those that hold one of its
-    keys now; the latter are found by reading nothing but the key column. Partitions
-    left without rows are removed last, so a rerun after a failure at any point gives
-    the same table. Readers should wait: partitions are switched one by one.
-    """
-    spark = source.sparkSession
-    source = materialize(source, "batch")  # feeds several reads, computed once
-    target = spark.read.parquet(path)
-    reject_repeated_keys(source, key)
-    keys = source.select(key)
-
-    def partitions_of(df: DataFrame) -> set:
-        # At most one value per partition directory, which the driver lists anyway.
-        return {row[0] for row in df.select(partition).distinct().collect()}
-
-    def rows_in(values: set) -> DataFrame:
-        return target.filter(
-            F.col(partition).isin([v for v in values if v is not None])
-            | (F.col(partition).isNull() & F.lit(None in values))
-        )
-
-    written = partitions_of(source)
-    held = partitions_of(target.join(keys, key, "left_semi"))
-    kept = rows_in(written | held).join(keys, key, "left_anti")
-    emptied = held - written - partitions_of(kept)
-    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
-    stale = rows_in(emptied).select(folder).distinct().collect() if emptied else []
-    (
-        kept.unionByName(source, allowMissingColumns=True)
-        .hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    for (uri,) in stale:
-        folder, fs = hadoop_path(spark, spark._jvm.java.net.URI.create(uri))
-        fs.delete(folder, True)
-
-
 def append_batch(df: DataFrame, path: str, batch_id: str, source_system: str) -> None:
     """Add one batch to an append-only table, stamped with where it came from.
 
@@ -224,7 +227,8 @@ def with_lineage(df: DataFrame, batch_id: str, source_system: str) -> DataFrame:
 def read_batches(
     spark: SparkSession, path: str, after: str | None = None, schema=None
 ) -> DataFrame:
-    """Batches later than ``after``; older ones are pruned by directory.
+    """Batches later than ``after``, by ids that sort as text; older ones are pruned by
+    directory.
 
     Without a schema, columns that appeared over time are merged.
     """

@@ -8,11 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vigiltx.operators.clean import clean_transactions
 from vigiltx.schema import BRONZE_TRANSACTIONS
-from vigiltx.sources.tables import PartitionedTable, VersionedTable, read_batches
+from vigiltx.sources.tables import VersionedTable, read_batches
 
 
 def stream_silver(
-    spark: SparkSession, bronze_path: str, silver: VersionedTable | PartitionedTable,
+    spark: SparkSession, bronze_path: str, silver: VersionedTable,
     checkpoint: str, files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Clean and upsert every bronze file not seen before, then stop.
