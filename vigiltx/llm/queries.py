@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigiltx.llm import jaccard, langid, mixing, neighbours, quality, repeats, secrets, sentence_pieces, token_counts, topk
@@ -21,8 +21,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(_read(spark, sf_dir, "documents"), keep=["doc_id"])
     base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
-    each = (F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex"))
-    return found.select("doc_id", *each, F.sha2(secrets.spelled(base), 256).alias("base_sha256"), secrets.spelled(F.col("spans")).alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(secrets.spelled(base), 256).alias("base_sha256"), secrets.spelled(F.col("spans")).alias("spans"))
 
 
 def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,11 +124,11 @@ FROM docs LEFT JOIN texts USING (id)
 """,
     "op4_jaccard_join": r"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
   FROM words),
 shingle AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
 link AS (
@@ -146,13 +149,13 @@ share AS (
   WINDOW w AS (ORDER BY own ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 slots AS (
   SELECT own, (1 + low + CASE WHEN row_number() OVER (ORDER BY exact - low DESC, own) <= free - sum(low) OVER () THEN 1 ELSE 0 END)::BIGINT AS a FROM share),
-every AS (SELECT list(own ORDER BY own) AS names, list(a ORDER BY own) AS a, sum(a)::BIGINT AS period FROM slots),
+every AS (SELECT list(own ORDER BY own) AS names, list(a ORDER BY own) AS parts, sum(a)::BIGINT AS period FROM slots),
 run AS (
-  SELECT 0::BIGINT AS slot, list_transform(a, x -> 0::BIGINT) AS served, 0::BIGINT AS pick FROM every
+  SELECT 0::BIGINT AS slot, list_transform(parts, lambda x: 0::BIGINT) AS served, 0::BIGINT AS pick FROM every
   UNION ALL
-  SELECT slot + 1, list_transform(range(1, len(served) + 1), i -> served[i] + CASE WHEN i = chosen THEN 1 ELSE 0 END), chosen FROM (
-    SELECT slot, served, list_min(list_filter(list_transform(range(1, len(served) + 1), i -> CASE WHEN served[i] < a[i] AND (served[i] * period) // a[i] <= slot
-      THEN ((((served[i] + 1) * period + a[i] - 1) // a[i]) * 1000000 + i)::BIGINT END), x -> x IS NOT NULL)) % 1000000 AS chosen
+  SELECT slot + 1, list_transform(range(1, len(served) + 1), lambda i: served[i] + CASE WHEN i = chosen THEN 1 ELSE 0 END), chosen FROM (
+    SELECT slot, served, list_min(list_filter(list_transform(range(1, len(served) + 1), lambda i: CASE WHEN served[i] < parts[i] AND (served[i] * period) // parts[i] <= slot
+      THEN ((((served[i] + 1) * period + parts[i] - 1) // parts[i]) * 1000000 + i)::BIGINT END), lambda x: x IS NOT NULL)) % 1000000 AS chosen
     FROM run, every WHERE slot < period)),
 pattern AS (SELECT names[pick] AS own, slot - 1 AS slot, row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS j FROM run, every WHERE pick > 0),
 placed AS (
@@ -164,10 +167,10 @@ FROM blocks CROSS JOIN every JOIN pattern ON pattern.own = blocks.own AND patter
 """,
     "op8_top_k": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.x, c.x), p -> p[1] * p[2]))::BIGINT AS score
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.x) = len(c.x)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
