@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,11 +13,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
+from pyspark.sql.types import BinaryType
 
 from vigiltx.sources.shared import materialize
 
 #: Characters that numpy works on at a time inside a task.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 WORD = np.uint64
 _shipped: set[str] = set()
 
@@ -66,6 +68,31 @@ def chunks(sizes: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
         yield first, len(sizes)
 
 
+def parts(batches: Iterator[pd.DataFrame], column: str = "text", limit: int = CHUNK) -> Iterator[pd.DataFrame]:
+    """The rows in frames of ``limit`` characters or so, so that what is made of them stays small."""
+    for batch in batches:
+        sizes = np.fromiter((len(t) if t is not None else 0 for t in batch[column]), np.int64, len(batch))
+        for a, b in chunks(sizes, limit):
+            yield batch.iloc[a:b]
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
+    """Rows in order of ``key``, in frames that end where a group ends."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        last = batch[key].iloc[-1]
+        first = int((batch[key].to_numpy() == last).argmax())
+        if first or (held and held[0][key].iloc[-1] != last):
+            done = [*held, batch.iloc[:first]] if first else held
+            yield pd.concat(done, ignore_index=True) if len(done) > 1 else done[0].reset_index(drop=True)
+            held = []
+        held.append(batch.iloc[first:])
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves every output bit."""
     x = x.astype(WORD, copy=True)
@@ -77,11 +104,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def hashed_words(text: str | None) -> np.ndarray:
+def hashed_words(text: str | bytes | None) -> np.ndarray:
     """64-bit hashes of the words of a text: A-Z in lower case, cut at space and \\x09-\\x0D only."""
     from pandas.util import hash_array
 
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
+    words = raw.lower().split()
     if not words:
         return np.empty(0, WORD)
     column = np.empty(len(words), object)
@@ -89,7 +117,7 @@ def hashed_words(text: str | None) -> np.ndarray:
     return hash_array(column, categorize=False)
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
+def shingles(text: str | bytes | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of ``size`` words in a row; a shorter text is one shingle, an empty one none."""
     words = hashed_words(text)
     if not len(words):
@@ -126,7 +154,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 #: Bits of a set of ids that is sent to every task, whatever the number of ids.
-SIEVE = 1 << 26
+SIEVE = 1 << 24
 
 
 def sieve(ids: DataFrame, hashed: Column) -> np.ndarray:
@@ -149,18 +177,29 @@ def sieved(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[place >> 6] >> (place & 63).astype(WORD)) & WORD(1) == 1
 
 
-def without(rows: DataFrame, dropped: DataFrame, key: str, column: str) -> DataFrame:
-    """``rows`` whose ``key`` is not in ``column`` of ``dropped``, a written table; rows of a null key stay.
-
-    Only rows that the sieve takes for dropped ones are shuffled.
-    """
-    bits = rows.sparkSession.sparkContext.broadcast(sieve(dropped, F.xxhash64(column)))
+def let_through(rows: DataFrame, ids: DataFrame, column: str, key: Column) -> DataFrame:
+    """``rows`` with ``_met``: whether the sieve over ``column`` of ``ids`` lets the row's ``key`` through."""
+    bits = rows.sparkSession.sparkContext.broadcast(sieve(ids, F.xxhash64(column)))
 
     @pandas_udf("boolean")
     def met(hashes: pd.Series) -> pd.Series:
         return pd.Series(sieved(hashes.to_numpy(np.int64), bits.value))
 
-    marked = rows.select(F.struct("*").alias("_row"), met(F.xxhash64(F.col(key))).alias("_met"))
+    return rows.withColumn("_met", met(F.xxhash64(key)))
+
+
+@pandas_udf(BinaryType())
+def squeezed(texts: pd.Series) -> pd.Series:
+    """Texts packed for the way through a shuffle; a null text becomes the empty one."""
+    return pd.Series([zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in texts], dtype=object)
+
+
+def without(rows: DataFrame, dropped: DataFrame, key: str, column: str) -> DataFrame:
+    """``rows`` whose ``key`` is not in ``column`` of ``dropped``, a written table; rows of a null key stay.
+
+    Only rows that the sieve takes for dropped ones are shuffled.
+    """
+    marked = let_through(rows.select(F.struct("*").alias("_row")), dropped, column, F.col("_row")[key])
     gone = dropped.select(F.col(column).alias("_gone")).distinct()
     rest = marked.where("_met").join(gone, F.col("_row")[key] == F.col("_gone"), "left_anti")
     return marked.where("not _met").unionByName(rest).select(*(F.col("_row")[c].alias(c) for c in rows.columns))

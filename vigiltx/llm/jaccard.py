@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,8 +21,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import pandas_udf
 
-from vigiltx.llm.common import WORD, components, shingles, ship, sieve, sieved, without
+from vigiltx.llm.common import WORD, components, let_through, parts, shingles, ship, squeezed, without
 from vigiltx.sources.shared import materialize
 
 #: Counters of the sketch that orders shingles by how common they are; its size does not grow with the corpus.
@@ -60,36 +62,51 @@ def _counter(own: np.ndarray) -> np.ndarray:
     return (own >> WORD(40)).astype(np.int64) % COUNTERS
 
 
+def _counts(own: np.ndarray) -> bytes:
+    """How many shingles of a set fall to each value of their low bits; more bits for larger sets."""
+    n = 64 if len(own) < 512 else 256 if len(own) < 8192 else 1024
+    counts = np.bincount((own & WORD(n - 1)).astype(np.int64), minlength=n)
+    size = 1 if counts.max(initial=0) < 1 << 8 else 2 if counts.max() < 1 << 16 else 4
+    return bytes([size]) + counts.astype(f"u{size}").tobytes()
+
+
+def _most(one: bytes, two: bytes) -> int:
+    """A bound on the overlap of two sets from their counts."""
+    a, b = (np.frombuffer(x[1:], f"u{x[0]}").astype(np.int64) for x in (one, two))
+    n = min(len(a), len(b))
+    return int(np.minimum(a.reshape(-1, n).sum(axis=0), b.reshape(-1, n).sum(axis=0)).sum())
+
+
 def _scan(docs: DataFrame, kind: str, rule: JaccardRule) -> DataFrame:
-    """A row (id, n, node) for each document, and this task's counts of shingles by counter."""
+    """A row (id, n, node, counts) for each document, and this task's counts of shingles by counter."""
     words = rule.words
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, names = np.zeros(COUNTERS, np.int64), ["id", "n", "node", "counter", "count"]
+        counts, names = np.zeros(COUNTERS, np.int64), ["id", "n", "node", "counts", "counter", "count"]
         ids = pa.null()
-        for batch in batches:
-            sets = [shingles(text, words) for text in batch.column("text").to_pylist()]
-            if sets:
-                counts += np.bincount(_counter(np.concatenate(sets)), minlength=COUNTERS)
+        for batch in (whole.slice(a, 500) for whole in batches for a in range(0, whole.num_rows, 500)):
+            sets = [shingles(text.as_py(), words) for text in batch.column("text")]
+            counts += np.bincount(_counter(np.concatenate(sets)), minlength=COUNTERS)
             ids, none = batch.column("id").type, pa.nulls(len(sets), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(map(len, sets), pa.int64()), pa.array(map(_node, sets), pa.int64()), none, none], names)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(map(len, sets), pa.int64()), pa.array(map(_node, sets), pa.int64()), pa.array(map(_counts, sets), pa.binary()), none, none], names)
         used = np.flatnonzero(counts)
         if len(used):
             none = pa.nulls(len(used), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), ids), none, none, pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), ids), none, none, pa.nulls(len(used), pa.binary()), pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names)
 
-    return materialize(docs.mapInArrow(read, f"id {kind}, n long, node long, counter long, count long"), "scan")
+    return materialize(docs.mapInArrow(read, f"id {kind}, n long, node long, counts binary, counter long, count long"), "scan")
 
 
 def _postings(texts: DataFrame, order: np.ndarray, rule: JaccardRule) -> DataFrame:
-    """(token, node, n, pos) for the prefix of every set, rarest shingles first; equal sets of a batch give one."""
+    """(token, node, n, pos) for the prefix of every set, rarest shingles first; a task gives equal sets once."""
     shared = texts.sparkSession.sparkContext.broadcast(order)
     words, prefix = rule.words, rule.prefix
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = shared.value
-        for batch in batches:
-            seen, tokens, nodes, sizes = set(), [], [], []
+        counts, seen = shared.value, set()
+        for batch in parts(batches):
+            seen = seen if len(seen) < 1 << 16 else set()
+            tokens, nodes, sizes = [], [], []
             for text in batch["text"]:
                 own = shingles(text, words)
                 if not len(own) or (node := _node(own)) in seen:
@@ -109,46 +126,60 @@ def _postings(texts: DataFrame, order: np.ndarray, rule: JaccardRule) -> DataFra
     return texts.mapInPandas(read, "token long, node long, n int, pos int")
 
 
-def _sets(texts: DataFrame, wanted: DataFrame, rule: JaccardRule) -> DataFrame:
-    """(node, set) for the nodes of ``wanted``; the texts are read again and not shuffled."""
-    place = wanted.select("node").distinct()
-    shared = texts.sparkSession.sparkContext.broadcast(sieve(place, F.col("node")))
-    words = rule.words
+@dataclass(frozen=True)
+class _Corpus:
+    """``texts`` (id, text) and ``nodes`` (node, n, first, counts), a written table of the distinct sets."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
-        for batch in batches:
-            nodes, sets = [], []
-            for text in batch["text"]:
-                own = shingles(text, words)
-                if not len(own) or (node := _node(own)) in seen:
-                    continue
-                if sieved(np.array([node]), shared.value)[0]:
-                    seen.add(node)
-                    nodes.append(node)
-                    sets.append(own.view(np.int64))
-            if len(seen) > 1 << 16:
-                seen = set()
-            for a in range(0, len(nodes), 256):
-                yield pd.DataFrame({"node": nodes[a : a + 256], "set": sets[a : a + 256]})
+    texts: DataFrame
+    nodes: DataFrame
+    rule: JaccardRule
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose overlap the counts of their sets do not rule out, with the sizes an and bn."""
+
+        @pandas_udf("long")
+        def most(one: pd.Series, two: pd.Series) -> pd.Series:
+            return pd.Series([_most(a, b) for a, b in zip(one, two, strict=True)], dtype=np.int64)
+
+        for side in "ab":
+            pairs = pairs.join(self.nodes.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), F.col("counts").alias(f"{side}c")), side)
+        return pairs.where(most("ac", "bc") >= self.rule.needed(F.col("an"), F.col("bn"))).drop("ac", "bc")
+
+    def texts_of(self, wanted: DataFrame) -> DataFrame:
+        """(node, packed): one text of each node; only texts that a sieve takes for wanted are shuffled."""
+        asked = materialize(wanted.distinct().join(self.nodes.select("node", "first"), "node"), "wanted")
+        rows = let_through(self.texts, asked, "first", F.col("id")).where("_met").select("id", squeezed("text").alias("packed"))
+        words = self.rule.words
+
+        @pandas_udf("long")
+        def node_of(packed: pd.Series) -> pd.Series:
+            return pd.Series([_node(shingles(zlib.decompress(x), words)) for x in packed], dtype=np.int64)
+
+        found = rows.join(asked, F.col("id") == F.col("first")).where(node_of("packed") == F.col("node"))
+        return materialize(found.select("node", "packed").dropDuplicates(["node"]), "texts")
 
-    found = texts.mapInPandas(read, "node long, set array<long>")
-    return materialize(found.join(place, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    def overlaps(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, overlap) of distinct pairs of nodes, counted on whole sets."""
+        pairs = materialize(pairs.select("a", "b").distinct(), "pairs")
+        texts = self.texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
+        words = self.rule.words
 
+        @pandas_udf("long")
+        def overlap(one: pd.Series, two: pd.Series) -> pd.Series:
+            sets = {x: shingles(zlib.decompress(x), words) for x in {*one, *two}}
+            return pd.Series([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(one, two, strict=True)], dtype=np.int64)
 
-def _overlaps(pairs: DataFrame, texts: DataFrame, rule: JaccardRule) -> DataFrame:
-    """(a, b, overlap) of distinct pairs of nodes, counted on whole sets."""
-    pairs = materialize(pairs.select("a", "b").distinct(), "pairs")
-    sets = _sets(texts, pairs.select(F.col("a").alias("node")).union(pairs.select("b")), rule)
-    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("one")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("two")), "b")
-    return materialize(met.select("a", "b", F.size(F.array_intersect("one", "two")).alias("overlap")), "overlaps")
+        met = pairs
+        for side in "ab":
+            met = met.join(texts.select(F.col("node").alias(side), F.col("packed").alias(f"{side}t")), side)
+        return materialize(met.select("a", "b", overlap("at", "bt").alias("overlap")), "overlaps")
 
 
 def _leaders(lists: DataFrame, rule: JaccardRule) -> DataFrame:
     """For each node the set it shares most lists with, among the first of its size class in each list."""
     ok = rule.reach(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"))
     shared = lists.where((F.col("node") != F.col("lead.node")) & ok).groupBy("node", F.col("lead.node").alias("leader")).agg(F.count("*").alias("times"))
-    best = shared.groupBy("node").agg(F.min(F.struct(-F.col("times"), "leader")).alias("best"))
+    best = shared.groupBy("node").agg(F.min(F.struct((-F.col("times")).alias("times"), "leader")).alias("best"))
     return best.select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
 
 
@@ -178,13 +209,10 @@ def _remaining(lists: DataFrame, joined: DataFrame, rule: JaccardRule) -> DataFr
         (F.col("ac") != F.col("bc")) & ((F.col("block") != F.col("other")) | (F.col("a") < F.col("b")))
         & rule.fits(F.col("an"), F.col("bn")) & rule.reach(F.col("an"), F.col("ap"), F.col("bn"), F.col("bp"))
     )
-    small = F.col("a") < F.col("b")
-    return pairs.select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(small, F.col("an")).otherwise(F.col("bn")).alias("an"), F.when(small, F.col("bn")).otherwise(F.col("an")).alias("bn")
-    ).distinct()
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _derived(pairs: DataFrame, anchors: DataFrame, texts: DataFrame, rule: JaccardRule) -> DataFrame:
+def _derived(pairs: DataFrame, anchors: DataFrame, corpus: _Corpus) -> DataFrame:
     """The links among ``pairs`` (a, an, b, bn); ``anchors``: (node, anchor, lost, more) of sets found similar to another.
 
     A set differs from its anchor by ``lost`` shingles that only it has and ``more`` that only the anchor has.
@@ -198,12 +226,12 @@ def _derived(pairs: DataFrame, anchors: DataFrame, texts: DataFrame, rule: Jacca
         known = known.withColumn(f"{side}_anchor", F.coalesce(f"{side}_anchor", side)).na.fill(0, [f"{side}_lost", f"{side}_more"])
     known = known.withColumn("x", F.least("a_anchor", "b_anchor")).withColumn("y", F.greatest("a_anchor", "b_anchor"))
     known = materialize(known.select("a", "b", "an", "bn", "x", "y", (F.col("a_lost") + F.col("b_lost")).alias("lost"), (F.col("a_more") + F.col("b_more")).alias("more")), "derived")
-    counted = _overlaps(known.select(F.col("x").alias("a"), F.col("y").alias("b")), texts, rule)
+    counted = corpus.overlaps(known.select(F.col("x").alias("a"), F.col("y").alias("b")))
     known = known.join(counted.select(F.col("a").alias("x"), F.col("b").alias("y"), "overlap"), ["x", "y"])
-    least, most, needed = F.col("overlap") - F.col("more"), F.col("overlap") + F.col("lost"), rule.needed(F.col("an"), F.col("bn"))
+    least, most, needed = F.col("overlap") - F.col("more"), F.col("overlap") + F.col("lost"), corpus.rule.needed(F.col("an"), F.col("bn"))
     known = materialize(known.select("a", "b", "an", "bn", F.when(least >= needed, True).when(most < needed, False).alias("linked")), "derived")
     open_ = known.where("linked is null")
-    full = _overlaps(open_, texts, rule).join(open_.select("a", "b", "an", "bn"), ["a", "b"]).where(F.col("overlap") >= needed)
+    full = corpus.overlaps(open_).join(open_.select("a", "b", "an", "bn"), ["a", "b"]).where(F.col("overlap") >= needed)
     return known.where("linked").select("a", "b").union(full.select("a", "b"))
 
 
@@ -213,8 +241,8 @@ def similar_groups(docs: DataFrame, rule: JaccardRule = JaccardRule(), *, key: s
     Words are cut at space and \\x09-\\x0D after A-Z became lower case. A text of fewer words than a shingle is one
     shingle; a null or wordless text has no shingle, is linked with nothing and stands alone. Links are exact and
     complete: no list is cut, and a pair is only passed over if it cannot link or is connected already. Copies are one
-    node however many they are. Rows that repeat an id stay rows of their own; a null id belongs to no least id unless
-    all of a group are null. Sets are known by 64-bit hashes of their 64-bit shingle hashes.
+    node however many they are. Rows that repeat an id stay rows of their own. A null id is never the least of
+    a group with other ids, and a set that only rows without an id hold links with nothing. Sets are known by 64-bit hashes of their 64-bit shingle hashes.
     """
     ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
@@ -223,7 +251,7 @@ def similar_groups(docs: DataFrame, rule: JaccardRule = JaccardRule(), *, key: s
     order = np.zeros(COUNTERS, np.int64)
     counts = scan.where("counter is not null").groupBy("counter").agg(F.sum("count").alias("count")).toPandas()
     order[counts["counter"].to_numpy(np.int64)] = counts["count"].to_numpy(np.int64)
-    rows = scan.where("counter is null").select("id", "n", "node")
+    rows = scan.where("counter is null").select("id", "n", "node", "counts")
 
     size = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / rule.percent) + 1e-9) if rule.percent < 100 else F.col("n").cast("long")
     inside = Window.partitionBy("token").orderBy("class", "n", "node")
@@ -234,17 +262,18 @@ def similar_groups(docs: DataFrame, rule: JaccardRule = JaccardRule(), *, key: s
     lists = lists.withColumn("lead", lead).withColumn("shared", last).where("shared").select("token", "node", "n", "pos", "lead")
     lists = materialize(lists, "lists")
 
-    sizes = lists.groupBy("node").agg(F.first("n").alias("n"))
-    near = _overlaps(_leaders(lists, rule), texts, rule)
-    near = near.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("an")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("bn")), "b")
-    near = materialize(near.where(F.col("overlap") >= rule.needed(F.col("an"), F.col("bn"))), "near")
+    nodes = rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("id").alias("first"), F.first("counts").alias("counts"))
+    corpus = _Corpus(texts, materialize(nodes, "nodes"), rule)
+    near = materialize(corpus.possible(_leaders(lists, rule)), "near")
+    near = near.join(corpus.overlaps(near), ["a", "b"]).where(F.col("overlap") >= rule.needed(F.col("an"), F.col("bn")))
+    near = materialize(near, "near")
     joined = components(near.select("a", "b"))
     anchors = near.select(F.col("a").alias("node"), F.col("b").alias("anchor"), (F.col("an") - F.col("overlap")).alias("lost"), (F.col("bn") - F.col("overlap")).alias("more"))
-    pairs = materialize(_remaining(lists, joined, rule), "remaining")
-    links = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_derived(pairs, anchors, texts, rule))
+    pairs = materialize(corpus.possible(_remaining(lists, joined, rule)), "possible")
+    links = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_derived(pairs, anchors, corpus))
     joined = components(links)
 
-    first = rows.groupBy("node").agg(F.min("id").alias("first"))
+    first = corpus.nodes.select("node", "first")
     member = joined.join(first, "node")
     group = member.groupBy("component").agg(F.min("first").alias("least"))
     least = member.join(group, "component").select("node", "least")

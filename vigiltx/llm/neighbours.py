@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from vigiltx.llm.common import ship
+from vigiltx.llm.common import ship, whole_groups
 from vigiltx.llm.topk import sound
 from vigiltx.sources.shared import materialize
 
@@ -39,23 +39,6 @@ class GraphConfig:
     seed: int = 5
 
 
-def whole_groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
-    """Rows in order of ``key``, in frames that end where a group ends."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        last = batch[key].iloc[-1]
-        first = int((batch[key].to_numpy() == last).argmax())
-        if first or (held and held[0][key].iloc[-1] != last):
-            done = [*held, batch.iloc[:first]] if first else held
-            yield pd.concat(done, ignore_index=True) if len(done) > 1 else done[0].reset_index(drop=True)
-            held = []
-        held.append(batch.iloc[first:])
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
 def ranked(owner: np.ndarray, ids: np.ndarray, sims: np.ndarray, most: int, flag: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """The ``most`` best distinct ids of each owner, best first; a flag set on any copy of an id stays set."""
     flag = np.zeros(len(owner), bool) if flag is None else flag

@@ -9,6 +9,7 @@ order of the dictionary's suffixes as deep as a match needs to be.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,11 +19,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from vigiltx.llm.common import CHUNK, WORD, carried, mixed, ship, sieve, sieved, uncarried
+from vigiltx.llm.common import CHUNK, WORD, let_through, mixed, parts, ship, squeezed, whole_groups
 from vigiltx.sources.shared import materialize
 
 #: Rows of phrases keep the count of their strings beside their place.
 COUNT_BITS = 8
+#: Phrases of one trigger that are compared in one task.
+MANY = 4096
 LAST = (1 << 63) - 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _TABLE = mixed(np.arange(1, 257, dtype=WORD) * WORD(0x9E3779B97F4A7C15))
@@ -140,7 +143,7 @@ def _phrase_rows(texts: DataFrame, rule: RepeatRule) -> DataFrame:
     at once: such rows have no strings, begin at their place and have their end as phrase."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in parts(batches, limit=6 * CHUNK):
             docs = batch["doc"].to_numpy(np.int64)
             owner, place, count, trigger, phrase = phrases([_bytes(t) for t in batch["text"]], rule)
             doc = docs[owner]
@@ -163,40 +166,90 @@ def _phrase_rows(texts: DataFrame, rule: RepeatRule) -> DataFrame:
     return texts.mapInPandas(read, "trigger long, phrase long, doc long, at long")
 
 
-def _of(texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """The rows of ``texts`` that a sieve takes for being in ``docs``; the others are not shuffled."""
-    bits = texts.sparkSession.sparkContext.broadcast(sieve(docs, F.xxhash64("doc")))
-
-    @pandas_udf("boolean")
-    def met(hashes: pd.Series) -> pd.Series:
-        return pd.Series(sieved(hashes.to_numpy(np.int64), bits.value))
-
-    return texts.withColumn("_met", met(F.xxhash64("doc")))
-
-
-def _strings(texts: DataFrame, checks: DataFrame, rule: RepeatRule) -> DataFrame:
-    """(string, more, doc, at) for every string of the phrases ``checks`` (doc, at), known by two hashes."""
-    asked = checks.groupBy("doc").agg(F.collect_set("at").alias("asked"))
-    rows = _of(texts, checks).where("_met").drop("_met").join(asked, "doc").select("doc", "text", "asked")
+def _later(trigger: np.ndarray, doc: np.ndarray, place: np.ndarray, count: np.ndarray, content: list[bytes], rule: RepeatRule) -> tuple[np.ndarray, ...]:
+    """Of the strings of phrases that come with their content, the ranges of those that an earlier place has too."""
+    raw = np.frombuffer(b"".join(content), np.uint8)
+    size = np.fromiter(map(len, content), np.int64, len(content))
+    count = np.clip(size - rule.length + 1, 0, count)
+    sums, down = rolling(raw)
+    base = np.concatenate([[0], np.cumsum(size)[:-1]])
+    owner = np.repeat(np.arange(len(count)), count)
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at = base[owner] + step
+    string = stretch(sums, down, at, at + rule.length)
+    group, who, where = trigger[owner], doc[owner], place[owner] + step
+    by = np.lexsort((where, who, string, group))
+    first = np.ones(len(by), bool)
+    first[1:] = (group[by][1:] != group[by][:-1]) | (string[by][1:] != string[by][:-1])
+    head = np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))
+    later = np.zeros(len(by), bool)
+    later[by] = (who[by] != who[by][head]) | (where[by] != where[by][head])
+    # Strings of a phrase that follow each other make one range.
+    owner, where = owner[later], where[later]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (where[1:] != where[:-1] + 1)
+    start = np.flatnonzero(new)
+    end = np.append(start[1:], len(owner)) - 1 if len(start) else start
+    return doc[owner[start]], where[start], where[end] + rule.length
+
+
+def _settled(texts: DataFrame, checks: DataFrame, rule: RepeatRule) -> DataFrame:
+    """(doc, start, end): ranges of ``checks`` (doc, at, trigger, hot) whose strings come earlier in another phrase.
+
+    The phrases of a trigger meet with their content. A trigger that more phrases have than one task should hold is
+    ``hot``: its strings are shuffled one by one, known by two hashes, those that return within a batch only once.
+    """
+    asked = checks.groupBy("doc").agg(F.collect_set(F.struct("at", "trigger", "hot")).alias("asked"))
+    rows = let_through(texts, checks, "doc", F.col("doc")).where("_met").select("doc", squeezed("text").alias("packed"))
+    rows = rows.dropDuplicates(["doc"]).join(asked, "doc").select("doc", "packed", F.col("asked.at").alias("at"), F.col("asked.trigger").alias("trigger"), F.col("asked.hot").alias("hot"))
+    mask = (1 << COUNT_BITS) - 1
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc, text, asked in batch.itertuples(index=False):
-                raw = np.frombuffer(_bytes(text), np.uint8)
-                asked = np.sort(np.asarray(asked, np.int64))
-                start, count = asked >> COUNT_BITS, asked & ((1 << COUNT_BITS) - 1)
-                for a in range(0, len(raw), CHUNK):
-                    mine = (start >= a) & (start < a + CHUNK)
-                    if not mine.any():
-                        continue
-                    piece = raw[a : a + CHUNK + rule.length + (1 << COUNT_BITS)]
-                    sums, down = rolling(piece)
-                    n = count[mine]
-                    at = np.repeat(start[mine] - a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                    at = at[at + rule.length <= len(piece)]
-                    yield pd.DataFrame({"string": stretch(sums, down, at, at + rule.length).view(np.int64), "more": mixed(sums[at + rule.length // 2] * down[at] - sums[at] * down[at]).view(np.int64), "doc": doc, "at": at + a})
-
-    return rows.mapInPandas(read, "string long, more long, doc long, at long")
+            cuts = []
+            for doc, packed, at, trigger, hot in batch.itertuples(index=False):
+                raw = zlib.decompress(packed)
+                start = np.asarray(at, np.int64) >> COUNT_BITS
+                size = (np.asarray(at, np.int64) & mask) + rule.length - 1
+                cuts.append(pd.DataFrame({"trigger": trigger, "hot": hot, "doc": doc, "start": start, "count": size - rule.length + 1, "content": [raw[a : a + n] for a, n in zip(start.tolist(), size.tolist(), strict=True)]}))
+                if sum(map(len, cuts)) > 4096:
+                    yield pd.concat(cuts, ignore_index=True)
+                    cuts = []
+            if cuts:
+                yield pd.concat(cuts, ignore_index=True)
+
+    found = rows.mapInPandas(cut, "trigger long, hot boolean, doc long, start long, count long, content binary")
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(batches, "trigger"):
+            doc, start, end = _later(*(frame[c].to_numpy(np.int64) for c in ("trigger", "doc", "start", "count")), frame["content"].to_list(), rule)
+            yield pd.DataFrame({"doc": doc, "start": start, "end": end})
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            if not len(frame):
+                continue
+            content = frame["content"].to_list()
+            sums, down = rolling(np.frombuffer(b"".join(content), np.uint8))
+            size = np.fromiter(map(len, content), np.int64, len(content))
+            count = np.clip(size - rule.length + 1, 0, frame["count"].to_numpy(np.int64))
+            owner = np.repeat(np.arange(len(count)), count)
+            step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            at = (np.cumsum(size) - size)[owner] + step
+            rows = pd.DataFrame({
+                "string": stretch(sums, down, at, at + rule.length).view(np.int64), "more": stretch(sums, down, at, at + rule.length // 2).view(np.int64),
+                "doc": frame["doc"].to_numpy(np.int64)[owner], "start": frame["start"].to_numpy(np.int64)[owner] + step,
+            }).sort_values(["string", "more", "doc", "start"], kind="stable")
+            same = rows.duplicated(["string", "more"]).to_numpy()
+            rows["end"] = np.where(same, rows["start"] + rule.length, 0)
+            yield rows
+
+    cold = found.where("not hot").select("trigger", "doc", "start", "count", "content")
+    cold = cold.repartition("trigger").sortWithinPartitions("trigger").mapInPandas(meet, "doc long, start long, end long")
+    hot = materialize(found.where("hot").select("doc", "start", "count", "content").mapInPandas(spread, "string long, more long, doc long, start long, end long"), "strings")
+    later = F.rank().over(Window.partitionBy("string", "more").orderBy("doc", "start")) > 1
+    slow = hot.where("end = 0").withColumn("later", later).where("later").select("doc", "start", F.col("start") + rule.length)
+    return cold.union(hot.where("end > 0").select("doc", "start", "end")).union(slow)
 
 
 def repeated_spans(docs: DataFrame, rule: RepeatRule = RepeatRule(), *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -204,45 +257,50 @@ def repeated_spans(docs: DataFrame, rule: RepeatRule = RepeatRule(), *, key: str
 
     A byte goes if a string of ``rule.length`` bytes covers it that also starts earlier: in a row of a smaller id, or
     before it in the same row. Strings are judged on the input, overlaps count, and none crosses rows. A null text
-    counts as empty. Null ids come last and are one id. Rows that repeat an id and text are one document: each gets the
-    same result. Input columns named as an output are replaced.
+    counts as empty. Rows of a null id come last, in an order by their text. Rows that repeat an id and text are one
+    document: each gets the same result; an id is not to stand for different texts. Input columns named as an output are replaced.
 
     Phrases that return within a batch are settled there, so that a phrase that most documents hold reaches the shuffle
     once for each batch. Texts are read three times; only those with a phrase in question are shuffled.
     """
     ship(docs.sparkSession)
-    rows = carried(docs, F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).cast("string").alias("text"))
-    texts = rows.select("doc", "text").where(F.octet_length("text") >= rule.length)
+    others = [c for c in docs.columns if c != text]
+    unnamed = F.lit(LAST) - F.xxhash64(F.col(text).cast("string")).bitwiseAND(F.lit((1 << 40) - 1).cast("long"))
+    rows = docs.select(F.struct(*others).alias("_row"), F.coalesce(F.col(key).cast("long"), unnamed).alias("doc"), F.col(text).alias("_text"))
+    texts = rows.select("doc", F.col("_text").cast("string").alias("text")).where(F.octet_length("text") >= rule.length)
     place = F.rank().over(Window.partitionBy("trigger", "phrase").orderBy("doc", F.shiftright("at", COUNT_BITS)))
     of_trigger = Window.partitionBy("trigger")
     count = F.col("at").bitwiseAND(F.lit((1 << COUNT_BITS) - 1).cast("long"))
     start = F.shiftright("at", COUNT_BITS)
     found = _phrase_rows(texts, rule).withColumn("rank", place)
     found = found.withColumn("several", F.min("phrase").over(of_trigger) != F.max("phrase").over(of_trigger))
-    found = found.select(
-        "doc", "at", start.alias("start"), F.when(count == 0, F.col("phrase")).when(F.col("rank") > 1, start + count + (rule.length - 1)).alias("end"), "several"
+    found = found.withColumn("hot", F.count("*").over(of_trigger) > MANY).select(
+        "doc", "at", "trigger", "hot", start.alias("start"), F.when(count == 0, F.col("phrase")).when(F.col("rank") > 1, start + count + (rule.length - 1)).alias("end"), "several"
     ).where("end is not null or several")
     found = materialize(found, "phrases")
-    strings = _strings(texts, found.where("end is null").select("doc", "at"), rule)
-    later = F.rank().over(Window.partitionBy("string", "more").orderBy("doc", "at")) > 1
-    strings = strings.withColumn("later", later).where("later")
-    spans = found.where("end is not null").select("doc", "start", "end").union(strings.select("doc", F.col("at").alias("start"), F.col("at") + rule.length))
+    more = _settled(texts, found.where("end is null").select("doc", "at", "trigger", "hot"), rule)
+    spans = found.where("end is not null").select("doc", "start", "end").union(more)
     spans = materialize(spans.groupBy("doc").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")), "spans")
 
-    @pandas_udf("spans array<struct<start:long,end:long>>, kept binary")
-    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
-        spans, kept = [], []
-        for t, s, e in zip(texts, starts, ends, strict=True):
-            raw = _bytes(t)
-            s, e = (np.asarray([] if x is None else x, np.int64) for x in (s, e))
+    @pandas_udf("spans array<struct<start:long,end:long>>, kept binary, text string")
+    def cut(packed: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
+        spans, kept, whole = [], [], []
+        for p, s, e in zip(packed, starts, ends, strict=True):
+            raw = zlib.decompress(p)
+            s, e = (np.minimum(np.asarray([] if x is None else x, np.int64), len(raw)) for x in (s, e))
             s, e = merged(s, e)
             spans.append([{"start": int(a), "end": int(b)} for a, b in zip(s, e, strict=True)])
             edges = [0, *(int(x) for pair in zip(s, e, strict=True) for x in pair), len(raw)]
-            kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-        return pd.DataFrame({"spans": spans, "kept": kept})
-
-    rows = _of(rows, spans.select("doc"))
-    some = rows.where("_met").join(spans, "doc", "left").withColumn("cut", cut("text", "starts", "ends")).select("_row", "cut.spans", "cut.kept")
+            kept.append(b"".join([raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]))
+            whole.append(raw.decode("utf-8", "surrogatepass"))
+        return pd.DataFrame({"spans": spans, "kept": kept, "text": whole})
+
+    rows = let_through(rows, spans, "doc", F.col("doc"))
+    packed = F.when(F.col("_text").isNotNull(), squeezed(F.col("_text").cast("string")))
+    some = rows.where("_met and _text is not null").select("_row", "doc", packed.alias("_packed")).join(spans, "doc", "left")
+    some = some.withColumn("cut", cut("_packed", "starts", "ends")).select("_row", F.col("cut.text").alias("_text"), "cut.spans", "cut.kept")
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    rest = rows.where("not _met").select("_row", none.alias("spans"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("kept"))
-    return uncarried(some.union(rest), docs.columns, F.col("spans"), F.col("kept"), added=["spans", "kept"])
+    rest = rows.where("not _met or _text is null").select("_row", F.col("_text").cast("string"), none.alias("spans"), F.encode(F.coalesce(F.col("_text").cast("string"), F.lit("")), "utf-8").alias("kept"))
+    out = some.union(rest)
+    fields = [c for c in docs.columns if c not in ("spans", "kept")]
+    return out.select(*(F.col("_text").alias(c) if c == text else F.col("_row")[c].alias(c) for c in fields), "spans", "kept")

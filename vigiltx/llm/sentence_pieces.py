@@ -21,7 +21,7 @@ from vigiltx.llm.common import carried, chunks, ship, uncarried
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Words that a worker remembers; beyond it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 _vocabularies: dict[int, Vocabulary] = {}
 
 
@@ -220,7 +220,7 @@ class Vocabulary:
         """The ids of each text."""
         out: list[np.ndarray] = []
         lengths = np.fromiter((len(t or "") for t in texts), np.int64, len(texts))
-        for a, b in chunks(lengths, 1 << 21):
+        for a, b in chunks(lengths, 1 << 20):
             split = [self.words.findall(self.model.normalize(t)) if t else [] for t in texts[a:b]]
             new = list(dict.fromkeys(w for words in split for w in words if w not in self.index))
             if len(self.index) + len(new) > REMEMBERED and self.index:
