@@ -65,22 +65,10 @@ def schedule(shares: DataFrame) -> DataFrame:
     return served.groupBy("_source", "period").agg(F.array_sort(F.collect_list("slot")).alias("at"))
 
 
-def mix(
-    docs: DataFrame, weights: dict[str, float] | None = None, *, power: float = 0.5, block_chars: int = 1 << 16, period: int = 1000,
-    text: str = "text", source: str = "source", key: str = "doc_id", rows_per_bucket: int = 20_000,
+def _placed(
+    docs: DataFrame, weights: dict[str, float] | None, power: float, block_chars: int, period: int, text: str, source: str, key: str, rows_per_bucket: int
 ) -> DataFrame:
-    """``docs`` with the block of its source that each row starts in, and that block's release, deadline and slot.
-
-    A source's rows, in the order of md5 of their key, fill blocks of ``block_chars`` characters. Slots repeat the
-    schedule of one period, so that ordering by (slot, block_start) interleaves the sources to their weights with less
-    than one block of deviation for as long as no source has run out; slots of a source that has run out stay empty
-    and the others keep their proportions. No row is left out or repeated.
-
-    A null text has no characters; null sources are one source, null keys count as the empty text. Ties of md5 and key
-    fall to the length, then to chance among equal rows. Input columns named as an output are replaced. Places are
-    counted in buckets of a source, of ``rows_per_bucket`` rows or so, then over the buckets: no source is ever in
-    one task.
-    """
+    """Every row as ``_row``, and the columns of the schedule as struct ``_at``."""
     sized = carried(
         docs, F.coalesce(F.col(source).cast("string"), F.lit("\x00")).alias("_source"), F.coalesce(F.length(F.col(text).cast("string")), F.lit(0)).cast("long").alias("_size"),
         F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_key"),
@@ -97,14 +85,39 @@ def mix(
     start = F.col("_base") + F.col("_before")
     block, n = F.floor(start / F.lit(block_chars)), F.size("at")
     placed = placed.withColumn("_start", start).withColumn("_block", block)
-    return uncarried(
-        placed, docs.columns, F.col("_block").alias("block"),
-        F.floor(F.col("_block") * F.col("period") / n).alias("release"), F.ceil((F.col("_block") + 1) * F.col("period") / n).alias("deadline"),
+    at = F.struct(
+        F.col("_block").alias("block"), F.floor(F.col("_block") * F.col("period") / n).alias("release"),
+        F.ceil((F.col("_block") + 1) * F.col("period") / n).alias("deadline"),
         (F.floor(F.col("_block") / n) * F.col("period") + F.get("at", (F.col("_block") % n).cast("int"))).alias("slot"),
-        F.col("_start").alias("block_start"), added=ADDED,
+        F.col("_start").alias("block_start"),
     )
+    return placed.select("_row", at.alias("_at"))
+
+
+def mix(
+    docs: DataFrame, weights: dict[str, float] | None = None, *, power: float = 0.5, block_chars: int = 1 << 16, period: int = 1000,
+    text: str = "text", source: str = "source", key: str = "doc_id", rows_per_bucket: int = 20_000,
+) -> DataFrame:
+    """``docs`` with the block of its source that each row starts in, and that block's release, deadline and slot.
+
+    A source's rows, in the order of md5 of their key, fill blocks of ``block_chars`` characters. Slots repeat the
+    schedule of one period, so that ordering by (slot, block_start) interleaves the sources to their weights with less
+    than one block of deviation for as long as no source has run out; slots of a source that has run out stay empty
+    and the others keep their proportions. No row is left out or repeated.
 
+    A null text has no characters; null sources are one source, null keys count as the empty text. Ties of md5 and key
+    fall to the length, then to chance among equal rows. Input columns named as an output are replaced. Places are
+    counted in buckets of a source, of ``rows_per_bucket`` rows or so, then over the buckets: no source is ever in
+    one task.
+    """
+    placed = _placed(docs, weights, power, block_chars, period, text, source, key, rows_per_bucket)
+    return uncarried(placed, docs.columns, *(F.col("_at")[c].alias(c) for c in ADDED), added=ADDED)
 
-def interleaved(docs: DataFrame, weights: dict[str, float] | None = None, **options) -> DataFrame:
+
+def interleaved(
+    docs: DataFrame, weights: dict[str, float] | None = None, *, power: float = 0.5, block_chars: int = 1 << 16, period: int = 1000,
+    text: str = "text", source: str = "source", key: str = "doc_id", rows_per_bucket: int = 20_000,
+) -> DataFrame:
     """``docs`` in the order of the schedule."""
-    return mix(docs, weights, **options).orderBy("slot", "block_start").select(*docs.columns)
+    placed = _placed(docs, weights, power, block_chars, period, text, source, key, rows_per_bucket)
+    return placed.orderBy("_at.slot", "_at.block_start").select(*(F.col("_row")[c].alias(c) for c in docs.columns))

@@ -138,7 +138,9 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 def masked(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with every found secret replaced in the text, but for values that are widely copied examples."""
-    found = find_secrets(docs, text, **options)
+    own = "spans" in docs.columns
+    found = find_secrets(docs.withColumnRenamed("spans", "_own_spans") if own else docs, text, **options)
     examples = F.filter("spans", lambda s: s["kind"] == "example")
     live = F.filter("spans", lambda s: ~F.exists(examples, lambda e: (e["start"] >= s["start"]) & (e["end"] <= s["end"])))
-    return found.withColumn(text, redacted(F.col(text), live)).drop("spans").select(*docs.columns)
+    found = found.withColumn(text, redacted(F.col(text), live)).drop("spans")
+    return (found.withColumnRenamed("_own_spans", "spans") if own else found).select(*docs.columns)
