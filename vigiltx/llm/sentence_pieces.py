@@ -12,16 +12,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from vigiltx.llm.common import carried, chunks, ship, uncarried
+from vigiltx.llm.common import chunks, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Words that a worker remembers; beyond it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 _vocabularies: dict[int, Vocabulary] = {}
 
 
@@ -155,11 +158,11 @@ class Vocabulary:
         first = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
         last_place = first + size
         code[last_place] = 0
-        order = self.suffixes(code)
+        order = self.suffixes(code).astype(np.int32)
         rows, low, high = self.ranges(code, order)
         count = high - low
         at = order[np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())]
-        piece, end = np.repeat(self.reached[rows], count), at + np.repeat(self.sizes[rows], count)
+        piece, end = np.repeat(self.reached[rows].astype(np.int32), count), at + np.repeat(self.sizes[rows].astype(np.int32), count)
         # A character that is no piece itself is an edge of its own, kept below zero.
         word = np.repeat(np.arange(len(words)), size + 1)
         inside = np.ones(len(code), bool)
@@ -167,8 +170,9 @@ class Vocabulary:
         single = np.zeros(len(self.alphabet) + 1, bool)
         single[self.spelled[self.sizes == 1, 0]] = True
         odd = np.flatnonzero(inside & ~single[code])
-        at, piece, end = np.concatenate([at, odd]), np.concatenate([piece, np.full(len(odd), -1)]), np.concatenate([end, odd + 1])
-        level = end - first[word[at]]
+        odd = odd.astype(np.int32)
+        at, piece, end = np.concatenate([at, odd]), np.concatenate([piece, np.full(len(odd), -1, np.int32)]), np.concatenate([end, odd + 1])
+        level = (end - first[word[at]]).astype(np.int32)
         by = np.argsort(level, kind="stable")
         at, piece, end, level = at[by], piece[by], end[by], level[by]
         bounds = np.searchsorted(level, np.arange(1, level.max(initial=0) + 2))
@@ -181,7 +185,7 @@ class Vocabulary:
             ok = before != -3
             both = (before >= 0) & (own >= 0)
             if both.any():
-                ok[both] &= self.beside(before[both] * n + own[both])
+                ok[both] &= self.beside(before[both] * n + own[both].astype(np.int64))
             # Next to a character that is in no piece nothing merges; one that is only part of pieces is checked in full.
             last[end[a:b][ok]] = own[ok]
         self._collect(words, first, last_place, last, odd_piece)
@@ -269,14 +273,24 @@ def encode(docs: DataFrame, *, text: str = "text", path: str = MODEL) -> DataFra
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(_content(path))
 
-    @pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = vocabulary(shared.value)
-        for batch in batches:
-            yield pd.Series(own.encode(batch.tolist()), dtype=object)
+    others = [c for c in docs.columns if c != text]
+    rows = docs.select(F.struct(*others or [F.lit(0)]).alias("_row"), F.col(text).cast("string").alias("_text"))
 
-    found = carried(docs, F.col(text).cast("string").alias("_text")).withColumn("_pieces", encoded("_text"))
-    return uncarried(found, docs.columns, F.col("_pieces").alias("pieces"), F.size("_pieces").cast("long").alias("n_pieces"), added=["pieces", "n_pieces"])
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = vocabulary(shared.value)
+        for whole in batches:
+            sizes = pc.fill_null(pc.binary_length(whole.column("_text")), 0).to_numpy()
+            for a, b in chunks(sizes, 1 << 20):
+                part = whole.slice(a, b - a)
+                ids = own.encode(part.column("_text").to_pylist())
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column("_row"), part.column("_text"), lists], ["_row", "_text", "_pieces"])
+
+    done = rows.mapInArrow(encoded, StructType([*rows.schema.fields, StructField("_pieces", ArrayType(IntegerType()))]))
+    fields = [c for c in docs.columns if c.lower() not in ("pieces", "n_pieces")]
+    kept = (F.col("_text").alias(c) if c == text else F.col("_row")[c].alias(c) for c in fields)
+    return done.select(*kept, F.col("_pieces").alias("pieces"), F.size("_pieces").cast("long").alias("n_pieces"))
 
 
 def decode(docs: DataFrame, *, pieces: str = "pieces", to: str = "decoded", path: str = MODEL) -> DataFrame:
