@@ -298,7 +298,7 @@ def text_time(x: str) -> str:
 BURSTS = f"""WITH {SILVER},
 marked AS (
   SELECT *, CASE WHEN epoch(tx_ts) - epoch(lag(tx_ts) OVER w) <= {WEEK} THEN 0 ELSE 1 END AS starts
-  FROM tx WHERE origin LIKE 'C%' WINDOW w AS (PARTITION BY origin ORDER BY tx_ts)
+  FROM tx WINDOW w AS (PARTITION BY origin ORDER BY tx_ts)
 ),
 numbered AS (
   SELECT *, sum(starts) OVER (PARTITION BY origin ORDER BY tx_ts RANGE UNBOUNDED PRECEDING) AS session

@@ -223,3 +223,19 @@ def test_a_cluster_must_name_its_shared_folder(spark):
     assert shared_folder(session("local[2]", None))
     with pytest.raises(RuntimeError):
         shared_folder(session("yarn", None))
+
+
+def test_batch_ids_stay_text(spark, tmp_path):
+    path = str(tmp_path / "batches")
+    for i, name in enumerate(("009", "010", "011")):
+        append_batch(pairs(spark, **{f"k{i}": i}), path, name, "core")
+    assert {r.batch_id for r in read_batches(spark, path).collect()} == {"009", "010", "011"}
+    assert {r.batch_id for r in read_batches(spark, path, after="009").collect()} == {"010", "011"}
+
+
+def test_an_empty_rerun_empties_its_batch(spark, tmp_path):
+    path = str(tmp_path / "batches")
+    append_batch(pairs(spark, a=1), path, "b=1", "core")
+    append_batch(pairs(spark, b=2), path, "b2", "core")
+    append_batch(pairs(spark, a=1).where("false"), path, "b=1", "core")
+    assert [r.batch_id for r in read_batches(spark, path).collect()] == ["b2"]

@@ -79,25 +79,20 @@ def _unit_hash(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) * F.lit(2.0**-53)
 
 
-def draw_samples(vectors: DataFrame, cfg: ModelConfig, n: int) -> DataFrame:
+def draw_samples(vectors: DataFrame, cfg: ModelConfig, n: int, spread: float = 12.0) -> DataFrame:
     """``min(max_samples, n)`` rows per tree, without replacement, as (tree, key, columns).
 
-    A first draw thins a large table to about 4 * trees * max_samples rows. From
-    these every tree takes the rows with the smallest hashes; rows with a hash far
-    above the smallest are dropped before the shuffle.
+    Every row can enter every tree: a tree takes the rows with the smallest hashes of
+    (key, tree). Hashes far above the smallest are left out before the shuffle; the bound
+    lies ``spread`` deviations above the wanted number of rows, and ``fit`` draws without
+    it should a tree ever fall short.
     """
     size = min(cfg.max_samples, n)
-    pool = min(n, 4 * cfg.trees * size)
-    if pool < n:
-        vectors = vectors.filter(
-            _unit_hash(F.col("customer_id"), F.lit(cfg.seed)) < pool / n
-        )
 
     def draw(tree: Column) -> Column:
         return _unit_hash(F.col("customer_id"), tree, F.lit(cfg.seed))
 
-    # Twice the wanted rows on average: falling short is over ten deviations away.
-    near = min(1.0, 2.0 * size / pool) if size >= 256 else 1.0
+    near = min(1.0, (size + spread * math.sqrt(size) + 5 * spread) / max(n, 1))
     trees = F.filter(
         F.sequence(F.lit(0), F.lit(cfg.trees - 1)), lambda tree: draw(tree) < near
     )
@@ -146,10 +141,13 @@ def _grower(columns: list[str], cfg: ModelConfig):
 
 
 def node_table(
-    vectors: DataFrame, cfg: ModelConfig = ModelConfig(), columns: list[str] = MODEL_COLUMNS
+    vectors: DataFrame,
+    cfg: ModelConfig = ModelConfig(),
+    columns: list[str] = MODEL_COLUMNS,
+    spread: float = 12.0,
 ) -> DataFrame:
     """Every node of every tree. A leaf points to itself and lets every value pass left."""
-    samples = draw_samples(vectors, cfg, vectors.count())
+    samples = draw_samples(vectors, cfg, vectors.count(), spread)
     return samples.groupBy("tree").applyInPandas(_grower(columns, cfg), NODE_SCHEMA)
 
 
@@ -172,6 +170,10 @@ def fit(
 ) -> Forest:
     """Fit on a table of model vectors; pass a written table, it is read more than once."""
     nodes = node_table(vectors, cfg, columns).toPandas()
+    roots = nodes.loc[nodes["node"] == 0, "size"]
+    if len(nodes) and (len(roots) < cfg.trees or roots.min() < cfg.max_samples):
+        if len(roots) < cfg.trees or roots.min() < min(cfg.max_samples, vectors.count()):
+            nodes = node_table(vectors, cfg, columns, spread=math.inf).toPandas()
     if nodes.empty:
         raise ValueError("no rows to fit on")
     width = int(nodes["node"].max()) + 1

@@ -207,15 +207,16 @@ def append_batch(df: DataFrame, path: str, batch_id: str, source_system: str) ->
     """Add one batch to an append-only table, stamped with where it came from.
 
     The batch owns its partition directory: running it again replaces that directory
-    and nothing else.
+    and nothing else, also when the batch has no rows any more.
     """
-    (
-        with_lineage(df, batch_id, source_system)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    stamped = with_lineage(df, batch_id, source_system).drop("batch_id")
+    stamped.write.mode("overwrite").parquet(f"{path}/batch_id={_escaped(batch_id)}")
+
+
+def _escaped(value: str) -> str:
+    """A partition value as Spark spells it in a directory name."""
+    special = '"#%\'*/:=?\\{[]^\x7f'
+    return "".join(f"%{ord(c):02X}" if c in special or ord(c) < 32 else c for c in value)
 
 
 def with_lineage(df: DataFrame, batch_id: str, source_system: str) -> DataFrame:
@@ -232,6 +233,10 @@ def read_batches(
 
     Without a schema, columns that appeared over time are merged.
     """
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
-    batches = reader.parquet(path).withColumn("batch_id", F.col("batch_id").cast("string"))
+    if schema is None:
+        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
+    # Ids stay the text they are: as numbers 009 and 10 would change and sort otherwise.
+    fields = [f for f in schema.fields if f.name != "batch_id"]
+    whole = T.StructType([*fields, T.StructField("batch_id", T.StringType())])
+    batches = spark.read.schema(whole).parquet(path)
     return batches if after is None else batches.filter(F.col("batch_id") > F.lit(after))
