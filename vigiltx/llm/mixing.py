@@ -96,7 +96,7 @@ def _placed(
 
 def mix(
     docs: DataFrame, weights: dict[str, float] | None = None, *, power: float = 0.5, block_chars: int = 1 << 16, period: int = 1000,
-    text: str = "text", source: str = "source", key: str = "doc_id", rows_per_bucket: int = 20_000,
+    text: str = "text", source: str = "source", key: str = "doc_id", rows_per_bucket: int = 2_000,
 ) -> DataFrame:
     """``docs`` with the block of its source that each row starts in, and that block's release, deadline and slot.
 
@@ -116,7 +116,7 @@ def mix(
 
 def interleaved(
     docs: DataFrame, weights: dict[str, float] | None = None, *, power: float = 0.5, block_chars: int = 1 << 16, period: int = 1000,
-    text: str = "text", source: str = "source", key: str = "doc_id", rows_per_bucket: int = 20_000,
+    text: str = "text", source: str = "source", key: str = "doc_id", rows_per_bucket: int = 2_000,
 ) -> DataFrame:
     """``docs`` in the order of the schedule."""
     placed = _placed(docs, weights, power, block_chars, period, text, source, key, rows_per_bucket)
