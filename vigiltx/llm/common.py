@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 from pyspark.sql.types import BinaryType
@@ -129,6 +129,21 @@ def shingles(text: str | bytes | None, size: int) -> np.ndarray:
     return np.unique(rolled)
 
 
+def smallest(rows: DataFrame, by: str, limit: int, *hashed: str) -> DataFrame:
+    """Of the rows of each value of ``by``, those with the ``limit`` smallest hashes of ``hashed``; equal hashes count once.
+
+    How many hashes a value has is estimated first. Only rows below the bound under which twice ``limit`` of them are
+    expected reach the shuffle, so that neither it nor the task that ranks them grows with the table.
+    """
+    rows = rows.withColumn("_hash", F.xxhash64(*hashed))
+    known = materialize(rows.groupBy(F.col(by).alias("_by")).agg(F.approx_count_distinct("_hash").alias("_n")), "known")
+    share = F.least(F.lit(1.0), F.lit(2.0 * limit + 100) / F.col("_n"))
+    near = rows.join(known, F.col(by) == F.col("_by")).where(F.col("_hash").cast("double") <= share * 2.0**64 - 2.0**63)
+    near = near.dropDuplicates([by, "_hash"]).drop("_by", "_n")
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("_hash"))
+    return near.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_hash", "_rank")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b): the smallest node it is connected with.
 

@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from vigiltx.llm.common import CHUNK, carried, number, ship, uncarried
+from vigiltx.llm.common import CHUNK, carried, number, ship, smallest, uncarried
+from vigiltx.sources.shared import materialize
 
 
 @dataclass(frozen=True)
@@ -165,15 +166,19 @@ class QualityModel:
         return cls(w, r, bias, slope, offset, config)
 
 
-def fit(labelled: DataFrame, config: QualityConfig = QualityConfig()) -> QualityModel:
-    """A model of ``labelled`` (id, text, label); rows without a label of 0 or 1 are passed over, a null text is empty.
+def fit(docs: DataFrame, known: DataFrame, config: QualityConfig = QualityConfig()) -> QualityModel:
+    """A model of ``docs`` (id, text) and ``known`` (id, label); labels other than 0 or 1 are passed over, a null text is
+    empty, and of the texts of a repeated id one counts.
 
-    What reaches the driver are the feature numbers of 2 x ``config.rows`` texts at most.
+    The sample is drawn from ids and labels alone; only its texts are shuffled. What reaches the driver are the feature
+    numbers of 2 x ``config.rows`` texts at most.
     """
-    labelled = labelled.where("label in (0, 1)").select("id", F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label"))
+    known = known.where("label in (0, 1)").select("id", F.col("label").cast("int").alias("label"))
+    labelled = docs.select("id").join(known, "id")
     prior = labelled.agg(F.avg("label")).first()[0]
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id", F.xxhash64("text")))
-    rows = labelled.withColumn("_rank", rank).where(F.col("_rank") <= config.rows).select("id", "text", "label")
+    drawn = materialize(smallest(labelled, "label", config.rows, "id"), "drawn")
+    whole = docs.join(drawn.select("id").distinct(), "id").groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("at"), F.coalesce("text", F.lit("")).alias("text"))).alias("one"))
+    rows = whole.select("id", "one.text").join(drawn, "id")
 
     @pandas_udf("binary")
     def numbers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -202,9 +207,9 @@ def score_quality(
     """
     ship(docs.sparkSession)
     learn = docs if held_out is None else docs.where(~F.coalesce(held_out, F.lit(False)))
-    learn = learn.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text"))
-    known = labels.select(F.col(key).alias("_known"), F.col(label).alias("label")).distinct()
-    model = fit(learn.join(known, F.col("_key") == F.col("_known")).select(F.col("_key").cast("string").alias("id"), "text", "label"), config)
+    learn = learn.select(F.col(key).cast("string").alias("id"), F.col(text).cast("string").alias("text"))
+    known = labels.select(F.col(key).cast("string").alias("id"), F.col(label).alias("label")).distinct()
+    model = fit(learn, known, config)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @pandas_udf("double")
