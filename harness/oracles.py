@@ -337,6 +337,48 @@ tx AS (
 )
 SELECT {columns(SILVER_COLUMNS)}, batch_id FROM tx"""
 
+REGROUPED = f"""WITH {USABLE},
+batched AS (
+  SELECT *, CASE WHEN origin LIKE 'S%' THEN '011' WHEN geography = 'Local' THEN '010' ELSE '009' END AS batch_id
+  FROM usable
+),
+tx AS (
+  SELECT *, cast(cast(tx_ts AS date) AS varchar) AS tx_date, strftime(tx_ts, '%H:%M:%S') AS tx_time,
+    CASE batch_id WHEN '010' THEN 'branch' ELSE 'core' END AS source_system
+  FROM (SELECT *, row_number() OVER (PARTITION BY tx_id ORDER BY batch_id DESC, {SURVIVOR}) AS place
+        FROM batched)
+  WHERE place = 1
+)
+SELECT {columns(SILVER_COLUMNS)}, batch_id, source_system FROM tx"""
+
+
+def pass_through(found: str) -> str:
+    return f"""WITH {SILVER},
+inbound AS (
+  SELECT destination AS customer_id, count(*) AS in_count, {money()} AS in_total, max(tx_ts) AS last_in
+  FROM tx WHERE channel = 'Plataforma_Terceros' GROUP BY destination
+)
+SELECT customer_id, in_count, in_total, {text_time("last_in")} AS last_in_at, count(*) AS out_count,
+  {money()} AS out_total
+FROM tx JOIN inbound ON origin = customer_id
+WHERE channel = 'Transferencia_Bancaria' AND tx_ts > last_in
+GROUP BY ALL HAVING {found}"""
+
+
+MOST_SENT_ON = f"{money()} >= 0.90::double * in_total"
+
+SINGLE_EXIT = f"""WITH {SILVER},
+inbound AS (
+  SELECT destination AS customer_id, count(*) AS in_count, {money()} AS in_total
+  FROM tx WHERE channel = 'Exchange_Crypto' GROUP BY destination
+),
+outbound AS (
+  SELECT origin AS customer_id, count(*) AS out_count, {money()} AS out_total,
+    count(DISTINCT destination) AS exits
+  FROM tx WHERE channel = 'Exchange_Crypto' GROUP BY origin
+)
+SELECT * FROM inbound JOIN outbound USING (customer_id) WHERE in_count >= 2 AND exits BETWEEN 1 AND 3"""
+
 ORACLES: dict[str, str] = {
     "silver_transactions": f"WITH {SILVER} {SILVER_ROWS}",
     "silver_customers": f"WITH {SILVER} SELECT {columns(CUSTOMERS.fieldNames())} FROM customers",
@@ -354,6 +396,7 @@ SELECT CASE WHEN origin LIKE 'C%' THEN 'b1' ELSE 'b2' END AS batch_id, 'core' AS
   count(*) AS bronze_rows, count(tx_id) AS keyed_rows
 FROM bronze GROUP BY ALL""",
     "incremental_upsert": INCREMENTAL,
+    "incremental_regrouped": REGROUPED,
     "pruned_scan": f"""WITH {SILVER}
 SELECT tx_id, amount_usd, cast(year(tx_ts) AS integer) AS year, channel FROM tx
 WHERE year(tx_ts) BETWEEN 1997 AND 1998 AND channel = 'Exchange_Crypto'""",
@@ -454,16 +497,13 @@ SELECT origin AS customer_id, cast(cast(date_trunc('month', tx_ts) AS date) AS v
   count(*) AS deposits, {money()} AS amount, max(amount_usd) AS largest
 FROM tx WHERE regexp_matches(channel, '{CASH}') GROUP BY ALL
 HAVING count(*) BETWEEN 3 AND 5 AND max(amount_usd) < 10000 AND {money()} > 3000""",
-    "pass_through": f"""WITH {SILVER},
-inbound AS (
-  SELECT destination AS customer_id, count(*) AS in_count, {money()} AS in_total, max(tx_ts) AS last_in
-  FROM tx WHERE channel = 'Plataforma_Terceros' GROUP BY destination
-)
-SELECT customer_id, in_count, in_total, {text_time("last_in")} AS last_in_at, count(*) AS out_count,
-  {money()} AS out_total
-FROM tx JOIN inbound ON origin = customer_id
-WHERE channel = 'Transferencia_Bancaria' AND tx_ts > last_in
-GROUP BY ALL HAVING {money()} >= 0.90::double * in_total""",
+    "cash_splitting_day": f"""WITH {SILVER}
+SELECT origin AS customer_id, cast(cast(date_trunc('month', tx_ts) AS date) AS varchar) AS period_start,
+  count(*) AS deposits, {money("amount_usd * 5")} AS amount, max(amount_usd * 5) AS largest
+FROM tx WHERE regexp_matches(channel, '{CASH}') AND tx_ts IS NOT NULL GROUP BY ALL
+HAVING count(*) BETWEEN 3 AND 5 AND max(amount_usd * 5) < 10000 AND {money("amount_usd * 5")} > 10000""",
+    "pass_through": pass_through(MOST_SENT_ON),
+    "pass_through_near_limit": pass_through(f"{MOST_SENT_ON} OR {money()} >= 9999 AND {money()} < 10000"),
     "time_profile": f"""WITH {SILVER},
 counted AS (
   SELECT origin AS customer_id, count(tx_ts) AS timed_count,
@@ -475,17 +515,8 @@ counted AS (
 SELECT *, {", ".join(
         six(f"{c}_count::double / timed_count") + f" AS {c}_share" for c in ("night", "office", "weekend")
     )} FROM counted""",
-    "single_exit": f"""WITH {SILVER},
-inbound AS (
-  SELECT destination AS customer_id, count(*) AS in_count, {money()} AS in_total
-  FROM tx WHERE channel = 'Exchange_Crypto' GROUP BY destination
-),
-outbound AS (
-  SELECT origin AS customer_id, count(*) AS out_count, {money()} AS out_total,
-    count(DISTINCT destination) AS exits
-  FROM tx WHERE channel = 'Exchange_Crypto' GROUP BY origin
-)
-SELECT * FROM inbound JOIN outbound USING (customer_id) WHERE in_count >= 2 AND exits BETWEEN 1 AND 3""",
+    "single_exit": SINGLE_EXIT,
+    "single_exit_balanced": f"{SINGLE_EXIT} AND abs(out_total - in_total) <= 0.01::double * in_total",
     "stream_upsert": f"WITH {SILVER} {SILVER_ROWS}",
     "stream_bursts": STREAM_BURSTS,
 }

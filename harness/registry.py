@@ -1,7 +1,8 @@
 """One query per operator, over the test tables seen as bronze.
 
-Parameters differ from the library's defaults only where the defaults would select
-nothing from these tables; the SQL in ``oracles`` uses the same values.
+Where the library's defaults select few rows of these tables or none, parameters or
+amounts are changed; detectors whose optional test is switched off there have a second
+query with it. The SQL in ``oracles`` uses the same values.
 """
 
 from __future__ import annotations
@@ -178,6 +179,19 @@ def incremental_upsert(spark, sf):
     return as_text(publish(table.read().select(*SILVER_COLUMNS, "batch_id")))
 
 
+@query
+def incremental_regrouped(spark, sf):
+    """Batches that share keys, two of them loaded at once."""
+    bronze, path = mapped.bronze_transactions(spark, sf), fresh_path(spark, "bronze")
+    table = new_table(spark, "regrouped")
+    append_batch(bronze, path, "009", "core")
+    append_batch(bronze.filter("geography = 'Local'"), path, "010", "branch")
+    load_new_batches(spark, path, table)
+    append_batch(bronze.filter("origin LIKE 'S%'"), path, "011", "core")
+    load_new_batches(spark, path, table)
+    return as_text(publish(table.read().select(*SILVER_COLUMNS, "batch_id", "source_system")))
+
+
 @query
 def pruned_scan(spark, sf):
     tx = mapped.silver_transactions(spark, sf).withColumn("year", F.year("tx_date"))
@@ -438,6 +452,19 @@ def pass_through(spark, sf):
     return as_text(detectors.pass_through(tx, limit=None))
 
 
+@query
+def pass_through_near_limit(spark, sf):
+    return as_text(detectors.pass_through(mapped.silver_transactions(spark, sf)))
+
+
+@query
+def cash_splitting_day(spark, sf):
+    """The default form, with a month's payments moved to its first day and larger amounts."""
+    tx = mapped.silver_transactions(spark, sf)
+    moved = tx.withColumn("tx_ts", F.date_trunc("month", "tx_ts"))
+    return as_text(detectors.cash_splitting(moved.withColumn("amount_usd", F.col("amount_usd") * 5)))
+
+
 @query
 def time_profile(spark, sf):
     profile = detectors.time_profile(mapped.silver_transactions(spark, sf))
@@ -455,6 +482,13 @@ def single_exit(spark, sf):
     )
 
 
+@query
+def single_exit_balanced(spark, sf):
+    """With the default tolerance between what came in and what went out."""
+    tx = mapped.silver_transactions(spark, sf)
+    return detectors.single_exit(tx, inbound_channel="Exchange_Crypto", min_inbound=2, max_exits=3)
+
+
 # Streams
 
 

@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
@@ -75,6 +76,51 @@ def test_two_writers_do_not_lose_each_others_rows(spark, table, monkeypatch):
     assert content(table.read()) == {"a": 1, "b": 2}
 
 
+def test_a_commit_between_check_and_switch_is_not_lost(spark, table):
+    table.overwrite(pairs(spark, a=1))
+    base, other = table._live(), VersionedTable(spark, table.path)
+    other.overwrite(pairs(spark, b=2))
+    with pytest.raises(ConcurrentWriteError):
+        table._switch(base, {"data": "nowhere"}, None)
+    assert content(table.read()) == {"b": 2}
+
+
+def test_of_many_writers_at_once_one_commits(spark, table):
+    table.overwrite(pairs(spark, a=1))
+    base = table._live()
+
+    def commit(i):
+        try:
+            VersionedTable(spark, table.path)._switch(base, {"data": str(i)}, None)
+        except ConcurrentWriteError:
+            return None
+        return i
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [i for i in pool.map(commit, range(8)) if i is not None]
+    assert len(won) == 1 and table._live()["data"] == str(won[0])
+
+
+def test_a_column_named_version_survives(spark, tmp_path):
+    parts = PartitionedTable(spark, str(tmp_path / "parts"), "day")
+    for kind in ("string", "int"):
+        rows = spark.createDataFrame([("a", "1", "d1")], "k string, version string, day string")
+        parts.overwrite(rows.withColumn("version", F.col("version").cast(kind)))
+        assert {str(r.version) for r in parts.read().collect()} == {"1"}
+
+
+def test_newest_batch_wins_in_any_grouping(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    one, both = (VersionedTable(spark, str(tmp_path / name)) for name in ("one", "both"))
+    late = {"tx_id": "1", "amount_usd": 2.0, "time_text": "2026-09-02 12:00:00"}
+    for batch_id, row in (("009", {"tx_id": "1"}), ("010", late)):
+        append_batch(bronze(spark, [row]), path, batch_id, "core")
+        load_new_batches(spark, path, one)
+    load_new_batches(spark, path, both)
+    for table in (one, both):
+        assert [(r.amount_usd, r.batch_id) for r in table.read().collect()] == [(2.0, "010")]
+
+
 def test_a_pointer_left_empty_is_passed_over(spark, table):
     table.overwrite(pairs(spark, a=1))
     with open(f"{table.path}/_versions/0000000002", "w"):

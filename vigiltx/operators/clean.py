@@ -14,21 +14,24 @@ from vigiltx.schema import CUSTOMERS, SILVER_COLUMNS
 SMALLEST_AMOUNT = 0.005
 
 
-def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row per key, the first in ``order`` (NULLs last).
+def first_per_key(
+    df: DataFrame, key: str, order: list[str], newest_by: str | None = None
+) -> DataFrame:
+    """One row per key, the largest in ``newest_by``, then the first in ``order`` (NULLs last).
 
     Ordering by every column makes the survivor the same on every run. Spark cuts
     each task's rows to one per key before the shuffle, so a hot key stays cheap.
     """
-    w = W.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    newest = [F.col(newest_by).desc_nulls_last()] if newest_by else []
+    w = W.partitionBy(key).orderBy(*newest, *[F.col(c).asc_nulls_last() for c in order])
     return df.withColumn("_place", F.row_number().over(w)).filter("_place = 1").drop("_place")
 
 
-def clean_transactions(bronze: DataFrame) -> DataFrame:
+def clean_transactions(bronze: DataFrame, newest_by: str | None = None) -> DataFrame:
     """Silver transactions, with ``tx_ts`` kept for the detectors.
 
     Unreadable times become NULL and the row stays. Extra columns, such as lineage,
-    pass through.
+    pass through. Of a key's rows those with the largest ``newest_by`` come first.
     """
     extra = [c for c in bronze.columns if c not in (*SILVER_COLUMNS, "time_text")]
     usable = (
@@ -46,7 +49,7 @@ def clean_transactions(bronze: DataFrame) -> DataFrame:
         "currency", "amount_original", *extra,
     ]
     return (
-        first_per_key(usable, "tx_id", order)
+        first_per_key(usable, "tx_id", order, newest_by)
         .withColumn("tx_date", F.to_date("tx_ts"))
         .withColumn("tx_time", time_of_day(F.col("tx_ts")))
         .select(*SILVER_COLUMNS, "tx_ts", *extra)

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 from vigiltx.sources.shared import materialize
 
 
+# Spark reads this part of a path as a column; the name leaves ``version`` to the user.
+VERSION_FOLDER = "vigiltx_version"
+
+
 class RepeatedKeyError(ValueError):
     """An upsert source holds the same key more than once."""
 
@@ -35,7 +39,7 @@ class VersionedTable:
         self.path = path.rstrip("/")
 
     def exists(self) -> bool:
-        return bool(self._live())
+        return "mark" in self._live()
 
     def mark(self) -> str | None:
         return self._live().get("mark")
@@ -62,13 +66,13 @@ class VersionedTable:
         written = self._write(source)
         batch = self.spark.read.parquet(written)
         reject_repeated_keys(batch, key)
-        if base:
+        if "mark" in base:
             kept = self._read(base).join(batch.select(key), key, "left_anti")
             written = self._write(kept.unionByName(batch, allowMissingColumns=True))
         self._switch(base, {"data": written}, mark)
 
     def _read(self, version: dict) -> DataFrame:
-        if not version:
+        if "mark" not in version:
             raise FileNotFoundError(f"no table at {self.path}")
         return self.spark.read.parquet(version["data"])
 
@@ -85,32 +89,46 @@ class VersionedTable:
         return sorted(int(name) for name in names if name.isdigit())
 
     def _live(self) -> dict:
-        """The newest complete pointer; empty when there is no table."""
-        for number in reversed(self._pointers()):
+        """The newest pointer and its ``number``; the number alone when there is no table."""
+        numbers = self._pointers()
+        newest = {"number": max(numbers, default=0)}
+        for number in reversed(numbers):
             file, fs = hadoop_path(self.spark, f"{self.path}/_versions/{number:010d}")
             stream = fs.open(file)
             try:
                 text = bytes(stream.readAllBytes())
             finally:
                 stream.close()
-            if text:  # empty while its writer is at work, or after it died
-                return json.loads(text)
-        return {}
+            if text:  # none is written empty; one that is says nothing
+                return json.loads(text) | newest
+        return newest
 
     def _switch(self, base: dict, version: dict, mark: str | None) -> None:
-        if self._live() != base:
-            raise ConcurrentWriteError(self.path)
-        number = 1 + max(self._pointers(), default=0)
-        file, fs = hadoop_path(self.spark, f"{self.path}/_versions/{number:010d}")
-        try:
-            out = fs.create(file, False)
-        except Py4JJavaError as taken:
-            raise ConcurrentWriteError(self.path) from taken
+        """Commit as the version right after ``base``, or not at all.
+
+        The pointer is written under a name of its own and then takes its number, which
+        only one writer can get: by a hard link on a local disk, elsewhere by a rename
+        that does not replace, as HDFS has it. A store without such a rename needs one
+        writer at a time.
+        """
+        pointer = json.dumps({**version, "mark": mark or base.get("mark")})
+        folder = f"{self.path}/_versions"
+        draft, fs = hadoop_path(self.spark, f"{folder}/draft-{uuid.uuid4().hex}")
+        final, _ = hadoop_path(self.spark, f"{folder}/{base['number'] + 1:010d}")
+        out = fs.create(draft, False)
         try:
-            pointer = json.dumps({**version, "mark": mark or base.get("mark")})
             out.write(bytearray(pointer, "utf-8"))
         finally:
             out.close()
+        try:
+            if fs.getUri().getScheme() == "file":
+                os.link(draft.toUri().getPath(), final.toUri().getPath())
+            elif fs.exists(final) or not fs.rename(draft, final):
+                raise ConcurrentWriteError(self.path)
+        except FileExistsError as taken:
+            raise ConcurrentWriteError(self.path) from taken
+        finally:
+            fs.delete(draft, False)
 
 
 class PartitionedTable(VersionedTable):
@@ -135,7 +153,7 @@ class PartitionedTable(VersionedTable):
         base = self._live()
         batch = materialize(source, "batch")  # feeds several reads, computed once
         reject_repeated_keys(batch, key)
-        if not base:
+        if "mark" not in base:
             return self._switch(base, self._write_parts(batch), mark)
         target, keys = self._read(base), batch.select(key)
         touched = self._values(batch) | self._values(target.join(keys, key, "left_semi"))
@@ -159,17 +177,17 @@ class PartitionedTable(VersionedTable):
         return {unquote(row[0]) for row in df.select(name).distinct().collect()}
 
     def _read(self, version: dict) -> DataFrame:
-        if not version:
+        if "mark" not in version:
             raise FileNotFoundError(f"no table at {self.path}")
         schema = T.StructType.fromJson(version["schema"])
         folders = [f"{self.path}/{v}/{f}" for f, v in sorted(version["parts"].items())]
         if not folders:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", self.path)
-        return reader.parquet(*folders).drop("version")
+        return reader.parquet(*folders).drop(VERSION_FOLDER)
 
     def _write_parts(self, df: DataFrame) -> dict:
-        name = f"version={uuid.uuid4().hex}"
+        name = f"{VERSION_FOLDER}={uuid.uuid4().hex}"
         write_partitioned(df, f"{self.path}/{name}", [self.column])
         folder, fs = hadoop_path(self.spark, f"{self.path}/{name}")
         names = [status.getPath().getName() for status in fs.listStatus(folder)]

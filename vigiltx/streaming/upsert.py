@@ -36,9 +36,13 @@ def stream_silver(
 
 
 def load_new_batches(spark: SparkSession, bronze_path: str, silver: VersionedTable) -> None:
-    """Upsert the bronze batches after the table's mark and move the mark with them."""
+    """Upsert the bronze batches after the table's mark and move the mark with them.
+
+    A key that several batches hold takes the newest one's row, so the result does not
+    depend on how many batches are loaded at once.
+    """
     fresh = read_batches(spark, bronze_path, after=silver.mark() if silver.exists() else None)
     newest = fresh.agg(F.max("batch_id")).first()[0]
     if newest is not None:
         upto = fresh.filter(F.col("batch_id") <= F.lit(newest))
-        silver.upsert(clean_transactions(upto), "tx_id", mark=newest)
+        silver.upsert(clean_transactions(upto, newest_by="batch_id"), "tx_id", mark=newest)
