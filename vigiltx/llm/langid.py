@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from vigiltx.llm.common import CHUNK, WORD, carried, chunks, mixed, number, ship, uncarried
+from vigiltx.llm.common import CHUNK, WORD, carried, chunks, mixed, number, ship, smallest, uncarried
 
 UNKNOWN = "und"
 _letters: np.ndarray | None = None
@@ -19,7 +19,7 @@ _letters: np.ndarray | None = None
 
 @dataclass(frozen=True)
 class LanguageConfig:
-    """``rows`` labelled texts a language at most are fitted on, those with the smallest hashes of their ids.
+    """``rows`` labelled texts a language at most are fitted on, those with the smallest hashes of id and text.
 
     A language's filter holds its ``grams`` most frequent n-grams at most, of those whose share among its n-grams is
     ``ratio`` times the largest share in any language or more. The filter has ``bits`` rows, whatever the corpus.
@@ -138,11 +138,10 @@ class LanguageModel:
 def fit(spark: SparkSession, labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> LanguageModel:
     """A model of ``labelled`` (id, text, lang); rows without text or lang are passed over.
 
-    The rows of a language are ranked by a hash of their id, so that each task hands on ``config.rows`` of them at
-    most; what reaches the driver is ``config.grams`` hashes a language at most.
+    Of a language the ``config.rows`` rows with the smallest hashes are taken, equal rows once; what reaches the
+    driver is ``config.grams`` hashes a language at most.
     """
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.length("text")))
-    rows = labelled.where("lang is not null and text is not null").withColumn("_rank", rank).where(F.col("_rank") <= config.rows).select("text", "lang")
+    rows = smallest(labelled.where("lang is not null and text is not null"), "lang", config.rows, "id", "text").select("text", "lang")
     sizes = config.sizes
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
