@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from vigiltx.llm import jaccard, langid, mixing, secrets, sentence_pieces
 from vigiltx.sources.shared import fresh_path
 
+#: Ordering by these gives the mixed order.
+PLACE = ["slot", "block_start"]
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that are ``und`` or of whose n-grams no language knows 30 %; learned from labelled documents."""
@@ -25,13 +28,17 @@ def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the schedule that mixes sources by the root of their characters."""
-    return mixing.interleaved(docs)
+    """All documents with their place (slot, block_start) in the schedule that mixes sources by the root of their characters.
+
+    The place goes on as columns: neither the files of a table nor the order they are read in keep an order of rows.
+    """
+    rows = mixing.mix(docs)
+    return rows.drop(*(c for c in mixing.ADDED if c not in PLACE))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the ids of their texts."""
-    return sentence_pieces.encode(docs).drop("text")
+    """The documents with the ids of their texts, in the order of the schedule, which the columns ``PLACE`` also name."""
+    return sentence_pieces.encode(docs.orderBy(*PLACE, "doc_id")).drop("text")
 
 
 STAGES = [
