@@ -208,6 +208,30 @@ def test_schedule_deviates_by_less_than_a_block(spark):
             assert abs(sum(x < t for x in at) - t * shares[name] / 50) < 1
 
 
+def test_mixing_keeps_to_the_target_weights(spark):
+    sizes = {f"s{i:02}": 2000 if i == 0 else 210 for i in range(20)}
+    rows = [(1000 * k + i, "x" * 10, name) for k, (name, n) in enumerate(sizes.items()) for i in range(n)]
+    table = spark.createDataFrame([(10_000 * i, *r[1:]) for i, r in enumerate(rows)], "doc_id long, text string, source string")
+    got = mixing.mix(table, block_chars=10).select("source", "block", "release", "deadline", "slot").collect()
+    assert len({r.slot for r in got}) == len(got) == len(rows) and max(r.slot for r in got) > 10_000
+    total = sum(n**0.5 for n in sizes.values())
+    for r in got:
+        weight = sizes[r.source] ** 0.5 / total
+        assert r.release <= r.slot < r.deadline
+        # Fewest and most blocks served, right before and after this one's slot.
+        assert r.slot * weight - r.block < 1 and r.block + 1 - (r.slot + 1) * weight < 1
+
+
+def test_mixing_in_several_jobs(spark, monkeypatch, docs):
+    whole = mixing.mix(docs, block_chars=50).select("block", "slot", "block_start", "release", "deadline").collect()
+    monkeypatch.setattr(mixing, "STEP", 7)
+    monkeypatch.setattr(mixing, "STEPS", 900)
+    again = mixing.mix(docs, block_chars=50).select("block", "slot", "block_start", "release", "deadline").collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, again)) and len(whole) == len(corpus())
+    rare = mixing.mix(docs, {"s1": 1.0, "s2": 1e-9}, block_chars=500).select("source", "slot").collect()
+    assert len(rare) == len(corpus()) and all(r.slot is not None for r in rare)
+
+
 def brute_repeats(rows, length):
     seen, out = set(), {}
     for i, t in sorted({(r[0], r[1] or "") for r in rows}):

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigiltx.llm.common import carried, uncarried
-from vigiltx.sources.shared import materialize
+from vigiltx.sources.shared import fresh_path, materialize
 
 ADDED = ["block", "release", "deadline", "slot", "block_start"]
+#: Blocks placed in one step of an array, steps in one job.
+STEP, STEPS = 256, 256
+
+
+def _weight(weights: dict[str, float] | None, power: float) -> Column:
+    if weights is None:
+        return F.pow(F.greatest("chars", F.lit(1)).cast("double"), F.lit(power))
+    given = F.create_map(*(F.lit(x) for pair in weights.items() for x in pair)) if weights else F.create_map().cast("map<string,double>")
+    return F.coalesce(given[F.col("_source")].cast("double"), F.lit(0.0))
 
 
 def shares(totals: DataFrame, period: int, weights: dict[str, float] | None = None, power: float = 0.5) -> DataFrame:
@@ -17,13 +28,8 @@ def shares(totals: DataFrame, period: int, weights: dict[str, float] | None = No
     ``weights`` names target weights (a source it lacks gets 0, so one slot); without it a source weighs its
     characters to the power ``power``.
     """
-    if weights is None:
-        weight = F.pow(F.greatest("chars", F.lit(1)).cast("double"), F.lit(power))
-    else:
-        given = F.create_map(*(F.lit(x) for pair in weights.items() for x in pair)) if weights else F.create_map().cast("map<string,double>")
-        weight = F.coalesce(given[F.col("_source")].cast("double"), F.lit(0.0))
     whole = Window.partitionBy()
-    rows = totals.select("_source", weight.alias("weight"), F.count("*").over(whole).alias("n"))
+    rows = totals.select("_source", _weight(weights, power).alias("weight"), F.count("*").over(whole).alias("n"))
     total = F.sum("weight").over(Window.partitionBy().orderBy("_source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     free = F.greatest(F.lit(period), 2 * F.col("n")) - F.col("n")
     exact = F.when(total > 0, free * F.col("weight") / total).otherwise(free / F.col("n"))
@@ -38,8 +44,9 @@ def schedule(shares: DataFrame) -> DataFrame:
 
     The k-th block of a source with a of W slots may start at slot floor(k W / a) and must be done by slot
     ceil((k + 1) W / a); each slot goes to the released block with the earliest deadline. At every slot a source has
-    then been served less than one block more or less than its weight asks for. There is one row per source and one
-    slot per unit of the period, whatever the size of the table.
+    then been served less than one block more or less than a / W asks for; what its slots are off its weight adds up
+    from period to period. There is one row per source and one slot per unit of the period, whatever the size of the
+    table.
     """
     every = shares.agg(F.array_sort(F.collect_list(F.struct("_source", "slots"))).alias("all"))
     every = every.select("all", F.aggregate("all", F.lit(0).cast("long"), lambda n, s: n + s["slots"]).alias("period"))
@@ -65,8 +72,69 @@ def schedule(shares: DataFrame) -> DataFrame:
     return served.groupBy("_source", "period").agg(F.array_sort(F.collect_list("slot")).alias("at"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def timetable(totals: DataFrame, block_chars: int, weights: dict[str, float] | None = None, power: float = 0.5) -> DataFrame:
+    """(_source, _block, release, deadline, slot) of every block of the table, from the target weights themselves.
+
+    Weights are whole numbers a of W, so fine that over the whole run they are off by next to nothing; the least is 1,
+    so a source of weight 0 comes when hardly another has blocks left. The k-th block may start at slot floor(k W / a) and must be
+    done by slot ceil((k + 1) W / a); each slot goes to the released block with the earliest deadline, and slots for
+    which none is released stay empty. So at every slot, however many there are, a source that has blocks left has been
+    served less than one block more or less than its weight asks for. One step for each block; what is waiting goes on
+    from job to job in a written table of one row.
+    """
+    rows = totals.select("_source", _weight(weights, power).alias("weight"), (F.floor(F.col("chars") / F.lit(block_chars)) + 1).cast("long").alias("blocks"))
+    size = rows.agg(F.coalesce(F.sum("blocks"), F.lit(0)).alias("all"), F.coalesce(F.max("blocks"), F.lit(0)).alias("most"), F.count("*").alias("n")).first()
+    fine = F.lit(min(1 << 50, (1 << 61) // (size["most"] + size["n"] + 2))).cast("long")
+    row = rows.agg(F.array_sort(F.collect_list(F.struct("_source", "weight", "blocks"))).alias("all"))
+    row = row.select("all", F.aggregate("all", F.lit(0.0), lambda x, s: x + s["weight"]).alias("total"))
+    part = lambda s: F.when(F.col("total") > 0, s["weight"] / F.col("total")).otherwise(1.0 / F.size("all"))
+    row = row.select("all", F.transform("all", lambda s: F.greatest(F.lit(1).cast("long"), F.round(part(s) * fine).cast("long"))).alias("a"))
+    row = row.select("all", "a", F.aggregate("a", F.lit(0).cast("long"), lambda x, y: x + y).alias("w"))
+
+    def div(x: Column, y: Column) -> Column:
+        return F.call_function("div", x, y)
+
+    def waiting(i: Column, source: Column, k: Column, a: Column, w: Column, blocks: Column) -> Column:
+        due = div((k + 1) * w + a - 1, a).alias("deadline")
+        return F.struct(due, i.alias("i"), div(k * w, a).alias("release"), k.alias("k"), a.alias("a"), w.alias("w"), blocks.alias("blocks"), source.alias("source"))
+
+    first = F.transform("all", lambda s, i: waiting(i, s["_source"], F.lit(0).cast("long"), F.get("a", i), F.col("w"), s["blocks"]))
+    state = materialize(row.select(first.alias("waiting"), F.lit(0).cast("long").alias("t")), "waiting")
+    served = "array<struct<_source:string,_block:bigint,release:bigint,deadline:bigint,slot:bigint>>"
+
+    def step(done: Column, _: Column) -> Column:
+        def serve(now: Column, pick: Column) -> Column:
+            here = lambda x: F.when(x["i"] == pick["i"], waiting(x["i"], x["source"], x["k"] + 1, x["a"], x["w"], x["blocks"])).otherwise(x)
+            at = F.struct(pick["source"].alias("_source"), pick["k"].alias("_block"), pick["release"].alias("release"), pick["deadline"].alias("deadline"), now.alias("slot"))
+            left = F.filter(F.transform(done["waiting"], here), lambda x: x["k"] < x["blocks"])
+            return F.struct(left.alias("waiting"), (now + 1).alias("t"), F.array_append(done["out"], at).alias("out"))
+
+        now = F.greatest(done["t"], F.array_min(F.transform(done["waiting"], lambda x: x["release"])))
+        turn = _let(now, lambda n: _let(F.array_min(F.filter(done["waiting"], lambda x: x["release"] <= n)), lambda pick: serve(n, pick)))
+        return F.when(F.size(done["waiting"]) > 0, turn).otherwise(done)
+
+    def steps(done: Column, _: Column) -> Column:
+        start = F.struct(done["waiting"].alias("waiting"), done["t"].alias("t"), F.array().cast(served).alias("out"))
+        some = F.aggregate(F.sequence(F.lit(1), F.lit(STEP)), start, step)
+        return _let(some, lambda s: F.struct(s["waiting"].alias("waiting"), s["t"].alias("t"), F.array_append(done["outs"], s["out"]).alias("outs")))
+
+    path = fresh_path(totals.sparkSession, "timetable")
+    for at in range(0, max(1, size["all"]), STEP * STEPS):
+        rounds = max(1, min(STEPS, -(-(size["all"] - at) // STEP)))
+        start = F.struct("waiting", "t", F.array().cast(f"array<{served}>").alias("outs"))
+        state = materialize(state.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, steps).alias("done")).select("done.*"), "waiting")
+        state.select(F.inline(F.flatten("outs"))).write.mode("append").parquet(path)
+        state = state.select("waiting", "t")
+    return totals.sparkSession.read.schema("_source string, _block long, release long, deadline long, slot long").parquet(path)
+
+
 def _placed(
-    docs: DataFrame, weights: dict[str, float] | None, power: float, block_chars: int, period: int, text: str, source: str, key: str, rows_per_bucket: int
+    docs: DataFrame, weights: dict[str, float] | None, power: float, block_chars: int, period: int | None, text: str, source: str, key: str, rows_per_bucket: int
 ) -> DataFrame:
     """Every row as ``_row``, and the columns of the schedule as struct ``_at``."""
     sized = carried(
@@ -77,13 +145,24 @@ def _placed(
     sized = sized.withColumn("_bucket", F.shiftright(F.shiftright("_hash", 30) * F.lit(buckets), 30))
     inside = materialize(sized.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_chars")), "blocks")
     earlier = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = inside.select("_source", "_bucket", F.coalesce(F.sum("_chars").over(earlier), F.lit(0)).alias("_base"))
-    served = schedule(shares(inside.groupBy("_source").agg(F.sum("_chars").alias("chars")), period, weights, power))
+    offsets = inside.select("_source", "_bucket", "_chars", F.coalesce(F.sum("_chars").over(earlier), F.lit(0)).alias("_base"))
+    totals = inside.groupBy("_source").agg(F.sum("_chars").alias("chars"))
     before = Window.partitionBy("_source", "_bucket").orderBy("_hash", "_key", "_size").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    placed = placed.join(offsets, ["_source", "_bucket"]).join(F.broadcast(served), "_source")
     start = F.col("_base") + F.col("_before")
     block, n = F.floor(start / F.lit(block_chars)), F.size("at")
+    if period is None:
+        # The blocks that a bucket reaches into come to its rows as one array.
+        reached = F.floor(F.col("_base") / F.lit(block_chars)), F.floor((F.col("_base") + F.col("_chars")) / F.lit(block_chars))
+        spans = offsets.select("_source", "_bucket", "_base", F.explode(F.sequence(*reached)).alias("_block"))
+        served = spans.join(timetable(totals, block_chars, weights, power), ["_source", "_block"]).groupBy("_source", "_bucket", "_base")
+        served = materialize(served.agg(F.array_sort(F.collect_list(F.struct("_block", "release", "deadline", "slot"))).alias("at")), "places")
+        placed = placed.join(served, ["_source", "_bucket"]).withColumn("_start", start).withColumn("_block", block)
+        own = F.get("at", (F.col("_block") - F.get("at", F.lit(0))["_block"]).cast("int"))
+        at = F.struct(F.col("_block").alias("block"), *(own[c].alias(c) for c in ("release", "deadline", "slot")), F.col("_start").alias("block_start"))
+        return placed.select("_row", at.alias("_at"))
+    served = schedule(shares(totals, period, weights, power))
+    placed = placed.join(offsets, ["_source", "_bucket"]).join(F.broadcast(served), "_source")
     placed = placed.withColumn("_start", start).withColumn("_block", block)
     at = F.struct(
         F.col("_block").alias("block"), F.floor(F.col("_block") * F.col("period") / n).alias("release"),
@@ -95,15 +174,16 @@ def _placed(
 
 
 def mix(
-    docs: DataFrame, weights: dict[str, float] | None = None, *, power: float = 0.5, block_chars: int = 1 << 16, period: int = 1000,
+    docs: DataFrame, weights: dict[str, float] | None = None, *, power: float = 0.5, block_chars: int = 1 << 16, period: int | None = None,
     text: str = "text", source: str = "source", key: str = "doc_id", rows_per_bucket: int = 2_000,
 ) -> DataFrame:
     """``docs`` with the block of its source that each row starts in, and that block's release, deadline and slot.
 
-    A source's rows, in the order of md5 of their key, fill blocks of ``block_chars`` characters. Slots repeat the
-    schedule of one period, so that ordering by (slot, block_start) interleaves the sources to their weights with less
-    than one block of deviation for as long as no source has run out; slots of a source that has run out stay empty
-    and the others keep their proportions. No row is left out or repeated.
+    A source's rows, in the order of md5 of their key, fill blocks of ``block_chars`` characters. Ordering by (slot,
+    block_start) interleaves the sources to their weights: at every slot less than one block off for a source that has
+    blocks left; the others keep their proportions when one has run out. With a ``period`` the weights are rounded to
+    slots of one period, one slot each source at least, and its schedule repeats: less than one block off the rounded
+    weights, but further off the target weights with each period. No row is left out or repeated.
 
     A null text has no characters; null sources are one source, null keys count as the empty text. Ties of md5 and key
     fall to the length, then to chance among equal rows. Input columns named as an output are replaced. Places are
@@ -115,7 +195,7 @@ def mix(
 
 
 def interleaved(
-    docs: DataFrame, weights: dict[str, float] | None = None, *, power: float = 0.5, block_chars: int = 1 << 16, period: int = 1000,
+    docs: DataFrame, weights: dict[str, float] | None = None, *, power: float = 0.5, block_chars: int = 1 << 16, period: int | None = None,
     text: str = "text", source: str = "source", key: str = "doc_id", rows_per_bucket: int = 2_000,
 ) -> DataFrame:
     """``docs`` in the order of the schedule."""

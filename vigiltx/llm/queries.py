@@ -46,9 +46,9 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where the schedule puts every document; a source's weight is the square root of its characters."""
+    """Where the schedule puts every document; a source's weight is the square root of its characters, to a period of 1,000."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "source", *mixing.ADDED)
+    return mixing.mix(docs, period=1000).select("doc_id", "source", *mixing.ADDED)
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
