@@ -176,6 +176,32 @@ def test_nearest(spark):
     assert few.count() == 20
 
 
+def test_nearest_with_uneven_lengths(spark):
+    draw = np.random.default_rng(8)
+    groups = draw.normal(size=(150, 64))
+    rows = np.repeat(groups, 20, axis=0) + 0.7 * draw.normal(size=(3000, 64))
+    rows *= (np.exp(1.5 * draw.normal(size=3000)) / np.linalg.norm(rows, axis=1))[:, None]
+    rows[7] *= 1000 / np.linalg.norm(rows[7])
+    asked = range(0, 3000, 20)
+
+    def recall(rows, asked):
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+        found = neighbours.nearest(table, F.col("vec_id").isin(list(asked)), 20).collect()
+        hits = 0
+        for q in asked:
+            product = rows @ rows[q]
+            product[q] = -np.inf
+            hits += len(set(np.argsort(-product)[:20].tolist()) & {r.vec_id for r in found if r.query_id == q})
+        return hits / (20 * len(asked))
+
+    assert recall(rows, asked) >= 0.95
+    even = rows / np.linalg.norm(rows, axis=1)[:, None]
+    even[7] *= 1000
+    assert recall(even, asked) >= 0.95
+    even[7] *= 1e197  # its square is no finite number
+    assert recall(even, [q for q in asked if q]) >= 0.95
+
+
 def test_top_k(spark):
     table, rows = vectors(spark)
     got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(table, F.col("vec_id") % 50 == 0, 5, row_block=64, query_block=3).collect()}

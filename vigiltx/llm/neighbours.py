@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: NN-descent grows a neighbour graph by joins, greedy search walks it.
 
 Vectors are turned so that the largest inner product is the smallest angle (one more component makes all lengths equal)
-and are rounded to bytes for building and walking the graph; results are scored on the vectors as given.
+and are rounded to bytes, each by its own scale, for building and walking the graph; results are scored on the vectors as
+given.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ LIST = "id long, ids array<long>, sims array<float>"
 class GraphConfig:
     """``degree`` neighbours a node, as many reverse ones in the joins; ``orders`` random orders seed the graph, each cut
     into leaves of ``leaf`` vectors; ``descents`` rounds of NN-descent; a search keeps ``beam`` nodes and opens up to
-    ``open`` of them in each of ``rounds`` rounds."""
+    ``open`` of them in each of ``rounds`` rounds, beginning at its own node and the ``longest`` longest vectors."""
 
     degree: int = 32
     orders: int = 10
@@ -36,6 +37,7 @@ class GraphConfig:
     beam: int = 160
     open: int = 64
     rounds: int = 5
+    longest: int = 1024
     seed: int = 5
 
 
@@ -82,7 +84,7 @@ def _merged(lists: DataFrame, most: int) -> DataFrame:
 
 def _best_of(ids: np.ndarray, vectors: np.ndarray, most: int, above: np.ndarray | None = None) -> pd.DataFrame:
     """Within one group, each member's ``most`` most similar other members, those above its mark only."""
-    sims = vectors @ vectors.T
+    sims = _likeness(vectors)
     np.fill_diagonal(sims, -np.inf)
     if above is not None:
         sims[sims <= above[:, None]] = -np.inf
@@ -94,8 +96,45 @@ def _best_of(ids: np.ndarray, vectors: np.ndarray, most: int, above: np.ndarray
     return pd.DataFrame({"id": ids[some], "ids": [ids[t[g]] for t, g in zip(top[some], good[some], strict=True)], "sims": [v[g] for v, g in zip(value[some], good[some], strict=True)]})
 
 
+#: Lengths, in those of the median vector, beyond which float32 could not hold a product; only the graph is cut there.
+LONG = 1e15
+
+
+def _packed(values: list[np.ndarray], dim: int, middle: float, longest: float) -> list[bytes]:
+    """Each vector as ``dim`` bytes and three floats: the scale of its bytes, and two parts of its added component.
+
+    The length of the median vector, e to the ``middle``, counts as 1. For the largest length M the added component is
+    a = sqrt(M M - v v) = M - d with d = v v / (M + a), kept as d and M d: a itself would be M for all vectors that are
+    short beside M.
+    """
+    out = []
+    for value in values:
+        v = np.zeros(dim)
+        v[: len(value)] = value
+        v /= np.abs(v).max()
+        own = np.sqrt(v @ v)
+        length = np.exp(min(np.log(np.abs(value).max()) + np.log(own) - middle, np.log(longest)))
+        d = length / (longest / length + np.sqrt(max((longest / length) ** 2 - 1.0, 0.0)))
+        tail = np.array([length / own / 127.0, d, longest * d], np.float32)
+        out.append(np.rint(v * 127.0).astype(np.int8).tobytes() + tail.tobytes())
+    return out
+
+
+def _unpacked(cells: bytes, n: int) -> np.ndarray:
+    """Rows of the vector, d and M d."""
+    raw = np.frombuffer(cells, np.uint8).reshape(n, -1)
+    tail = np.ascontiguousarray(raw[:, -12:]).view(np.float32)
+    return np.concatenate([raw[:, :-12].view(np.int8) * tail[:, :1], tail[:, 1:]], axis=1, dtype=np.float32)
+
+
 def _bytes(cells: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(cells), np.int8).reshape(len(cells), -1).astype(np.float32)
+    return _unpacked(b"".join(cells), len(cells))
+
+
+def _likeness(vectors: np.ndarray) -> np.ndarray:
+    """The inner products of the turned vectors, less M M."""
+    turned, far = vectors[:, :-1], vectors[:, -1]
+    return turned @ turned.T - (far[:, None] + far)
 
 
 def _seeded(points: DataFrame, n: int, dim: int, config: GraphConfig) -> DataFrame:
@@ -108,7 +147,7 @@ def _seeded(points: DataFrame, n: int, dim: int, config: GraphConfig) -> DataFra
         for batch in batches:
             vectors = _bytes(batch["vec"].to_list()) if len(batch) else None
             for t in range(orders if len(batch) else 0):
-                side = vectors @ turns[t].T
+                side = vectors[:, :-1] @ turns[t].T
                 code = ((side[:, :bits] > 0) * (1 << np.arange(bits, dtype=np.int64))).sum(axis=1) if bits else 0
                 yield pd.DataFrame({"turn": t, "code": code, "at": side[:, bits], "id": batch["id"], "vec": batch["vec"]})
 
@@ -154,7 +193,7 @@ def _descended(graph: DataFrame, points: DataFrame, config: GraphConfig) -> Data
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 if b - a < 2:
                     continue
-                sims = vectors[a:b] @ vectors[a:b].T
+                sims = _likeness(vectors[a:b])
                 np.fill_diagonal(sims, -np.inf)
                 one, two = np.nonzero(sims > marks[a:b, None])
                 owner.append(ids[a:b][one])
@@ -176,8 +215,11 @@ def _opened(most: int) -> Column:
     return F.zip_with("done", shut, lambda d, n: d | (n <= most))
 
 
-def _walked(graph: DataFrame, points: DataFrame, asks: DataFrame, config: GraphConfig) -> DataFrame:
-    """(ask, found) from greedy searches that begin at the asked vectors' own nodes. ``asks``: (ask, cells)."""
+def _walked(graph: DataFrame, points: DataFrame, asks: DataFrame, longest: pd.DataFrame, config: GraphConfig) -> DataFrame:
+    """(ask, found) from greedy searches that begin at the asked vectors' own nodes and the ``longest`` (id, vec).
+
+    No short vector has a long one among its nearest, but long ones have the large products. ``asks``: (ask, cells).
+    """
     near = materialize(_members(graph, config.degree), "members").join(points.select(F.col("id").alias("member"), "vec"), "member")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,8 +236,7 @@ def _walked(graph: DataFrame, points: DataFrame, asks: DataFrame, config: GraphC
         for batch in batches:
             rows = []
             for ask, cells, members, vecs in batch[["ask", "cells", "members", "vecs"]].itertuples(index=False):
-                asked = np.frombuffer(cells, np.int8).astype(np.float32)
-                rows.append((ask, members, np.frombuffer(vecs, np.int8).reshape(len(members), -1).astype(np.float32) @ asked))
+                rows.append((ask, members, _unpacked(vecs, len(members))[:, :-2] @ _unpacked(cells, 1)[0, :-2]))
             yield pd.DataFrame(rows, columns=["id", "ids", "sims"])
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,7 +248,25 @@ def _walked(graph: DataFrame, points: DataFrame, asks: DataFrame, config: GraphC
             own, (ids, sims, done) = listed(owner, ids, sims, done)
             yield pd.DataFrame({"id": own, "ids": ids, "sims": sims, "done": done})
 
-    beams = asks.select(F.col("ask").alias("id"), F.array("ask").alias("ids"), F.array(F.lit(float("-inf")).cast("float")).alias("sims"), F.array(F.lit(False)).alias("done"))
+    far_ids, far_vec = longest["id"].to_numpy(np.int64), longest["vec"].to_list()
+
+    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        far = _bytes(far_vec)[:, :-2]
+        for batch in batches:
+            if len(batch):
+                sims = _bytes(batch["cells"].to_list())[:, :-2] @ far.T
+                own = np.repeat(batch["ask"].to_numpy(np.int64), len(far_ids))
+                owner, ids, sims, _ = ranked(own, np.tile(far_ids, len(batch)), sims.ravel(), beam)
+                # The own node is opened first, however short.
+                own = batch["ask"].to_numpy(np.int64)
+                owner, ids, sims, done = ranked(
+                    np.concatenate([own, owner[owner != ids]]), np.concatenate([own, ids[owner != ids]]),
+                    np.concatenate([np.full(len(own), np.inf, np.float32), sims[owner != ids]]), beam,
+                )
+                owner, (ids, sims, done) = listed(owner, ids, sims, done)
+                yield pd.DataFrame({"id": owner, "ids": ids, "sims": sims, "done": done})
+
+    beams = materialize(asks.mapInPandas(begin, LIST + ", done array<boolean>"), "beams")
     for _ in range(config.rounds):
         todo = F.slice(F.filter(F.arrays_zip("ids", "done"), lambda x: ~x["done"]), 1, open_)
         opened = beams.select(F.col("id").alias("ask"), F.explode(todo).alias("x")).select("ask", F.col("x.ids").alias("node"))
@@ -238,28 +297,19 @@ def nearest(
     same = rows.select("id", "v").distinct().withColumn("place", place).where(F.col("place") <= k + 1)
     same = materialize(same.withColumn("node", F.min("id").over(Window.partitionBy("v"))), "same")
     points = same.where("place = 1").select("id", "v")
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    most = points.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim"), F.max(square).alias("square"), F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("cell")).first()
+    cell = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    # The logarithm of the length: squares may overflow.
+    length = F.log(cell) + F.log(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / cell) * (x / cell))) / 2
+    most = points.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim"), F.max(length).alias("longest"), F.percentile_approx(length, 0.5, F.lit(1000)).alias("middle")).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if not most["n"]:
         return vectors.sparkSession.createDataFrame([], schema)
-    dim, longest, unit = most["dim"], most["square"], 127.0 / max(most["cell"], math.sqrt(most["square"]) / 16)
-
-    def rounded(values: list[np.ndarray], turn: bool) -> list[bytes]:
-        full = np.zeros((len(values), dim + 1))
-        for i, v in enumerate(values):
-            full[i, : len(v)] = v
-        if turn:
-            full[:, dim] = np.sqrt(np.maximum(longest - (full * full).sum(axis=1), 0.0))
-        return [r.tobytes() for r in np.clip(np.rint(full * unit), -127, 127).astype(np.int8)]
+    dim, middle = most["dim"], most["middle"]
+    longest = min(math.exp(min(most["longest"] - middle, 100.0)), LONG)
 
     @pandas_udf("binary")
     def node_cells(v: pd.Series) -> pd.Series:
-        return pd.Series(rounded(v.tolist(), True), dtype=object)
-
-    @pandas_udf("binary")
-    def asked_cells(v: pd.Series) -> pd.Series:
-        return pd.Series(rounded(v.tolist(), False), dtype=object)
+        return pd.Series(_packed(v.tolist(), dim, middle, longest), dtype=object)
 
     packed = materialize(points.select("id", node_cells("v").alias("vec")), "points")
     graph = materialize(_merged(_seeded(packed, most["n"], dim + 1, config), config.degree), "graph")
@@ -267,8 +317,9 @@ def nearest(
         graph = _descended(graph, packed, config)
     asking = rows.where("asks").select("id", "v").distinct().join(points.select(F.col("id").alias("node"), "v"), "v")
     asking = materialize(asking.select(F.col("id").alias("query_id"), F.col("node").alias("ask"), "v"), "asking")
-    asks = materialize(asking.groupBy("ask").agg(F.first("v").alias("v")).select("ask", asked_cells("v").alias("cells")), "asks")
-    found = _walked(graph, packed, asks, config)
+    asks = materialize(asking.select("ask").distinct().join(packed.select(F.col("id").alias("ask"), F.col("vec").alias("cells")), "ask"), "asks")
+    far = points.select("id", length.alias("length")).orderBy(F.desc("length"), "id").limit(config.longest)
+    found = _walked(graph, packed, asks, far.join(packed, "id").select("id", "vec").toPandas(), config)
 
     @pandas_udf("double")
     def product(a: pd.Series, b: pd.Series) -> pd.Series:
