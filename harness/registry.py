@@ -181,13 +181,16 @@ def incremental_upsert(spark, sf):
 
 @query
 def incremental_regrouped(spark, sf):
-    """Batches that share keys, two of them loaded at once."""
+    """Batches that share keys; one comes late, one is corrected after it was loaded."""
     bronze, path = mapped.bronze_transactions(spark, sf), fresh_path(spark, "bronze")
     table = new_table(spark, "regrouped")
-    append_batch(bronze, path, "009", "core")
+    wrong = bronze.withColumn("tx_id", F.concat(F.lit("wrong "), "tx_id"))
+    append_batch(wrong, path, "009", "core")
+    append_batch(bronze.filter("origin LIKE 'S%'"), path, "011", "core")
+    load_new_batches(spark, path, table)
     append_batch(bronze.filter("geography = 'Local'"), path, "010", "branch")
     load_new_batches(spark, path, table)
-    append_batch(bronze.filter("origin LIKE 'S%'"), path, "011", "core")
+    append_batch(bronze, path, "009", "core")
     load_new_batches(spark, path, table)
     return as_text(publish(table.read().select(*SILVER_COLUMNS, "batch_id", "source_system")))
 

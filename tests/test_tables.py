@@ -148,6 +148,22 @@ def test_new_columns_are_added(spark, table):
     assert {tuple(r) for r in table.read().select("k", "v", "extra").collect()} == {("a", 1, None), ("b", 2, "x")}
 
 
+def test_late_and_corrected_batches_are_loaded(spark, tmp_path, table):
+    path = str(tmp_path / "bronze")
+
+    def load(batch_id, **amounts):
+        rows = [{"tx_id": k, "amount_usd": v} for k, v in amounts.items()]
+        append_batch(bronze(spark, rows), path, batch_id, "core")
+        load_new_batches(spark, path, table)
+        return {(r.tx_id, r.amount_usd, r.batch_id) for r in table.read().collect()}
+
+    load("b1", a=1.0, b=1.0)
+    load("b3", b=3.0, c=3.0)
+    late = load("b2", a=2.0, b=2.0)
+    assert late == {("a", 2.0, "b2"), ("b", 3.0, "b3"), ("c", 3.0, "b3")}
+    assert load("b3", d=4.0) == {("a", 2.0, "b2"), ("b", 2.0, "b2"), ("d", 4.0, "b3")}
+
+
 def test_batches_append_and_prune(spark, tmp_path):
     path = str(tmp_path / "bronze")
     append_batch(pairs(spark, a=1), path, "b1", "core")

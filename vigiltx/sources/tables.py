@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import uuid
@@ -31,7 +32,8 @@ class VersionedTable:
 
     Readers never see a half-written version, a failed write leaves the live one in
     place, and no directory is overwritten while it is read. ``mark`` stores the last
-    batch a version includes, switched together with the data.
+    batch a version includes and ``batches`` the state of each, switched together with
+    the data.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -44,6 +46,10 @@ class VersionedTable:
     def mark(self) -> str | None:
         return self._live().get("mark")
 
+    def batches(self) -> dict[str, str]:
+        """The state, by id, of every batch the table includes."""
+        return self._live().get("batches") or {}
+
     def read(self) -> DataFrame:
         return self._read(self._live())
 
@@ -56,10 +62,13 @@ class VersionedTable:
         base = self._live()
         self._switch(base, {"data": self._write(df)}, mark)
 
-    def upsert(self, source: DataFrame, key: str, mark: str | None = None) -> None:
+    def upsert(
+        self, source: DataFrame, key: str, mark: str | None = None,
+        batches: dict[str, str] | None = None, replaced: DataFrame | None = None,
+    ) -> None:
         """Update rows whose key matches, insert the others, keep unmatched target rows.
 
-        Columns new to either side are filled with NULL. The source is written first:
+        Rows whose key is in ``replaced`` go, whether the source has the key or not. Columns new to either side are filled with NULL. The source is written first:
         it feeds the key check, the anti-join and the union, and is computed once.
         """
         base = self._live()
@@ -67,9 +76,10 @@ class VersionedTable:
         batch = self.spark.read.parquet(written)
         reject_repeated_keys(batch, key)
         if "mark" in base:
-            kept = self._read(base).join(batch.select(key), key, "left_anti")
+            keys = _keys(batch, key, replaced)
+            kept = self._read(base).join(keys, key, "left_anti")
             written = self._write(kept.unionByName(batch, allowMissingColumns=True))
-        self._switch(base, {"data": written}, mark)
+        self._switch(base, {"data": written}, mark, batches)
 
     def _read(self, version: dict) -> DataFrame:
         if "mark" not in version:
@@ -103,7 +113,9 @@ class VersionedTable:
                 return json.loads(text) | newest
         return newest
 
-    def _switch(self, base: dict, version: dict, mark: str | None) -> None:
+    def _switch(
+        self, base: dict, version: dict, mark: str | None, batches: dict[str, str] | None = None
+    ) -> None:
         """Commit as the version right after ``base``, or not at all.
 
         The pointer is written under a name of its own and then takes its number, which
@@ -111,7 +123,8 @@ class VersionedTable:
         that does not replace, as HDFS has it. A store without such a rename needs one
         writer at a time.
         """
-        pointer = json.dumps({**version, "mark": mark or base.get("mark")})
+        state = base.get("batches") if batches is None else batches
+        pointer = json.dumps({**version, "mark": mark or base.get("mark"), "batches": state})
         folder = f"{self.path}/_versions"
         draft, fs = hadoop_path(self.spark, f"{folder}/draft-{uuid.uuid4().hex}")
         final, _ = hadoop_path(self.spark, f"{folder}/{base['number'] + 1:010d}")
@@ -146,7 +159,10 @@ class PartitionedTable(VersionedTable):
         base = self._live()
         self._switch(base, self._write_parts(df), mark)
 
-    def upsert(self, source: DataFrame, key: str, mark: str | None = None) -> None:
+    def upsert(
+        self, source: DataFrame, key: str, mark: str | None = None,
+        batches: dict[str, str] | None = None, replaced: DataFrame | None = None,
+    ) -> None:
         """As ``VersionedTable.upsert``. Touched are the partitions the source writes to
         and those that hold one of its keys now; the latter are found by reading nothing
         but the key column."""
@@ -154,8 +170,8 @@ class PartitionedTable(VersionedTable):
         batch = materialize(source, "batch")  # feeds several reads, computed once
         reject_repeated_keys(batch, key)
         if "mark" not in base:
-            return self._switch(base, self._write_parts(batch), mark)
-        target, keys = self._read(base), batch.select(key)
+            return self._switch(base, self._write_parts(batch), mark, batches)
+        target, keys = self._read(base), _keys(batch, key, replaced)
         touched = self._values(batch) | self._values(target.join(keys, key, "left_semi"))
         in_touched = F.col(self.column).isin([v for v in touched if v is not None]) | (
             F.col(self.column).isNull() & F.lit(None in touched)
@@ -165,7 +181,7 @@ class PartitionedTable(VersionedTable):
         version = self._write_parts(kept.unionByName(batch, allowMissingColumns=True))
         replaced = self._folders(old)
         untouched = {f: v for f, v in base["parts"].items() if f not in replaced}
-        self._switch(base, {**version, "parts": untouched | version["parts"]}, mark)
+        self._switch(base, {**version, "parts": untouched | version["parts"]}, mark, batches)
 
     def _values(self, df: DataFrame) -> set:
         # At most one value per partition of the table or the batch.
@@ -201,6 +217,11 @@ def hadoop_path(spark: SparkSession, name: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _keys(batch: DataFrame, key: str, replaced: DataFrame | None) -> DataFrame:
+    keys = batch.select(key)
+    return keys if replaced is None else keys.union(replaced.select(key))
+
+
 def reject_repeated_keys(df: DataFrame, key: str) -> None:
     repeated = (
         df.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").limit(1)
@@ -243,6 +264,22 @@ def with_lineage(df: DataFrame, batch_id: str, source_system: str) -> DataFrame:
     )
 
 
+def batch_states(spark: SparkSession, path: str) -> dict[str, str]:
+    """The id of every batch and a fingerprint of its files, which any rerun changes."""
+    folder, fs = hadoop_path(spark, path)
+    states = {}
+    for entry in fs.listStatus(folder) if fs.exists(folder) else []:
+        name = entry.getPath().getName()
+        if entry.isDirectory() and name.startswith("batch_id="):
+            files = sorted(
+                (f.getPath().getName(), f.getLen(), f.getModificationTime())
+                for f in fs.listStatus(entry.getPath())
+            )
+            text = json.dumps([f for f in files if f[0][0] not in "_."])
+            states[unquote(name.split("=", 1)[1])] = hashlib.md5(text.encode()).hexdigest()
+    return states
+
+
 def read_batches(
     spark: SparkSession, path: str, after: str | None = None, schema=None
 ) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vigiltx.operators.clean import clean_transactions
 from vigiltx.schema import BRONZE_TRANSACTIONS
-from vigiltx.sources.tables import VersionedTable, read_batches
+from vigiltx.sources.shared import materialize
+from vigiltx.sources.tables import VersionedTable, batch_states, read_batches
 
 
 def stream_silver(
@@ -36,13 +37,31 @@ def stream_silver(
 
 
 def load_new_batches(spark: SparkSession, bronze_path: str, silver: VersionedTable) -> None:
-    """Upsert the bronze batches after the table's mark and move the mark with them.
+    """Bring the table to what a load of all bronze batches gives, from those that are new or changed.
 
-    A key that several batches hold takes the newest one's row, so the result does not
-    depend on how many batches are loaded at once.
+    The table keeps the state of each batch. Batches later than all loaded ones are
+    upserted. If one comes late, was run again or is gone, the keys it holds and those
+    whose row is from its earlier run are taken from all batches anew, the newest
+    batch's row first.
     """
-    fresh = read_batches(spark, bronze_path, after=silver.mark() if silver.exists() else None)
-    newest = fresh.agg(F.max("batch_id")).first()[0]
-    if newest is not None:
-        upto = fresh.filter(F.col("batch_id") <= F.lit(newest))
-        silver.upsert(clean_transactions(upto, newest_by="batch_id"), "tx_id", mark=newest)
+    found, loaded, exists = batch_states(spark, bronze_path), silver.batches(), silver.exists()
+    if exists and not loaded and silver.mark() is not None:
+        loaded = dict.fromkeys(found, "")  # a table with a mark alone: any batch may have changed
+    new = {b for b, state in found.items() if loaded.get(b) != state}
+    again = (new & loaded.keys()) | (loaded.keys() - found.keys())
+    if not found or not new | again:
+        return
+    # What is listed after this is left to the next load.
+    every = read_batches(spark, bronze_path).filter(F.col("batch_id").isin(sorted(found)))
+    fresh, mark = every.filter(F.col("batch_id").isin(sorted(new))), max(found)
+    if not again and (not loaded or min(new) > max(loaded)):
+        rows = clean_transactions(fresh, newest_by="batch_id")
+        return silver.upsert(rows, "tx_id", mark=mark, batches=found)
+    before = silver.read()
+    keys = fresh.select("tx_id")
+    if "batch_id" in before.columns:
+        stale = before.filter(F.col("batch_id").isin(sorted(again)))
+        keys = keys.union(stale.select("tx_id"))
+    keys = materialize(keys.filter("tx_id IS NOT NULL").distinct(), "changed")
+    rows = clean_transactions(every.join(keys, "tx_id", "left_semi"), newest_by="batch_id")
+    silver.upsert(rows, "tx_id", mark=mark, batches=found, replaced=keys)
