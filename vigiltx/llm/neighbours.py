@@ -199,7 +199,7 @@ def _descended(graph: DataFrame, points: DataFrame, config: GraphConfig) -> Data
                 owner.append(ids[a:b][one])
                 other.append(ids[a:b][two])
                 value.append(sims[one, two])
-            if owner:
+            if any(map(len, owner)):
                 # The same two meet at many nodes: within this frame one meeting is enough.
                 found, ids, sims, _ = ranked(np.concatenate(owner), np.concatenate(other), np.concatenate(value), degree)
                 own, (ids, sims) = listed(found, ids, sims)
