@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigiltx.llm import jaccard, langid, mixing, neighbours, quality, repeats, secrets, sentence_pieces, token_counts, topk
+from vigiltx.llm import conversations, jaccard, langid, mixing, neighbours, quality, repeats, secrets, sentence_pieces, token_counts, topk, toxicity, whitening
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -74,10 +74,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", aside.alias("held_out"), "score", "predicted")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    aside = toxicity.held_out(F.col("doc_id"))
+    scored = toxicity.score_toxicity(docs, _read(spark, sf_dir, "labels").select("doc_id", "toxic"), aside)
+    return scored.select("doc_id", aside.alias("held_out"), "score", "predicted")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deviation as a long, as contracted; beyond a long Spark raises an error, the operator itself goes on to 38 digits."""
+    rows = whitening.whiten(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return rows.select("vec_id", *whitening.ADDED).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damaged_and_repaired(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_language_id, op2_secret_scans, op3_sentence_pieces, op4_jaccard_join, op5_nearest, op6_mixing, op7_repeats, op8_top_k, op9_token_counts, op10_quality,
+        op11_toxicity, op12_whitening, op13_conversation_repair,
     )
 }
 
