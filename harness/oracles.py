@@ -18,6 +18,13 @@ def half_up(x: str, places: int) -> str:
     return f"cast(round(cast(cast({x} AS varchar) AS decimal(38,17)), {places}) AS double)"
 
 
+def nearest_cent(x: str) -> str:
+    """Two decimals of a double's exact value, half to even, in whole numbers; for 2^-8 to 2^27."""
+    scaled, unit = f"(({x}) * 1152921504606846976::DOUBLE)::HUGEINT * 100", "1152921504606846976::HUGEINT"
+    up = f"{scaled} % {unit} > {unit} // 2 OR {scaled} % {unit} = {unit} // 2 AND ({scaled} // {unit}) % 2 = 1"
+    return f"(({scaled} // {unit} + CASE WHEN {up} THEN 1 ELSE 0 END)::DOUBLE / 100)"
+
+
 def six(x: str) -> str:
     return f"({half_up(x, 6)} + 0.0)"
 
@@ -53,7 +60,7 @@ bronze AS (
     CASE o_orderpriority[1] WHEN '1' THEN ' Cajero_Automatico' WHEN '2' THEN 'Exchange_Crypto '
          WHEN '3' THEN 'Plataforma_Terceros' ELSE 'Transferencia_Bancaria' END AS channel,
     CASE WHEN l_linestatus = 'F' THEN 'Local' ELSE 'Internacional' END AS geography,
-    {half_up("(l_extendedprice / 50.0::double) * rate", 2)} AS amount_original,
+    {nearest_cent("(l_extendedprice / 50.0::double) * rate")} AS amount_original,
     CASE WHEN noise = 1 THEN ' uds ' ELSE cur END AS currency,
     l_extendedprice / 50.0::double AS amount_usd,
     coalesce(
@@ -569,12 +576,12 @@ FROM classed GROUP BY ROLLUP (classification, pattern, channel)""",
 SELECT tx_id, tx_date AS x, amount_usd AS y, risk_score AS z, pattern, amount_usd AS size FROM facts""",
     "fx_convert": f"""WITH {SILVER}
 SELECT tx_id, currency, amount_usd, CASE currency
-    WHEN 'USD' THEN {half_up("amount_usd * 1.00::double", 2)}
-    WHEN 'PEN' THEN {half_up("amount_usd * 3.35::double", 2)}
-    WHEN 'EUR' THEN {half_up("amount_usd * 0.86::double", 2)}
-    WHEN 'GBP' THEN {half_up("amount_usd * 0.74::double", 2)}
-    WHEN 'JPY' THEN {half_up("amount_usd * 159.35::double", 2)}
-    WHEN 'CNY' THEN {half_up("amount_usd * 6.72::double", 2)} END AS converted
+    WHEN 'USD' THEN {nearest_cent("amount_usd * 1.00::double")}
+    WHEN 'PEN' THEN {nearest_cent("amount_usd * 3.35::double")}
+    WHEN 'EUR' THEN {nearest_cent("amount_usd * 0.86::double")}
+    WHEN 'GBP' THEN {nearest_cent("amount_usd * 0.74::double")}
+    WHEN 'JPY' THEN {nearest_cent("amount_usd * 159.35::double")}
+    WHEN 'CNY' THEN {nearest_cent("amount_usd * 6.72::double")} END AS converted
 FROM tx""",
     "defect_profile": f"""WITH {BRONZE}
 SELECT count(*) AS bronze_rows,

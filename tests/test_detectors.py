@@ -162,3 +162,24 @@ def test_single_exit_counts_exchange_outflow_only(spark):
     rows += [("a", "e", EXCHANGE, 500.0, 100), ("a", "friend", WALLET, 1.0, 101)]
     (row,) = detectors.single_exit(silver(spark, rows)).collect()
     assert (row.in_count, row.out_count, row.exits, row.out_total) == (5, 1, 1, 500.0)
+
+
+@pytest.mark.parametrize("amounts", [[9.5e16], [5e16, 5e16], [5e16, 5e16, 0.25]])
+def test_large_amounts_stay_in_all_totals(spark, amounts):
+    want = sum(amounts)
+    rows = [("x", "a", "Plataforma_Terceros", v, i) for i, v in enumerate(amounts)]
+    rows += [("a", "y", "Transferencia_Bancaria", v, 100 + i) for i, v in enumerate(amounts)]
+    assert {r.amount for r in detectors.burst_sessions(silver(spark, rows)).collect()} == {want}
+    (row,) = detectors.pass_through(silver(spark, rows)).collect()
+    assert (row.in_total, row.out_total) == (want, want)
+    rows = [("x", "a", "Crypto_Wallet", v, i) for i, v in enumerate(amounts)] + [("a", "y", "Exchange_Crypto", v, i) for i, v in enumerate(amounts)]
+    (row,) = detectors.single_exit(silver(spark, rows[::-1]), min_inbound=1).collect()
+    assert (row.in_total, row.out_total) == (want, want)
+    rows = [("a", "y", "Cajero", v, i) for i, v in enumerate(amounts)]
+    (row,) = detectors.cash_splitting(silver(spark, rows), deposits=(1, 5), each_below=1e18).collect()
+    assert row.amount == want
+
+
+def test_an_infinite_amount_shows(spark):
+    rows = [("a", "y", "c", 1.0, 0), ("a", "y", "c", float("inf"), 5)]
+    assert [r.amount for r in detectors.burst_sessions(silver(spark, rows)).collect()] == [float("inf")]

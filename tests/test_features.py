@@ -1,13 +1,14 @@
 import math
 import random
 import statistics
+from fractions import Fraction
 
 import pytest
 from builders import by_key, customers, silver
 from conftest import executed_plan
 from pyspark.sql import functions as F
 
-from vigiltx.functions.money import convert, half_even2, money_sum
+from vigiltx.functions.money import convert, half_even2, money_sum, round2
 from vigiltx.operators.features import customer_features, received_features, sent_features
 from vigiltx.schema import FEATURE_COLUMNS
 
@@ -116,6 +117,42 @@ def test_half_even(spark, x, want):
     assert spark.range(1).select(half_even2(F.lit(x))).first()[0] == want
 
 
+def test_sums_of_large_amounts(spark):
+    for amounts in ([9.5e16], [5e16, 5e16], [1e26, -0.01, 123.45, 9.5e16], [7e13 + 0.25, 0.25]):
+        want = float(sum(map(Fraction, amounts)))
+        for order in (amounts, amounts[::-1]):
+            tx = silver(spark, [("a", f"d{i}", "c", x, i) for i, x in enumerate(order)])
+            assert by_key(sent_features(tx))["a"]["sent_total"] == want
+            assert tx.agg(money_sum(F.col("amount_usd"))).first()[0] == want
+    wide = [3e17, 5e17, 8e17, 1.5]
+    tx = silver(spark, [("a", "b", "c", x, i) for i, x in enumerate(wide)])
+    assert by_key(sent_features(tx))["a"]["sent_std"] == pytest.approx(statistics.stdev(wide), rel=1e-9)
+
+
+def test_beyond_any_money_counts_as_infinite(spark):
+    tx = silver(spark, [("a", "b", "c", 2e27, 0), ("a", "c", "c", 5.0, 0)])
+    assert by_key(sent_features(tx))["a"]["sent_total"] == math.inf
+
+
+# The right column is what Python's round(x, 2) says.
+ROUNDED = [
+    (0.125, 0.12), (0.375, 0.38), (2.675, 2.67), (1.005, 1.0), (-2.675, -2.67), (40.665, 40.66), (0.005, 0.01), (0.015, 0.01),
+    (1e13 + 0.005, 10000000000000.01), (8e15 + 1, 8000000000000001.0), (99.995, 100.0), (0.045, 0.04), (1.115, 1.11), (0.0, 0.0),
+]
+
+
+def test_rounding_of_the_exact_value(spark):
+    assert all(round(x, 2) == want for x, want in ROUNDED)
+    rows = spark.createDataFrame(ROUNDED, "x double, want double").withColumn("got", round2(F.col("x"))).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    draw = random.Random(4)
+    many = [draw.uniform(-1, 1) * 10 ** draw.randint(-2, 15) for _ in range(2000)] + [k / 8 for k in range(-800, 800)] + [round(draw.uniform(0, 1e5), 3) for _ in range(2000)]
+    got = spark.createDataFrame([(x,) for x in many], "x double").select("x", round2(F.col("x")).alias("y")).collect()
+    assert [r.y for r in got] == [round(r.x, 2) for r in got]
+    odd = spark.createDataFrame([(math.inf,), (-math.inf,), (None,)], "x double").select(round2(F.col("x"))).collect()
+    assert [r[0] for r in odd] == [math.inf, -math.inf, None]
+
+
 def test_money_sum_is_null_for_nothing(spark):
     empty = spark.createDataFrame([], "x double")
     assert empty.agg(money_sum(F.col("x"))).first()[0] is None

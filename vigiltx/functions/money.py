@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from vigiltx.config import RATES
 
-# Below this an amount in cents fits a bigint. What lies above, infinities and NaN
-# follow floating-point arithmetic. A sum that outgrows a bigint is an error.
-REGULAR_BELOW = 9e16
+# From here on an amount counts as infinite: a sum of 10^9 amounts below it still fits a decimal.
+INFINITE_FROM = 1e27
+# Below this, cents come straight from a multiplication that is exact to the cent.
+PLAIN_BELOW = float(1 << 44)
+# Cents are split here before they are squared, so that every product of parts fits a decimal.
+SQUARED_AT = 10**14
 
 
 def amount2(text_or_number: Column) -> Column:
@@ -24,46 +27,103 @@ def half_even2(x: Column) -> Column:
     return F.rint(x * 100) / 100
 
 
-def cents(amount: Column) -> Column:
-    return F.when(F.abs(amount) < REGULAR_BELOW, F.rint(amount * 100).cast("bigint"))
+def _cents_of(x: Column) -> Column:
+    """x, not negative, in whole cents: its exact binary value, half to even.
+
+    x is split into two doubles whose products with 100 are exact, so that the distance
+    from the half cent has the right sign, and is zero only where it is zero.
+    """
+    head = x * 134_217_729.0
+    head = head - (head - x)
+    tail = x - head
+    floor = F.floor(x * 100).cast("double")
+    past_half = (head * 100 - (floor + 0.5)) + tail * 100
+    odd = floor - 2 * F.floor(floor / 2)
+    return floor + F.when(past_half > 0, 1.0).when(past_half < 0, 0.0).otherwise(odd)
+
 
+def round2(x: Column) -> Column:
+    """Two decimals, by the exact binary value and half to even: 1.005 gives 1.0, 0.125 gives 0.12."""
+    size = F.abs(x)
+    whole = size - size % 1.0
+    rounded = F.when(size < PLAIN_BELOW, _cents_of(size) / 100).when(
+        size < INFINITE_FROM, whole + _cents_of(size - whole) / 100
+    )
+    return F.when(size < INFINITE_FROM, F.signum(x) * rounded).otherwise(x)
 
-def cents_squared(amount: Column) -> Column:
-    whole = cents(amount).cast("decimal(19,0)")
-    return whole * whole
+
+def cents(amount: Column) -> Column:
+    """A finite amount in whole cents, as a decimal that any order of sums keeps exact."""
+    whole = amount - amount % 1.0
+    high = (whole / 2.0**52) - (whole / 2.0**52) % 1.0
+    units = high.cast("bigint") * F.lit(1 << 52).cast("decimal(16,0)") + (
+        whole - high * 2.0**52
+    ).cast("bigint").cast("decimal(20,0)")
+    wide = units * F.lit(100).cast("decimal(3,0)") + F.rint((amount - whole) * 100).cast("bigint")
+    plain = F.rint(amount * 100).cast("bigint")
+    return (
+        F.when(F.abs(amount) < PLAIN_BELOW, plain.cast("decimal(38,0)"))
+        .when(F.abs(amount) < INFINITE_FROM, wide.cast("decimal(38,0)"))
+    )
 
 
 def irregular(amount: Column) -> Column:
-    return F.when(~(F.abs(amount) < REGULAR_BELOW), amount)
+    """What ``cents`` leaves out: NaN, and infinities by sign. Their sum has no order either."""
+    infinite = F.when(F.isnan(amount), amount).otherwise(F.signum(amount) * float("inf"))
+    return F.when(~(F.abs(amount) < INFINITE_FROM), infinite)
+
+
+def squared_parts(amount: Column) -> tuple[Column, Column, Column]:
+    """The squares of cents as (high, cross, low) with square = high S^2 + 2 cross S + low and
+    S = SQUARED_AT; high and cross are NULL where they are zero, as for any common amount."""
+    whole = cents(amount)
+    split = F.lit(SQUARED_AT).cast("decimal(15,0)")
+    high = (whole - whole % split) / split
+    high = F.when(F.abs(whole) >= split, high.cast("decimal(17,0)"))
+    low = (whole % split).cast("decimal(15,0)")
+    return high * high, high * low, low * low
 
 
 def from_cents(total: Column, odd: Column | None = None) -> Column:
     """Dollars from a sum of cents, plus the sum of irregular amounts if any."""
-    dollars = total / F.lit(100.0)
+    rest = total % F.lit(100).cast("decimal(3,0)")
+    whole = ((total - rest) / F.lit(100).cast("decimal(3,0)")).cast("decimal(36,0)")
+    dollars = F.when(F.abs(total) < 1 << 53, total.cast("double") / 100.0).otherwise(
+        whole.cast("double") + rest.cast("double") / 100.0
+    )
     if odd is None:
         return dollars
     return F.coalesce(dollars + F.coalesce(odd, F.lit(0.0)), odd)
 
 
 def money_sum(amount: Column) -> Column:
-    """Sum of two-decimal amounts: bigint cents, so the same for any row order."""
+    """Sum of two-decimal amounts: in whole cents, so the same for any row order."""
     return from_cents(F.sum(cents(amount)), F.sum(irregular(amount)))
 
 
-def sample_std(n: Column, total: Column, squares: Column) -> Column:
-    """Sample standard deviation in dollars from exact sums of cents and squared cents.
+def sample_std(
+    n: Column, total: Column, high: Column, cross: Column, low: Column
+) -> Column:
+    """Sample standard deviation in dollars from exact sums of cents and ``squared_parts``.
 
     For any integer q and r = total - n*q the squared distances from q add up to
     squares - q*(total + r). With q near the mean nothing cancels in floating point.
+    With amounts of 10^12 dollars and more, the exact sums are put together in doubles.
     """
-    q = F.floor(total / n).cast("bigint")
-    r = total - n * q
-    around_q = squares - q.cast("decimal(19,0)") * (total + r).cast("decimal(19,0)")
+    q = F.floor(total.cast("double") / n).cast("bigint")
+    q_exact = q.cast("decimal(18,0)")
+    r = (total - n.cast("decimal(19,0)") * q_exact).cast("decimal(38,0)")
+    around_q = low - q_exact * (total + r).cast("decimal(38,0)")
     m2 = around_q.cast("double") - r.cast("double") * r.cast("double") / n
-    return F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1)) / 100.0)
+    exact = F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1)) / 100.0
+    size = float(SQUARED_AT)
+    squares = high.cast("double") + 2 * cross.cast("double") / size + low.cast("double") / size**2
+    mean = total.cast("double") / size
+    wide = F.sqrt(F.greatest(squares - mean * mean / n, F.lit(0.0)) / (n - 1)) * (size / 100.0)
+    return F.when(n > 1, F.when(high.isNull(), exact).otherwise(wide))
 
 
 def convert(usd: Column, currency: Column, rates: Mapping[str, float] = RATES) -> Column:
-    """Dollars expressed in ``currency``, two decimals; NULL for an unknown currency."""
+    """Dollars expressed in ``currency``, rounded by ``round2``; NULL for an unknown currency."""
     table = F.create_map(*[F.lit(v) for pair in rates.items() for v in pair])
-    return F.round(usd * F.try_element_at(table, currency), 2)
+    return round2(usd * F.try_element_at(table, currency))

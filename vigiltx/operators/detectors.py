@@ -2,8 +2,8 @@
 
 A customer or key may own a large share of all rows, so no detector gathers a whole
 customer in one task: rows are added up per second, day or pair first, and windows
-run over pieces of bounded size. Amounts add up in cents; an infinite or NaN amount
-counts as a row but not as money.
+run over pieces of bounded size. Amounts add up exactly, as in the features; an infinite
+or NaN amount makes the total infinite or NaN.
 """
 
 from __future__ import annotations
@@ -12,14 +12,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vigiltx.config import RATES, REPORTING_LIMIT
-from vigiltx.functions.money import cents, convert, from_cents, money_sum
+from vigiltx.config import RATES, REPORTING_LIMIT, FeatureConfig
+from vigiltx.functions.money import cents, convert, from_cents, irregular, money_sum
 from vigiltx.functions.times import parse_time
 from vigiltx.operators.features import both_sides
 
 DAY = 86_400
 
 
+def _money(amount: Column, where: Column | None = None, prefix: str = "") -> list[Column]:
+    """Sums ``cents`` and ``odd`` that ``from_cents`` puts together."""
+    parts = {"cents": cents(amount), "odd": irregular(amount)}
+    return [
+        F.sum(part if where is None else F.when(where, part)).alias(prefix + name)
+        for name, part in parts.items()
+    ]
+
+
 def _slice(second: Column, width: int) -> Column:
     """Index of the time slice. Declared never NULL, so that Spark adds no null filter
     of its own to one of several uses and they share one shuffle."""
@@ -80,7 +89,7 @@ def near_duplicates(bronze: DataFrame) -> DataFrame:
 
 
 def _chain(pieces: DataFrame, keys: list[str], gap: int) -> DataFrame:
-    """Join pieces (started, ended, events, cents) of one key that lie within ``gap``."""
+    """Join pieces (started, ended, events, cents, odd) of one key that lie within ``gap``."""
     w = W.partitionBy(*keys).orderBy("started")
     breaks = F.coalesce(F.col("started") - F.lag("ended").over(w) > gap, F.lit(True))
     return (
@@ -92,6 +101,7 @@ def _chain(pieces: DataFrame, keys: list[str], gap: int) -> DataFrame:
             F.max("ended").alias("ended"),
             F.sum("events").alias("events"),
             F.sum("cents").alias("cents"),
+            F.sum("odd").alias("odd"),
         )
         .drop("_chain")
     )
@@ -109,7 +119,7 @@ def burst_sessions(tx: DataFrame, gap_seconds: int = 59, min_events: int = 1) ->
     ticks = (
         tx.filter(F.col("origin").isNotNull() & F.col("tx_ts").isNotNull())
         .groupBy(F.col("origin").alias("customer_id"), second.alias("started"))
-        .agg(F.count("*").alias("events"), F.sum(cents(F.col("amount_usd"))).alias("cents"))
+        .agg(F.count("*").alias("events"), *_money(F.col("amount_usd")))
         .withColumn("ended", F.col("started"))
         .withColumn("slice", _slice(F.col("started"), width))
     )
@@ -126,13 +136,13 @@ def burst_sessions(tx: DataFrame, gap_seconds: int = 59, min_events: int = 1) ->
         F.timestamp_seconds("ended").alias("ended_at"),
         (F.col("ended") - F.col("started")).alias("span_seconds"),
         "events",
-        from_cents(F.col("cents")).alias("amount"),
+        from_cents(F.col("cents"), F.col("odd")).alias("amount"),
     )
 
 
 def cash_splitting(
     tx: DataFrame,
-    cash_channels: str = "(?i)Efectivo|ATM|Cajero|Ventanilla",
+    cash_channels: str = FeatureConfig.cash_channels,
     period: str = "day",
     deposits: tuple[int, int] = (3, 5),
     each_below: float = REPORTING_LIMIT,
@@ -181,7 +191,7 @@ def pass_through(
         .groupBy(F.col("destination").alias("customer_id"))
         .agg(
             F.count("*").alias("in_count"),
-            F.sum(cents(amount)).alias("in_cents"),
+            *_money(amount, prefix="in_"),
             F.max(F.unix_seconds("tx_ts")).alias("last_in"),
         )
         .filter(F.col("customer_id").isNotNull())
@@ -190,11 +200,11 @@ def pass_through(
     by_second = (
         timed.filter((F.col("channel") == outbound_channel) & F.col("origin").isNotNull())
         .groupBy(F.col("origin").alias("customer_id"), F.unix_seconds("tx_ts").alias("second"))
-        .agg(F.count("*").alias("n"), F.sum(cents(amount)).alias("cents"))
+        .agg(F.count("*").alias("n"), *_money(amount))
         .withColumn("day", _slice(F.col("second"), DAY))
     )
     by_day = by_second.groupBy("customer_id", "day").agg(
-        F.sum("n").alias("n"), F.sum("cents").alias("cents")
+        *[F.sum(name).alias(name) for name in ("n", "cents", "odd")]
     )
     later_days = by_day.join(received, "customer_id").filter(F.col("day") > F.col("last_day"))
     last_day = (
@@ -202,7 +212,7 @@ def pass_through(
         .join(received, ["customer_id", "last_day"])
         .filter(F.col("second") > F.col("last_in"))
     )
-    wanted = ["customer_id", "in_count", "in_cents", "last_in", "n", "cents"]
+    wanted = ["customer_id", "in_count", "in_cents", "in_odd", "last_in", "n", "cents", "odd"]
     sent = (
         later_days.select(*wanted)
         .unionByName(last_day.select(*wanted))
@@ -210,9 +220,11 @@ def pass_through(
         .agg(
             F.max("in_count").alias("in_count"),
             F.max("in_cents").alias("in_cents"),
+            F.max("in_odd").alias("in_odd"),
             F.max("last_in").alias("last_in"),
             F.sum("n").alias("out_count"),
             F.sum("cents").alias("out_cents"),
+            F.sum("odd").alias("out_odd"),
         )
     )
     out_total, in_total = F.col("out_total"), F.col("in_total")
@@ -222,10 +234,10 @@ def pass_through(
     return sent.select(
         "customer_id",
         "in_count",
-        from_cents(F.col("in_cents")).alias("in_total"),
+        from_cents(F.col("in_cents"), F.col("in_odd")).alias("in_total"),
         F.timestamp_seconds("last_in").alias("last_in_at"),
         "out_count",
-        from_cents(F.col("out_cents")).alias("out_total"),
+        from_cents(F.col("out_cents"), F.col("out_odd")).alias("out_total"),
     ).filter(suspicious)
 
 
@@ -271,18 +283,23 @@ def single_exit(
         .groupBy("origin", "destination")
         .agg(
             F.count_if(comes_in).alias("in_n"),
-            F.sum(F.when(comes_in, cents(amount))).alias("in_cents"),
+            *_money(amount, comes_in, "in_"),
             F.count_if(goes_out).alias("out_n"),
-            F.sum(F.when(goes_out, cents(amount))).alias("out_cents"),
+            *_money(amount, goes_out, "out_"),
         )
     )
     sent = F.col("sent")
     is_exit = sent & (F.col("out_n") > 0)
+
+    def total(where: Column, side: str) -> Column:
+        parts = (F.sum(F.when(where, F.col(f"{side}_{name}"))) for name in ("cents", "odd"))
+        return from_cents(*parts).alias(f"{side}_total")
+
     totals = both_sides(edges).groupBy("customer_id").agg(
         F.sum(F.when(~sent, F.col("in_n"))).alias("in_count"),
-        from_cents(F.sum(F.when(~sent, F.col("in_cents")))).alias("in_total"),
+        total(~sent, "in"),
         F.sum(F.when(sent, F.col("out_n"))).alias("out_count"),
-        from_cents(F.sum(F.when(sent, F.col("out_cents")))).alias("out_total"),
+        total(sent, "out"),
         F.count(F.when(is_exit, F.col("peer"))).alias("exits"),
     )
     found = totals.filter(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigiltx.config import FeatureConfig
-from vigiltx.functions.money import cents, cents_squared, from_cents, irregular, sample_std
+from vigiltx.functions.money import cents, from_cents, irregular, sample_std, squared_parts
 from vigiltx.schema import CUSTOMERS, FEATURE_COLUMNS, RECEIVED_COLUMNS, SENT_COLUMNS
 
 DEFAULTS = FeatureConfig()
@@ -21,13 +21,17 @@ def payment_edges(tx: DataFrame, cfg: FeatureConfig = DEFAULTS) -> DataFrame:
     """One row per (origin, destination): counts, exact sums, maximum."""
     amount = F.col("amount_usd")
 
+    high, cross, low = squared_parts(amount)
+
     def through(pattern: str) -> Column:
         return F.count_if(F.col("channel").rlike(pattern))
 
     return tx.groupBy("origin", "destination").agg(
         F.count("tx_id").alias("n"),
         F.sum(cents(amount)).alias("cents"),
-        F.sum(cents_squared(amount)).alias("squares"),
+        F.sum(high).alias("high"),
+        F.sum(cross).alias("cross"),
+        F.sum(low).alias("low"),
         F.sum(irregular(amount)).alias("odd"),
         F.max(amount).alias("top"),
         through(cfg.cash_channels).alias("cash"),
@@ -45,7 +49,7 @@ def _sent(where: Column, peer: str) -> list[Column]:
         return F.sum(F.when(where, F.col(name)))
 
     n, has_odd = total_of("n"), total_of("odd").isNotNull()
-    spread = sample_std(n, total_of("cents"), total_of("squares"))
+    spread = sample_std(n, *map(total_of, ("cents", "high", "cross", "low")))
     return [
         n.alias("sent_count"),
         _total(where).alias("sent_total"),
