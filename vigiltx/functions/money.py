@@ -13,6 +13,12 @@ from vigiltx.config import RATES
 INFINITE_FROM = 1e27
 # Below this, cents come straight from a multiplication that is exact to the cent.
 PLAIN_BELOW = float(1 << 44)
+# Amounts below this add up in two bigints, the cents above and below FINE bits, which 10^12
+# of them cannot overflow; larger ones, as rare as they are, in a decimal.
+SMALL_BELOW = float(1 << 36)
+FINE = 20
+# The columns that a sum of money consists of.
+PARTS = ("coarse", "fine", "wide", "odd")
 # Cents are split here before they are squared, so that every product of parts fits a decimal.
 SQUARED_AT = 10**14
 
@@ -73,32 +79,55 @@ def irregular(amount: Column) -> Column:
     return F.when(~(F.abs(amount) < INFINITE_FROM), infinite)
 
 
-def squared_parts(amount: Column) -> tuple[Column, Column, Column]:
-    """The squares of cents as (high, cross, low) with square = high S^2 + 2 cross S + low and
-    S = SQUARED_AT; high and cross are NULL where they are zero, as for any common amount."""
-    whole = cents(amount)
-    split = F.lit(SQUARED_AT).cast("decimal(15,0)")
-    high = (whole - whole % split) / split
-    high = F.when(F.abs(whole) >= split, high.cast("decimal(17,0)"))
-    low = (whole % split).cast("decimal(15,0)")
-    return high * high, high * low, low * low
+def _small(amount: Column) -> Column:
+    return F.when(F.abs(amount) < SMALL_BELOW, F.rint(amount * 100).cast("bigint"))
+
+
+def money_parts(amount: Column) -> dict[str, Column]:
+    """What to add up, each part for itself and in any order, for an exact sum of amounts."""
+    small = _small(amount)
+    return {
+        "coarse": F.shiftright(small, FINE),
+        "fine": small.bitwiseAND(F.lit((1 << FINE) - 1).cast("bigint")),
+        "wide": F.when(F.abs(amount) >= SMALL_BELOW, cents(amount)),
+        "odd": irregular(amount),
+    }
+
 
+def total_cents(coarse: Column, fine: Column, wide: Column) -> Column:
+    """Whole cents from sums of parts; NULL when there was nothing."""
+    small = coarse.cast("decimal(20,0)") * F.lit(1 << FINE).cast("decimal(7,0)") + fine
+    small = small.cast("decimal(38,0)")
+    return F.coalesce((small + F.coalesce(wide, F.lit(0))).cast("decimal(38,0)"), wide)
 
-def from_cents(total: Column, odd: Column | None = None) -> Column:
-    """Dollars from a sum of cents, plus the sum of irregular amounts if any."""
-    rest = total % F.lit(100).cast("decimal(3,0)")
-    whole = ((total - rest) / F.lit(100).cast("decimal(3,0)")).cast("decimal(36,0)")
-    dollars = F.when(F.abs(total) < 1 << 53, total.cast("double") / 100.0).otherwise(
+
+def dollars(coarse: Column, fine: Column, wide: Column, odd: Column) -> Column:
+    """Dollars from sums of parts: rounded once, or the irregular amounts' sum if there are any."""
+    total = total_cents(coarse, fine, wide)
+    hundred = F.lit(100).cast("decimal(3,0)")
+    rest = total % hundred
+    whole = ((total - rest) / hundred).cast("decimal(36,0)")
+    exact = F.when(F.abs(total) < 1 << 53, total.cast("double") / 100.0).otherwise(
         whole.cast("double") + rest.cast("double") / 100.0
     )
-    if odd is None:
-        return dollars
-    return F.coalesce(dollars + F.coalesce(odd, F.lit(0.0)), odd)
+    return F.coalesce(exact + F.coalesce(odd, F.lit(0.0)), odd)
 
 
 def money_sum(amount: Column) -> Column:
     """Sum of two-decimal amounts: in whole cents, so the same for any row order."""
-    return from_cents(F.sum(cents(amount)), F.sum(irregular(amount)))
+    return dollars(*map(F.sum, money_parts(amount).values()))
+
+
+def squared_parts(amount: Column) -> tuple[Column, Column, Column]:
+    """The squares of cents as (high, cross, low) with square = high S^2 + 2 cross S + low and
+    S = SQUARED_AT; high and cross are NULL where they are zero, as for any common amount."""
+    small = _small(amount).cast("decimal(19,0)")
+    large = F.when(F.abs(amount) >= SMALL_BELOW, cents(amount))
+    split = F.lit(SQUARED_AT).cast("decimal(15,0)")
+    rest = (large % split).cast("decimal(15,0)")
+    high = F.when(F.abs(large) >= split, ((large - rest) / split).cast("decimal(17,0)"))
+    low = F.coalesce((small * small).cast("decimal(38,0)"), (rest * rest).cast("decimal(38,0)"))
+    return high * high, high * rest, low
 
 
 def sample_std(

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vigiltx.config import RATES, REPORTING_LIMIT, FeatureConfig
-from vigiltx.functions.money import cents, convert, from_cents, irregular, money_sum
+from vigiltx.functions.money import PARTS, convert, dollars, money_parts, money_sum
 from vigiltx.functions.times import parse_time
 from vigiltx.operators.features import both_sides
 
@@ -21,14 +21,17 @@ DAY = 86_400
 
 
 def _money(amount: Column, where: Column | None = None, prefix: str = "") -> list[Column]:
-    """Sums ``cents`` and ``odd`` that ``from_cents`` puts together."""
-    parts = {"cents": cents(amount), "odd": irregular(amount)}
+    """Sums of the parts that ``_dollars`` puts together."""
     return [
         F.sum(part if where is None else F.when(where, part)).alias(prefix + name)
-        for name, part in parts.items()
+        for name, part in money_parts(amount).items()
     ]
 
 
+def _dollars(prefix: str = "") -> Column:
+    return dollars(*[F.col(prefix + name) for name in PARTS])
+
+
 def _slice(second: Column, width: int) -> Column:
     """Index of the time slice. Declared never NULL, so that Spark adds no null filter
     of its own to one of several uses and they share one shuffle."""
@@ -89,7 +92,7 @@ def near_duplicates(bronze: DataFrame) -> DataFrame:
 
 
 def _chain(pieces: DataFrame, keys: list[str], gap: int) -> DataFrame:
-    """Join pieces (started, ended, events, cents, odd) of one key that lie within ``gap``."""
+    """Join pieces (started, ended, events, money) of one key that lie within ``gap``."""
     w = W.partitionBy(*keys).orderBy("started")
     breaks = F.coalesce(F.col("started") - F.lag("ended").over(w) > gap, F.lit(True))
     return (
@@ -100,8 +103,7 @@ def _chain(pieces: DataFrame, keys: list[str], gap: int) -> DataFrame:
             F.min("started").alias("started"),
             F.max("ended").alias("ended"),
             F.sum("events").alias("events"),
-            F.sum("cents").alias("cents"),
-            F.sum("odd").alias("odd"),
+            *[F.sum(name).alias(name) for name in PARTS],
         )
         .drop("_chain")
     )
@@ -136,7 +138,7 @@ def burst_sessions(tx: DataFrame, gap_seconds: int = 59, min_events: int = 1) ->
         F.timestamp_seconds("ended").alias("ended_at"),
         (F.col("ended") - F.col("started")).alias("span_seconds"),
         "events",
-        from_cents(F.col("cents"), F.col("odd")).alias("amount"),
+        _dollars().alias("amount"),
     )
 
 
@@ -204,7 +206,7 @@ def pass_through(
         .withColumn("day", _slice(F.col("second"), DAY))
     )
     by_day = by_second.groupBy("customer_id", "day").agg(
-        *[F.sum(name).alias(name) for name in ("n", "cents", "odd")]
+        *[F.sum(name).alias(name) for name in ("n", *PARTS)]
     )
     later_days = by_day.join(received, "customer_id").filter(F.col("day") > F.col("last_day"))
     last_day = (
@@ -212,19 +214,18 @@ def pass_through(
         .join(received, ["customer_id", "last_day"])
         .filter(F.col("second") > F.col("last_in"))
     )
-    wanted = ["customer_id", "in_count", "in_cents", "in_odd", "last_in", "n", "cents", "odd"]
+    received_parts = [f"in_{name}" for name in PARTS]
+    wanted = ["customer_id", "in_count", *received_parts, "last_in", "n", *PARTS]
     sent = (
         later_days.select(*wanted)
         .unionByName(last_day.select(*wanted))
         .groupBy("customer_id")
         .agg(
             F.max("in_count").alias("in_count"),
-            F.max("in_cents").alias("in_cents"),
-            F.max("in_odd").alias("in_odd"),
+            *[F.max(name).alias(name) for name in received_parts],
             F.max("last_in").alias("last_in"),
             F.sum("n").alias("out_count"),
-            F.sum("cents").alias("out_cents"),
-            F.sum("odd").alias("out_odd"),
+            *[F.sum(name).alias(f"out_{name}") for name in PARTS],
         )
     )
     out_total, in_total = F.col("out_total"), F.col("in_total")
@@ -234,10 +235,10 @@ def pass_through(
     return sent.select(
         "customer_id",
         "in_count",
-        from_cents(F.col("in_cents"), F.col("in_odd")).alias("in_total"),
+        _dollars("in_").alias("in_total"),
         F.timestamp_seconds("last_in").alias("last_in_at"),
         "out_count",
-        from_cents(F.col("out_cents"), F.col("out_odd")).alias("out_total"),
+        _dollars("out_").alias("out_total"),
     ).filter(suspicious)
 
 
@@ -292,8 +293,8 @@ def single_exit(
     is_exit = sent & (F.col("out_n") > 0)
 
     def total(where: Column, side: str) -> Column:
-        parts = (F.sum(F.when(where, F.col(f"{side}_{name}"))) for name in ("cents", "odd"))
-        return from_cents(*parts).alias(f"{side}_total")
+        parts = (F.sum(F.when(where, F.col(f"{side}_{name}"))) for name in PARTS)
+        return dollars(*parts).alias(f"{side}_total")
 
     totals = both_sides(edges).groupBy("customer_id").agg(
         F.sum(F.when(~sent, F.col("in_n"))).alias("in_count"),

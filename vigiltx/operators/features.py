@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigiltx.config import FeatureConfig
-from vigiltx.functions.money import cents, from_cents, irregular, sample_std, squared_parts
+from vigiltx.functions.money import PARTS, dollars, money_parts, sample_std, squared_parts, total_cents
 from vigiltx.schema import CUSTOMERS, FEATURE_COLUMNS, RECEIVED_COLUMNS, SENT_COLUMNS
 
 DEFAULTS = FeatureConfig()
@@ -28,11 +28,10 @@ def payment_edges(tx: DataFrame, cfg: FeatureConfig = DEFAULTS) -> DataFrame:
 
     return tx.groupBy("origin", "destination").agg(
         F.count("tx_id").alias("n"),
-        F.sum(cents(amount)).alias("cents"),
+        *[F.sum(part).alias(name) for name, part in money_parts(amount).items()],
         F.sum(high).alias("high"),
         F.sum(cross).alias("cross"),
         F.sum(low).alias("low"),
-        F.sum(irregular(amount)).alias("odd"),
         F.max(amount).alias("top"),
         through(cfg.cash_channels).alias("cash"),
         through(cfg.crypto_channels).alias("crypto"),
@@ -41,7 +40,7 @@ def payment_edges(tx: DataFrame, cfg: FeatureConfig = DEFAULTS) -> DataFrame:
 
 
 def _total(where: Column) -> Column:
-    return from_cents(F.sum(F.when(where, F.col("cents"))), F.sum(F.when(where, F.col("odd"))))
+    return dollars(*[F.sum(F.when(where, F.col(name))) for name in PARTS])
 
 
 def _sent(where: Column, peer: str) -> list[Column]:
@@ -49,7 +48,8 @@ def _sent(where: Column, peer: str) -> list[Column]:
         return F.sum(F.when(where, F.col(name)))
 
     n, has_odd = total_of("n"), total_of("odd").isNotNull()
-    spread = sample_std(n, *map(total_of, ("cents", "high", "cross", "low")))
+    total = total_cents(*map(total_of, PARTS[:3]))
+    spread = sample_std(n, total, *map(total_of, ("high", "cross", "low")))
     return [
         n.alias("sent_count"),
         _total(where).alias("sent_total"),
