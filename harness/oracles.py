@@ -451,6 +451,21 @@ tx AS (
 SELECT {columns(SILVER_COLUMNS)}, batch_id, source_system FROM tx"""
 
 
+STREAMED = f"""WITH {USABLE},
+filed AS (
+  SELECT *, 'f1' AS batch_id FROM usable WHERE geography = 'Local'
+  UNION ALL SELECT *, 'f2' FROM usable WHERE origin LIKE 'S%'
+  UNION ALL SELECT *, 'f3' FROM usable WHERE channel LIKE 'Plata%' OR channel LIKE '%Crypto%'
+  UNION ALL SELECT *, 'f4' FROM usable WHERE geography <> 'Local' AND origin LIKE 'C%'
+),
+tx AS (
+  SELECT *, cast(cast(tx_ts AS date) AS varchar) AS tx_date, strftime(tx_ts, '%H:%M:%S') AS tx_time
+  FROM (SELECT *, row_number() OVER (PARTITION BY tx_id ORDER BY batch_id DESC, {SURVIVOR}) AS place FROM filed)
+  WHERE place = 1
+)
+SELECT {columns(SILVER_COLUMNS)}, batch_id, 'core' AS source_system FROM tx"""
+
+
 def pass_through(found: str) -> str:
     return f"""WITH {SILVER},
 inbound AS (
@@ -629,6 +644,6 @@ SELECT *, {", ".join(
     "single_exit": single_exit("amount_usd"),
     "single_exit_balanced": single_exit("(round_even(amount_usd, 0)::BIGINT % 3 + 999) / 10.0::double")
     + " AND abs(out_total - in_total) <= 0.01::double * in_total",
-    "stream_upsert": f"WITH {SILVER} {SILVER_ROWS}",
+    "stream_upsert": STREAMED,
     "stream_bursts": STREAM_BURSTS,
 }

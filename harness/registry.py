@@ -151,6 +151,8 @@ def sample_rows(spark, sf):
     return as_text(publish(layers.sample_rows(tx, ["tx_id"])))
 
 
+# Each holds some keys that an earlier one has too; written in this order.
+FILES = {"f1": "geography = 'Local'", "f2": "origin LIKE 'S%'", "f3": "channel LIKE 'Plata%' OR channel LIKE '%Crypto%'", "f4": "geography <> 'Local' AND origin LIKE 'C%'"}
 BATCHES = {"b1": "origin LIKE 'C%'", "b2": "origin LIKE 'S%'"}
 
 
@@ -502,14 +504,16 @@ def single_exit_balanced(spark, sf):
 
 @query
 def stream_upsert(spark, sf):
-    bronze_path = fresh_path(spark, "bronze-files")
-    # Copies of a key share a file, so they meet in one micro-batch.
-    mapped.bronze_transactions(spark, sf).repartition(4, "tx_id").write.parquet(bronze_path)
+    """Copies of a key lie in several published files, of which two at a time are loaded."""
+    bronze_path, bronze = fresh_path(spark, "bronze-files"), mapped.bronze_transactions(spark, sf)
+    for name, rows in FILES.items():
+        stamped = with_lineage(bronze.filter(rows), name, "core")
+        publish(stamped).coalesce(1).write.parquet(f"{bronze_path}/{name}")
     table = new_table(spark, "streamed")
     stream_silver(
-        spark, bronze_path, table, fresh_path(spark, "progress"), files_per_batch=2
+        spark, f"{bronze_path}/*", table, fresh_path(spark, "progress"), files_per_batch=2
     ).awaitTermination()
-    return as_text(publish(table.read().select(*SILVER_COLUMNS)))
+    return as_text(publish(table.read().select(*SILVER_COLUMNS, "batch_id", "source_system")))
 
 
 @query

@@ -2,12 +2,13 @@ from datetime import datetime, timedelta
 
 import pytest
 from builders import bronze
+from pyspark.errors import StreamingQueryException
 
 from vigiltx.operators.clean import clean_transactions
-from vigiltx.schema import SILVER_COLUMNS
-from vigiltx.sources.tables import PartitionedTable, VersionedTable
+from vigiltx.schema import SILVER_COLUMNS, publish
+from vigiltx.sources.tables import PartitionedTable, VersionedTable, append_batch, with_lineage
 from vigiltx.streaming.bursts import burst_windows
-from vigiltx.streaming.upsert import stream_silver
+from vigiltx.streaming.upsert import load_new_batches, stream_silver
 
 
 @pytest.mark.parametrize(
@@ -30,6 +31,47 @@ def test_streamed_silver_equals_batch(spark, tmp_path, make):
     assert set(table.read().select(columns).collect()) == set(by_batch.read().collect())
 
 
+@pytest.mark.parametrize("make", [VersionedTable, lambda spark, path: PartitionedTable(spark, path, "tx_date")])
+def test_the_newest_file_wins_in_any_micro_batch(spark, tmp_path, make):
+    source = tmp_path / "bronze"
+    files = [
+        [{"tx_id": "t0", "amount_usd": 1.0}, {"tx_id": "t1", "amount_usd": 1.0}, {"tx_id": "t2", "amount_usd": 1.0}],
+        [{"tx_id": "t0", "amount_usd": 2.0, "time_text": "2026-08-01 00:00:00"}, {"tx_id": "t3", "amount_usd": 2.0}],
+        [{"tx_id": "t0", "amount_usd": 3.0, "time_text": "2026-10-01 00:00:00"}, {"tx_id": "t2", "amount_usd": 3.0}],
+    ]
+    for i, rows in enumerate(files):
+        names = publish if i != 1 else lambda df: df  # published and own names together
+        names(with_lineage(bronze(spark, rows), f"00{i}", "core")).coalesce(1).write.parquet(str(source / str(9 - i)))
+    found = []
+    for size in (1, 2, 8):
+        table = make(spark, str(tmp_path / f"silver-{size}"))
+        stream_silver(spark, str(source / "*"), table, str(tmp_path / f"progress-{size}"), size).awaitTermination()
+        found.append({(r.tx_id, r.amount_usd, r.batch_id, r.source_system) for r in table.read().collect()})
+    assert found[0] == found[1] == found[2]
+    assert found[0] == {("t0", 3.0, "002", "core"), ("t1", 1.0, "000", "core"), ("t2", 3.0, "002", "core"), ("t3", 2.0, "001", "core")}
+    # An older file that is loaded again changes nothing.
+    stream_silver(spark, str(source / "9"), table, str(tmp_path / "again"), 8).awaitTermination()
+    assert {(r.tx_id, r.amount_usd, r.batch_id, r.source_system) for r in table.read().collect()} == found[0]
+
+
+def test_a_file_without_key_column_stops_the_stream(spark, tmp_path):
+    bronze(spark, [{}]).drop("tx_id").coalesce(1).write.parquet(str(tmp_path / "bronze" / "1"))
+    table = VersionedTable(spark, str(tmp_path / "silver"))
+    with pytest.raises(StreamingQueryException, match="PK_Transaccion"):
+        stream_silver(spark, str(tmp_path / "bronze" / "*"), table, str(tmp_path / "progress")).awaitTermination()
+    assert not table.exists()
+
+
+def test_published_batches_load(spark, tmp_path):
+    path, table = str(tmp_path / "bronze"), VersionedTable(spark, str(tmp_path / "silver"))
+    append_batch(publish(bronze(spark, [{"tx_id": "a"}, {"tx_id": "b"}])), path, "1", "core")
+    load_new_batches(spark, path, table)
+    assert {r.tx_id for r in table.read().collect()} == {"a", "b"}
+    append_batch(bronze(spark, [{}]).drop("tx_id"), str(tmp_path / "keyless"), "1", "core")
+    with pytest.raises(ValueError, match="PK_Transaccion"):
+        load_new_batches(spark, str(tmp_path / "keyless"), VersionedTable(spark, str(tmp_path / "other")))
+
+
 def test_bursts_close_at_the_watermark_and_late_rows_drop(spark, tmp_path):
     noon = datetime(2026, 9, 1, 12)
     schema = "id string, ts timestamp_ntz, value double"

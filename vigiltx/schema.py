@@ -134,5 +134,13 @@ def adopt(df: DataFrame) -> DataFrame:
     return own
 
 
+def adopt_bronze(df: DataFrame, key: str = "tx_id") -> DataFrame:
+    """``adopt`` for raw tables; one without its key column is an error, not an empty load."""
+    own = adopt(df)
+    if key not in own.columns:
+        raise ValueError(f"no column {PUBLISHED[key]} or {key} among {', '.join(df.columns)}")
+    return own
+
+
 def event_time(date: Column, time: Column) -> Column:
     return F.try_to_timestamp(F.concat_ws(" ", date, time), F.lit("yyyy-MM-dd HH:mm:ss"))

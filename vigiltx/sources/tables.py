@@ -65,19 +65,24 @@ class VersionedTable:
     def upsert(
         self, source: DataFrame, key: str, mark: str | None = None,
         batches: dict[str, str] | None = None, replaced: DataFrame | None = None,
+        newest_by: str | None = None,
     ) -> None:
         """Update rows whose key matches, insert the others, keep unmatched target rows.
 
-        Rows whose key is in ``replaced`` go, whether the source has the key or not. Columns new to either side are filled with NULL. The source is written first:
-        it feeds the key check, the anti-join and the union, and is computed once.
+        Rows whose key is in ``replaced`` go, whether the source has the key or not. Columns
+        new to either side are filled with NULL. The source is written first: it feeds the
+        key check, the anti-join and the union, and is computed once. With ``newest_by`` a
+        row of the table that is newer by that column than the source's stays.
         """
         base = self._live()
         written = self._write(source)
         batch = self.spark.read.parquet(written)
         reject_repeated_keys(batch, key)
         if "mark" in base:
+            target = self._read(base)
+            batch = _not_older(batch, target, key, newest_by)
             keys = _keys(batch, key, replaced)
-            kept = self._read(base).join(keys, key, "left_anti")
+            kept = target.join(keys, key, "left_anti")
             written = self._write(kept.unionByName(batch, allowMissingColumns=True))
         self._switch(base, {"data": written}, mark, batches)
 
@@ -162,6 +167,7 @@ class PartitionedTable(VersionedTable):
     def upsert(
         self, source: DataFrame, key: str, mark: str | None = None,
         batches: dict[str, str] | None = None, replaced: DataFrame | None = None,
+        newest_by: str | None = None,
     ) -> None:
         """As ``VersionedTable.upsert``. Touched are the partitions the source writes to
         and those that hold one of its keys now; the latter are found by reading nothing
@@ -171,7 +177,9 @@ class PartitionedTable(VersionedTable):
         reject_repeated_keys(batch, key)
         if "mark" not in base:
             return self._switch(base, self._write_parts(batch), mark, batches)
-        target, keys = self._read(base), _keys(batch, key, replaced)
+        target = self._read(base)
+        batch = _not_older(batch, target, key, newest_by)
+        keys = _keys(batch, key, replaced)
         touched = self._values(batch) | self._values(target.join(keys, key, "left_semi"))
         in_touched = F.col(self.column).isin([v for v in touched if v is not None]) | (
             F.col(self.column).isNull() & F.lit(None in touched)
@@ -217,6 +225,23 @@ def hadoop_path(spark: SparkSession, name: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _not_older(
+    batch: DataFrame, target: DataFrame, key: str, newest_by: str | None
+) -> DataFrame:
+    """The rows of ``batch`` but those whose key the table has with a newer row."""
+    if newest_by is None or newest_by not in target.columns:
+        return batch
+    own = batch.select(F.col(key).alias("_key"), F.col(newest_by).alias("_own"))
+    newer = (
+        target.select(F.col(key).alias("_key"), F.col(newest_by).alias("_there"))
+        .join(own, "_key")
+        .filter(F.col("_there") > F.col("_own"))
+        .select("_key")
+    )
+    newer = materialize(newer, "newer")
+    return batch.join(newer, batch[key] == newer["_key"], "left_anti")
+
+
 def _keys(batch: DataFrame, key: str, replaced: DataFrame | None) -> DataFrame:
     keys = batch.select(key)
     return keys if replaced is None else keys.union(replaced.select(key))

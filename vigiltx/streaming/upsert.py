@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vigiltx.operators.clean import clean_transactions
-from vigiltx.schema import BRONZE_TRANSACTIONS
+from vigiltx.schema import BRONZE_TRANSACTIONS, PUBLISHED, adopt_bronze
 from vigiltx.sources.shared import materialize
 from vigiltx.sources.tables import VersionedTable, batch_states, read_batches
 
+# Which file a silver row came from, in the order files were written: time, then path.
+LOADED_FROM = "loaded_from"
+
 
 def stream_silver(
     spark: SparkSession, bronze_path: str, silver: VersionedTable,
@@ -18,17 +23,28 @@ def stream_silver(
 ) -> StreamingQuery:
     """Clean and upsert every bronze file not seen before, then stop.
 
-    A micro-batch that is run again after a failure upserts the same keys. Use a table
+    Files may have published or own column names, also mixed; one that has neither name of
+    the key stops the stream with an error. Other columns of the files found at the start,
+    such as lineage, are kept. Of a key's rows the one of the newest file wins, whatever
+    files share a micro-batch: silver keeps the file of each row in ``loaded_from``. A
+    micro-batch that is run again after a failure upserts the same rows. Use a table
     partitioned by ``tx_date`` where rewriting all of silver per batch is too much.
     """
+    schema = _stream_schema(spark, bronze_path)
 
     def load(batch: DataFrame, _: int) -> None:
-        silver.upsert(clean_transactions(batch), "tx_id")
+        rows = _own_names(batch)
+        _reject_files_without_key(spark, rows)
+        cleaned = clean_transactions(rows.drop("_file"), newest_by=LOADED_FROM)
+        silver.upsert(cleaned, "tx_id", newest_by=LOADED_FROM)
 
+    at = F.date_format("_metadata.file_modification_time", "yyyyMMddHHmmss.SSSSSS")
+    path = F.col("_metadata.file_path")
     return (
-        spark.readStream.schema(BRONZE_TRANSACTIONS)
+        spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(bronze_path)
+        .select("*", F.concat_ws(" ", at, path).alias(LOADED_FROM), path.alias("_file"))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -36,13 +52,40 @@ def stream_silver(
     )
 
 
+def _stream_schema(spark: SparkSession, bronze_path: str) -> T.StructType:
+    """Every bronze column under both its names, and what else the present files have."""
+    own = BRONZE_TRANSACTIONS.fields
+    fields = [*own, *(T.StructField(PUBLISHED[f.name], f.dataType) for f in own)]
+    known = {f.name for f in fields}
+    try:
+        found = spark.read.parquet(bronze_path).schema.fields
+    except AnalysisException:  # nothing there yet
+        found = []
+    # Ids of batches stay the text they are.
+    extra = [T.StructField(f.name, T.StringType()) if f.name == "batch_id" else f for f in found]
+    return T.StructType([*fields, *(f for f in extra if f.name not in known)])
+
+
+def _own_names(batch: DataFrame) -> DataFrame:
+    names = BRONZE_TRANSACTIONS.fieldNames()
+    both = {name: F.coalesce(name, PUBLISHED[name]) for name in names}
+    return batch.withColumns(both).drop(*(PUBLISHED[name] for name in names))
+
+
+def _reject_files_without_key(spark: SparkSession, rows: DataFrame) -> None:
+    """Looks at the footers of those files alone that gave no key at all."""
+    keyless = rows.groupBy("_file").agg(F.count("tx_id").alias("keys")).filter("keys = 0")
+    for row in keyless.toLocalIterator():
+        adopt_bronze(spark.read.parquet(row["_file"]))
+
+
 def load_new_batches(spark: SparkSession, bronze_path: str, silver: VersionedTable) -> None:
     """Bring the table to what a load of all bronze batches gives, from those that are new or changed.
 
     The table keeps the state of each batch. Batches later than all loaded ones are
     upserted. If one comes late, was run again or is gone, the keys it holds and those
     whose row is from its earlier run are taken from all batches anew, the newest
-    batch's row first.
+    batch's row first. Batches may have published or own column names, all of them the same.
     """
     found, loaded, exists = batch_states(spark, bronze_path), silver.batches(), silver.exists()
     if exists and not loaded and silver.mark() is not None:
@@ -52,7 +95,8 @@ def load_new_batches(spark: SparkSession, bronze_path: str, silver: VersionedTab
     if not found or not new | again:
         return
     # What is listed after this is left to the next load.
-    every = read_batches(spark, bronze_path).filter(F.col("batch_id").isin(sorted(found)))
+    every = adopt_bronze(read_batches(spark, bronze_path))
+    every = every.filter(F.col("batch_id").isin(sorted(found)))
     fresh, mark = every.filter(F.col("batch_id").isin(sorted(new))), max(found)
     if not again and (not loaded or min(new) > max(loaded)):
         rows = clean_transactions(fresh, newest_by="batch_id")
