@@ -21,7 +21,7 @@ from vigiltx.config import MonitorConfig
 from vigiltx.operators import alerts, anomaly, detectors, features
 from vigiltx.operators.clean import clean_transactions
 from vigiltx.plans import dashboard, flows, layers, report
-from vigiltx.schema import adopt
+from vigiltx.schema import adopt, publish
 from vigiltx.sources.tables import PartitionedTable, VersionedTable
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -60,7 +60,10 @@ def stages(spark: SparkSession, sf: str) -> dict[str, Callable[[], object]]:
     by_year = PartitionedTable(spark, f"{folder}/by-year", "year")
 
     def tx() -> DataFrame:
-        return silver.read()
+        return adopt(silver.read())
+
+    def clients() -> DataFrame:
+        return adopt(customers.read())
 
     def gold() -> DataFrame:
         return adopt(profiles.read())
@@ -81,17 +84,17 @@ def stages(spark: SparkSession, sf: str) -> dict[str, Callable[[], object]]:
         "near_duplicates": lambda: run(detectors.near_duplicates(bronze.read())),
         "silver_first_load": lambda: layers.refresh_silver(bronze.read(), people.read(), silver, customers),
         "silver_upsert": lambda: silver.upsert(
-            clean_transactions(bronze.read().filter("currency = 'EUR'")), "tx_id"
+            publish(clean_transactions(bronze.read().filter("currency = 'EUR'")).drop("tx_ts")), "PK_Transaccion"
         ),
         "partitioned_load": lambda: by_year.upsert(with_year(tx()), "tx_id"),
         "partitioned_upsert": lambda: by_year.upsert(
             with_year(tx().filter("tx_date >= '1998-01-01'")), "tx_id"
         ),
-        "features_customer": lambda: run(features.customer_features(customers.read(), tx())),
-        "rule_profiles": lambda: run(layers.rule_profiles(customers.read(), tx(), cfg)),
+        "features_customer": lambda: run(features.customer_features(clients(), tx())),
+        "rule_profiles": lambda: run(layers.rule_profiles(clients(), tx(), cfg)),
         "gold": lambda: layers.refresh_gold(silver, customers, profiles, alert_table, cfg),
         "iforest_fit": lambda: anomaly.fit(anomaly.model_vector(gold())),
-        "alerts": lambda: run(alerts.alerts(tx(), gold(), customers.read(), 35.0)),
+        "alerts": lambda: run(alerts.alerts(tx(), gold(), clients(), 35.0)),
         "report_lines": lambda: run(report.report_lines(tx(), gold())),
         "dash_trend": lambda: run(dashboard.trend(dash())),
         "dash_by_rule": lambda: run(dashboard.amount_by_rule(dash())),

@@ -565,6 +565,12 @@ WHERE risk_score >= {ALERT_FROM}""",
     "top_subjects": f"WITH {PROFILES} {TOP_ALL}",
     "report_lines": REPORT_LINES,
     "dash_alerts": f"WITH {DASHBOARD} SELECT * FROM dash ORDER BY Fecha DESC, Alert_ID",
+    "dashboard_sql": f"""WITH {SILVER}
+SELECT tx_date AS Fecha, amount_usd AS Monto_USD, tx_id AS Alert_ID, origin AS Cliente_ID,
+  CASE WHEN amount_usd > 1900 THEN 'KYC Deviation' WHEN amount_usd > 1800 THEN 'Structuring (Pitufeo)'
+    WHEN amount_usd > 1600 THEN 'Crypto Mixer' WHEN amount_usd > 1200 THEN 'Fan-In Platform' ELSE 'Other Rule' END AS Rule_Triggered,
+  CASE WHEN amount_usd > 1800 THEN 'ALTO RIESGO - ALERTA ROJA' ELSE 'MEDIO RIESGO - MONITOREO' END AS Nivel_Riesgo
+FROM tx WHERE tx_date >= '1998-01-01' AND amount_usd > 1000""",
     "dash_date_range": f"""WITH {DASHBOARD}
 SELECT Fecha, count(*) FILTER (WHERE Fecha BETWEEN '1998-03-01' AND '1998-06-30') AS in_range
 FROM dash GROUP BY Fecha""",

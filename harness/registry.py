@@ -35,6 +35,10 @@ RULE_ONLY = MonitorConfig(rules=RULES, scores=ScoreConfig(ml_share=0.0, rule_sha
 WITH_MODEL = MonitorConfig(rules=RULES)
 ALERT_FROM = 35.0
 DASHBOARD = DashboardConfig(since="1998-01-01")
+SMALL_AMOUNTS = DashboardConfig(
+    since="1998-01-01", above=1000.0, red_above=1800.0,
+    rule_bands=tuple((above / 5, label) for above, label in DashboardConfig().rule_bands),
+)
 WEEK = 7 * 86_400
 NEAR_LIMIT, NEAR_LIMIT_BY = 4000.0, 1500.0
 
@@ -393,6 +397,16 @@ def dash_levels(spark, sf):
     return dashboard.customers_by_level(dashboard_rows(spark, sf))
 
 
+@query
+def dashboard_sql(spark, sf):
+    """SQL over the published names, on a view of the silver table as the layers write it."""
+    silver, customers = new_table(spark, "silver"), new_table(spark, "silver-customers")
+    bronze, people = mapped.bronze_transactions(spark, sf), mapped.bronze_customers(spark, sf)
+    layers.refresh_silver(publish(bronze), publish(people), silver, customers)
+    silver.as_view("silver_transactions_live")
+    return as_text(spark.sql(dashboard.alert_sql("silver_transactions_live", SMALL_AMOUNTS)))
+
+
 # Flows
 
 

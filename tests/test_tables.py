@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from vigiltx.config import ModelConfig, MonitorConfig
 from vigiltx.plans.layers import refresh_gold, refresh_silver
-from vigiltx.schema import ALERT_COLUMNS, PROFILE_COLUMNS, PUBLISHED
+from vigiltx.schema import ALERT_COLUMNS, CUSTOMERS, PROFILE_COLUMNS, PUBLISHED, SILVER_COLUMNS, publish
 from vigiltx.sources.shared import shared_folder
 from vigiltx.sources.tables import (
     ConcurrentWriteError, PartitionedTable, RepeatedKeyError, VersionedTable, append_batch,
@@ -258,7 +258,17 @@ def test_layers_end_to_end(spark, tmp_path):
     people = customers(spark, [(f"c{i}", 2000.0) for i in range(20)])
     refresh_silver(raw, people, at("tx"), at("people"))
     refresh_silver(raw, people, at("tx"), at("people"))
-    assert at("tx").read().count() == 203
+    silver = at("tx").read()
+    assert silver.count() == 203 and silver.columns == [PUBLISHED[c] for c in SILVER_COLUMNS]
+    assert at("people").read().columns == [PUBLISHED[c] for c in CUSTOMERS.fieldNames()]
+    at("tx").as_view("transacciones")
+    sums = "SELECT count(*) AS n, max(Monto_USD) AS top FROM transacciones WHERE Fecha_Transaccion >= DATE '2026-08-01'"
+    assert tuple(spark.sql(sums).first()) == (203, 2900.0)
+    again = [VersionedTable(spark, str(tmp_path / f"published-{n}")) for n in ("tx", "people")]
+    refresh_silver(publish(raw), publish(people), *again)
+    assert sorted(again[0].read().collect()) == sorted(silver.collect())
+    with pytest.raises(ValueError, match="PK_Cliente"):
+        refresh_silver(raw, people.drop("customer_id"), *again)
     cfg = MonitorConfig(model=ModelConfig(trees=20))
     refresh_gold(at("tx"), at("people"), at("profiles"), at("alerts"), cfg)
     profiles, found = at("profiles").read(), at("alerts").read()

@@ -28,6 +28,18 @@ def alert_rows(tx: DataFrame, cfg: DashboardConfig = DashboardConfig()) -> DataF
     )
 
 
+def alert_sql(view: str, cfg: DashboardConfig = DashboardConfig()) -> str:
+    """``alert_rows``, newest first, as SQL over a view of the published silver table."""
+    bands = " ".join(f"WHEN Monto_USD > {above} THEN '{label}'" for above, label in cfg.rule_bands)
+    return (
+        f"SELECT Fecha_Transaccion AS Fecha, CASE {bands} ELSE '{cfg.other_rule}' END AS Rule_Triggered, "
+        "Monto_USD, PK_Transaccion AS Alert_ID, FK_Cliente_Origen AS Cliente_ID, "
+        f"CASE WHEN Monto_USD > {cfg.red_above} THEN '{cfg.red_label}' ELSE '{cfg.watch_label}' END AS Nivel_Riesgo "
+        f"FROM {view} WHERE Fecha_Transaccion >= DATE '{cfg.since}' AND Monto_USD > {cfg.above} "
+        "ORDER BY Fecha DESC, Alert_ID"
+    )
+
+
 def newest_first(rows: DataFrame) -> DataFrame:
     """For the sink. The id breaks ties, so one busy day still spreads over the sort."""
     return rows.orderBy(F.desc("Fecha"), "Alert_ID")

@@ -11,7 +11,7 @@ from vigiltx.operators.anomaly import add_raw_score, fit, model_vector, scale_sc
 from vigiltx.operators.clean import clean_customers, clean_transactions
 from vigiltx.operators.features import customer_features
 from vigiltx.operators.rules import add_flags, add_scores
-from vigiltx.schema import CUSTOMERS, PROFILE_COLUMNS, adopt, publish
+from vigiltx.schema import CUSTOMERS, PROFILE_COLUMNS, PUBLISHED, adopt, adopt_bronze, publish
 from vigiltx.sources.shared import materialize
 from vigiltx.sources.tables import VersionedTable
 
@@ -51,9 +51,15 @@ def refresh_silver(
     silver_tx: VersionedTable,
     silver_customers: VersionedTable,
 ) -> None:
-    """Clean both bronze tables and upsert them into silver."""
-    silver_tx.upsert(clean_transactions(bronze_tx), "tx_id")
-    silver_customers.upsert(clean_customers(bronze_customers), "customer_id")
+    """Clean both bronze tables and upsert them into silver, under the published column names.
+
+    Bronze may have published or own names. ``adopt`` gives silver its own names back, and
+    the parsed event time, which is not published.
+    """
+    tx = clean_transactions(adopt_bronze(bronze_tx)).drop("tx_ts")
+    customers = clean_customers(adopt_bronze(bronze_customers, "customer_id"))
+    silver_tx.upsert(publish(tx), PUBLISHED["tx_id"])
+    silver_customers.upsert(publish(customers), PUBLISHED["customer_id"])
 
 
 def refresh_gold(
@@ -64,7 +70,7 @@ def refresh_gold(
     cfg: MonitorConfig = MonitorConfig(),
 ) -> None:
     """Recompute gold under its published column names. Alerts read the written profiles."""
-    tx, customers = silver_tx.read(), silver_customers.read()
+    tx, customers = adopt(silver_tx.read()), adopt(silver_customers.read())
     profiles.overwrite(publish(risk_profiles(customers, tx, cfg)))
     found = alerts(tx, adopt(profiles.read()), customers, cfg.scores.medium_from)
     alert_table.overwrite(publish(found))
