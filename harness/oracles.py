@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harness.registry import ALERT_FROM, NEAR_LIMIT, NEAR_LIMIT_BY, WEEK
+from harness.registry import ALERT_FROM, NEAR_LIMIT, NEAR_LIMIT_BY, QUARTER_DAY, WEEK
 from vigiltx.plans.report import (
     CRYPTO_LINE, CRYPTO_NOTE, CRYPTO_SUBJECT, FAN_IN_LINE, FAN_IN_NOTE, FAN_IN_SUBJECT, HEADLINE,
     STRUCTURING_LINE, STRUCTURING_NOTE, STRUCTURING_SUBJECT,
@@ -409,20 +409,22 @@ SELECT concat(origin, '@', cast(epoch(min(tx_ts)) AS bigint)) AS session_id, ori
   count(*) AS events, {money()} AS amount
 FROM numbered GROUP BY origin, session HAVING count(*) >= 2"""
 
-STREAM_BURSTS = """WITH
+STREAM_BURSTS = f"""WITH
+seconds AS (SELECT *, epoch(date_trunc('second', ts))::BIGINT AS second FROM events),
 marked AS (
-  SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS starts
-  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+  SELECT *, CASE WHEN second - lag(second) OVER w <= {QUARTER_DAY} THEN 0 ELSE 1 END AS starts
+  FROM seconds WINDOW w AS (PARTITION BY user_id ORDER BY second)
 ),
 numbered AS (
-  SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS session
+  SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY second RANGE UNBOUNDED PRECEDING) AS session
   FROM marked
 )
-SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS started_at,
-  strftime(max(ts) + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S') AS closes_at,
-  count(*) AS events, """ + six("sum(value)") + """ AS amount
+SELECT concat(user_id, '@', min(second)) AS session_id, user_id AS customer_id,
+  strftime(to_timestamp(min(second)) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS started_at,
+  strftime(to_timestamp(max(second)) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS ended_at,
+  max(second) - min(second) AS span_seconds, count(*) AS events, {money("value")} AS amount
 FROM numbered GROUP BY user_id, session
-HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""
+HAVING max(second) + {QUARTER_DAY} + 1 <= (SELECT max(second) - 3600 FROM seconds)"""
 
 INCREMENTAL = f"""WITH {USABLE},
 batched AS (

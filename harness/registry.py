@@ -25,7 +25,7 @@ from vigiltx.sources.shared import fresh_path, materialize
 from vigiltx.sources.tables import (
     PartitionedTable, VersionedTable, append_batch, read_batches, with_lineage, write_partitioned,
 )
-from vigiltx.streaming.bursts import MERGE_BEFORE_SHUFFLE, burst_windows
+from vigiltx.streaming.bursts import burst_stream
 from vigiltx.streaming.upsert import load_new_batches, stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,7 +39,7 @@ SMALL_AMOUNTS = DashboardConfig(
     since="1998-01-01", above=1000.0, red_above=1800.0,
     rule_bands=tuple((above / 5, label) for above, label in DashboardConfig().rule_bands),
 )
-WEEK = 7 * 86_400
+WEEK, QUARTER_DAY = 7 * 86_400, 21_600
 NEAR_LIMIT, NEAR_LIMIT_BY = 4000.0, 1500.0
 
 QUERIES: dict[str, Query] = {}
@@ -534,9 +534,8 @@ def stream_upsert(spark, sf):
 def stream_bursts(spark, sf):
     schema = mapped.table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    spark.conf.set(MERGE_BEFORE_SHUFFLE, "true")
     out, progress = fresh_path(spark, "bursts"), fresh_path(spark, "progress")
-    closed = burst_windows(events, "user_id", "ts", "value", "6 hours", "1 hour")
+    closed = burst_stream(events, "user_id", "ts", "value", QUARTER_DAY, "1 hour")
     (
         closed.writeStream.format("parquet")
         .option("path", out)
@@ -545,5 +544,4 @@ def stream_bursts(spark, sf):
         .start()
         .awaitTermination()
     )
-    bursts = spark.read.schema(closed.schema).parquet(out)
-    return rounded(as_text(bursts), "amount")
+    return as_text(spark.read.schema(closed.schema).parquet(out))

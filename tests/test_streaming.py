@@ -1,13 +1,16 @@
+import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
-from builders import bronze
+from builders import NOON, bronze, silver
 from pyspark.errors import StreamingQueryException
 
 from vigiltx.operators.clean import clean_transactions
+from vigiltx.operators.detectors import burst_sessions
 from vigiltx.schema import SILVER_COLUMNS, publish
 from vigiltx.sources.tables import PartitionedTable, VersionedTable, append_batch, with_lineage
-from vigiltx.streaming.bursts import burst_windows
+from vigiltx.streaming.bursts import burst_stream
 from vigiltx.streaming.upsert import load_new_batches, stream_silver
 
 
@@ -82,15 +85,38 @@ def test_bursts_close_at_the_watermark_and_late_rows_drop(spark, tmp_path):
 
     def run():
         events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
-        bursts = burst_windows(events, "id", "ts", "value", "10 minutes", "30 minutes")
+        bursts = burst_stream(events, "id", "ts", "value", 600, "30 minutes")
         (
             bursts.writeStream.format("parquet").option("path", str(tmp_path / "out"))
             .option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start().awaitTermination()
         )
-        return {(r.id, (r.started_at - noon) // timedelta(minutes=1), r.events, r.amount)
+        return {(r.customer_id, (r.started_at - noon) // timedelta(minutes=1), r.events, r.amount)
                 for r in spark.read.schema(bursts.schema).parquet(str(tmp_path / "out")).collect()}
 
     put("1", [("a", 0, 1.0), ("a", 9, 2.0), ("a", 25, 4.0), ("b", 120, 1.0)])
     assert run() == {("a", 0, 2, 3.0), ("a", 25, 1, 4.0)}
     put("2", [("a", 5, 100.0), ("b", 125, 1.0), ("c", 300, 1.0)])  # the first is late
     assert run() == {("a", 0, 2, 3.0), ("a", 25, 1, 4.0), ("b", 120, 2, 2.0)}
+
+
+def test_streamed_bursts_equal_the_batch_detector(spark, tmp_path):
+    draw = random.Random(2)
+    rows = [(f"c{draw.randint(0, 3)}", "x", "c", draw.choice([0.1, 5e16, 123.45]), draw.randint(0, 9000)) for _ in range(400)]
+    rows += [("hot", "x", "c", 0.01, i % 70) for i in range(3000)]
+    rows += [("edge", "x", "c", 1.0, t) for t in (0, 59, 118, 178)] + [(None, "x", "c", 1.0, 5), ("odd", "x", "c", math.inf, 5)]
+    tx = silver(spark, rows)
+    for part in range(4):
+        tx.filter(f"pmod(hash(tx_id), 4) = {part}").write.parquet(str(tmp_path / "in" / str(part)))
+    # Everything is closed by a payment much later.
+    silver(spark, [("late", "x", "c", 1.0, 500_000)]).write.parquet(str(tmp_path / "in" / "9"))
+    events = spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 3).parquet(str(tmp_path / "in" / "*"))
+    bursts = burst_stream(events, "origin", "tx_ts", "amount_usd", 59, "1 day")
+    (
+        bursts.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start().awaitTermination()
+    )
+    got = spark.read.schema(bursts.schema).parquet(str(tmp_path / "out")).collect()
+    want = {tuple(r) for r in burst_sessions(tx).collect()}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert {(r.started_at, r.events) for r in got if r.customer_id == "edge"} == {(NOON, 3), (NOON + timedelta(seconds=178), 1)}
+    assert [r.events for r in got if r.customer_id == "hot"] == [3000]
