@@ -1,10 +1,12 @@
 import math
+import os
 import random
 from datetime import datetime, timedelta
 
 import pytest
 from builders import NOON, bronze, silver
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from vigiltx.operators.clean import clean_transactions
 from vigiltx.operators.detectors import burst_sessions
@@ -120,3 +122,16 @@ def test_streamed_bursts_equal_the_batch_detector(spark, tmp_path):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
     assert {(r.started_at, r.events) for r in got if r.customer_id == "edge"} == {(NOON, 3), (NOON + timedelta(seconds=178), 1)}
     assert [r.events for r in got if r.customer_id == "hot"] == [3000]
+
+
+def test_older_batches_are_not_opened(spark, tmp_path):
+    path, table = str(tmp_path / "bronze"), VersionedTable(spark, str(tmp_path / "silver"))
+    append_batch(bronze(spark, [{"tx_id": "a"}]).withColumn("branch", F.lit("x")).coalesce(1), path, "1", "core")
+    load_new_batches(spark, path, table)
+    for file in (tmp_path / "bronze" / "batch_id=1").glob("*.parquet"):
+        at = file.stat()
+        file.write_bytes(b"?" * at.st_size)  # as large and as old, so the batch counts as loaded
+        os.utime(file, ns=(at.st_atime_ns, at.st_mtime_ns))
+    append_batch(bronze(spark, [{"tx_id": "b"}]).withColumn("desk", F.lit(7)), path, "2", "core")
+    load_new_batches(spark, path, table)
+    assert {(r.tx_id, r.branch, r.desk) for r in table.read().collect()} == {("a", "x", None), ("b", None, 7)}

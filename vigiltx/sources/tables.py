@@ -274,7 +274,11 @@ def append_batch(df: DataFrame, path: str, batch_id: str, source_system: str) ->
     and nothing else, also when the batch has no rows any more.
     """
     stamped = with_lineage(df, batch_id, source_system).drop("batch_id")
-    stamped.write.mode("overwrite").parquet(f"{path}/batch_id={_escaped(batch_id)}")
+    stamped.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+
+
+def batch_folder(path: str, batch_id: str) -> str:
+    return f"{path}/batch_id={_escaped(batch_id)}"
 
 
 def _escaped(value: str) -> str:

@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vigiltx.operators.clean import clean_transactions
-from vigiltx.schema import BRONZE_TRANSACTIONS, PUBLISHED, adopt_bronze
+from vigiltx.schema import BRONZE_TRANSACTIONS, PUBLISHED, SILVER_COLUMNS, adopt_bronze
 from vigiltx.sources.shared import materialize
-from vigiltx.sources.tables import VersionedTable, batch_states, read_batches
+from vigiltx.sources.tables import VersionedTable, batch_folder, batch_states, read_batches
 
 # Which file a silver row came from, in the order files were written: time, then path.
 LOADED_FROM = "loaded_from"
@@ -79,13 +79,36 @@ def _reject_files_without_key(spark: SparkSession, rows: DataFrame) -> None:
         adopt_bronze(spark.read.parquet(row["_file"]))
 
 
+def _batches_schema(
+    spark: SparkSession, bronze_path: str, new: list[str], silver: DataFrame | None
+) -> T.StructType:
+    """Columns of the new batches, those the table has from older ones, and every bronze
+    column under both its names. Opens no file of a batch that is not new."""
+    fields: dict[str, T.StructField] = {}
+    if new:
+        folders = [batch_folder(bronze_path, batch) for batch in new]
+        fresh = spark.read.option("mergeSchema", "true").parquet(*folders)
+        adopt_bronze(fresh)
+        fields = {f.name: f for f in fresh.schema.fields}
+    for own in BRONZE_TRANSACTIONS.fields:
+        names = (own.name, PUBLISHED[own.name])
+        kind = next((fields[n].dataType for n in names if n in fields), own.dataType)
+        for name in names:
+            fields.setdefault(name, T.StructField(name, kind))
+    for f in silver.schema.fields if silver is not None else []:
+        if f.name not in (*SILVER_COLUMNS, "tx_ts", "batch_id"):
+            fields.setdefault(f.name, f)
+    return T.StructType(list(fields.values()))
+
+
 def load_new_batches(spark: SparkSession, bronze_path: str, silver: VersionedTable) -> None:
     """Bring the table to what a load of all bronze batches gives, from those that are new or changed.
 
     The table keeps the state of each batch. Batches later than all loaded ones are
     upserted. If one comes late, was run again or is gone, the keys it holds and those
     whose row is from its earlier run are taken from all batches anew, the newest
-    batch's row first. Batches may have published or own column names, all of them the same.
+    batch's row first. Batches may have published or own column names; new columns are
+    looked for in the new batches alone, those of older ones are known from the table.
     """
     found, loaded, exists = batch_states(spark, bronze_path), silver.batches(), silver.exists()
     if exists and not loaded and silver.mark() is not None:
@@ -95,7 +118,8 @@ def load_new_batches(spark: SparkSession, bronze_path: str, silver: VersionedTab
     if not found or not new | again:
         return
     # What is listed after this is left to the next load.
-    every = adopt_bronze(read_batches(spark, bronze_path))
+    schema = _batches_schema(spark, bronze_path, sorted(new), silver.read() if exists else None)
+    every = _own_names(read_batches(spark, bronze_path, schema=schema))
     every = every.filter(F.col("batch_id").isin(sorted(found)))
     fresh, mark = every.filter(F.col("batch_id").isin(sorted(new))), max(found)
     if not again and (not loaded or min(new) > max(loaded)):
