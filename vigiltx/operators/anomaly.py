@@ -112,11 +112,13 @@ def draw_samples(vectors: DataFrame, cfg: ModelConfig, n: int, spread: float = 1
     near = min(1.0, (size + spread * math.sqrt(size) + 5 * spread) / max(n, 1))
     bound = math.ceil(near * PRIME)
     key = F.col("customer_id").cast("string")
-    hashed = vectors.withColumns({"_first": _word(key, 1), "_second": _word(key, 9)})
+    # Exploded, so that the words are computed once a row and not again for every tree.
+    words = F.array(F.struct(_word(key, 1).alias("first"), _word(key, 9).alias("second")))
+    hashed = vectors.select("*", F.explode(words).alias("_words"))
 
     def draw(of: Column) -> Column:
-        first = of["a"] * F.col("_first") % PRIME
-        return (first + of["b"] * F.col("_second") % PRIME + of["c"]) % PRIME
+        first = of["a"] * F.col("_words.first") % PRIME
+        return (first + of["b"] * F.col("_words.second") % PRIME + of["c"]) % PRIME
 
     trees = F.array(
         *[
