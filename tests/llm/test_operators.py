@@ -346,3 +346,36 @@ def test_dual_descent_separates():
 def test_sha_of_no_spans(spark):
     row = spark.range(1).select(F.sha2(secrets.spelled(F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>")), 256).alias("h")).first()
     assert row.h == hashlib.sha256(b"").hexdigest()
+
+
+def passages(n, seed):
+    """Texts of their own with a shared licence, and a sixth of all in one group of near copies."""
+    draw = random.Random(seed)
+    licence = " ".join(f"licence{k}" for k in range(40))
+    middle = [f"m{draw.randrange(500)}" for _ in range(200)]
+    rows = []
+    for i in range(n):
+        words = list(middle) if i % 6 == 0 else [f"w{draw.randrange(3000)}" for _ in range(60)]
+        if i % 6 == 0:
+            words[draw.randrange(200)] = f"e{i}"
+        rows.append((i, " ".join(words) + (f" {licence}" if i % 3 else ""), "en", "s1"))
+    return rows
+
+
+def test_jaccard_pairs_grow_with_the_rows(spark, monkeypatch):
+    """Sets that share passages, and a large group of near copies, are not compared pair by pair."""
+    made = {}
+    write = jaccard.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        if name in ("asked", "possible"):
+            made[n] = made.get(n, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    for n in (120, 600):
+        rows = passages(n, 1)
+        got = jaccard.similar_groups(spark.createDataFrame(rows, SCHEMA), jaccard.JaccardRule(3, 90)).collect()
+        assert sorted(tuple(r) for r in got) == brute_groups(rows, 3, 90)
+    assert made[600] <= 7 * made[120] and made[600] <= 600

@@ -1,11 +1,12 @@
 """Documents linked by the Jaccard similarity of their word shingles, and the groups that the links make.
 
-An inverted index over the rarest shingles of each set (its prefix) yields candidates. Set relations spare most of the
-work: equal sets are one node; within a list of the index every set first meets only the first set of its size class,
-and where they link, one answer stands for the other; lists whose sets are all connected by then are skipped. What is
-left of a list is cut into blocks by size and position, and whole blocks that cannot meet are skipped. The overlap of
-two sets is then derived from that of the sets they were found to be similar to, by how much each differs from it; only
-pairs that these bounds leave open are counted in full.
+An inverted index over the rarest shingles of each set (its prefix) yields candidates, rarest by exact counts. These are
+counted in bands of the hash range: a set with enough shingles that no other set has can link with nothing and takes no
+part in later bands. Set relations spare most of the rest: equal sets are one node; in rounds, every set first meets only
+one of the sets that lead its lists, and where they link, one answer stands for the other; lists whose sets are all
+connected by then are skipped. What is left of a list is cut into blocks by size and position, and whole blocks that
+cannot meet are skipped. The overlap of two sets is then derived from that of the sets they were found to be similar to,
+by how much each differs from it; only pairs that these bounds leave open are counted in full.
 """
 
 from __future__ import annotations
@@ -23,12 +24,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from vigiltx.llm.common import WORD, components, let_through, parts, shingles, ship, squeezed, without
+from vigiltx.llm.common import CHUNK, WORD, components, let_through, parts, shingles, ship, squeezed, without
 from vigiltx.sources.shared import materialize
 
-#: Counters of the sketch that orders shingles by how common they are; its size does not grow with the corpus.
-COUNTERS = 1 << 18
 BLOCK = 256
+#: Pairs whose sets a task holds at a time.
+PAIRS = 250
 
 
 @dataclass(frozen=True)
@@ -38,9 +39,15 @@ class JaccardRule:
     words: int = 5
     percent: int = 80
 
-    def prefix(self, n: int) -> int:
-        """How many of the rarest shingles of a set of ``n`` hold one of every set it links with."""
-        return n - -(-self.percent * n // 100) + 1
+    def short(self, n: Column, own: Column) -> Column:
+        """Whether ``own`` shingles are fewer than the prefix of a set of ``n`` has."""
+        return own < n - F.ceil(F.lit(self.percent) * n / F.lit(100)) + 1
+
+    def edges(self) -> list[int]:
+        """Where the bands of 64-bit hashes end: half as much again as a prefix takes, more, and all."""
+        first = min(1.0, 1.5 * (100 - self.percent) / 100 + 0.01)
+        shares = [first] + ([2.5 * first] if first < 0.3 else [])
+        return [int(share * 2**64) for share in shares if share < 0.9] + [2**64]
 
     def needed(self, a: Column, b: Column) -> Column:
         """The least overlap of linked sets of these sizes."""
@@ -58,10 +65,6 @@ def _node(own: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _counter(own: np.ndarray) -> np.ndarray:
-    return (own >> WORD(40)).astype(np.int64) % COUNTERS
-
-
 def _counts(own: np.ndarray) -> bytes:
     """How many shingles of a set fall to each value of their low bits; more bits for larger sets."""
     n = 64 if len(own) < 512 else 256 if len(own) < 8192 else 1024
@@ -77,58 +80,63 @@ def _most(one: bytes, two: bytes) -> int:
     return int(np.minimum(a.reshape(-1, n).sum(axis=0), b.reshape(-1, n).sum(axis=0)).sum())
 
 
+def _places(own: np.ndarray, edges: list[int]) -> list[int]:
+    """How many of a sorted set of hashes lie below each edge."""
+    return [int(np.searchsorted(own, WORD(e))) if e < 1 << 64 else len(own) for e in edges]
+
+
 def _scan(docs: DataFrame, kind: str, rule: JaccardRule) -> DataFrame:
-    """A row (id, n, node, counts) for each document, and this task's counts of shingles by counter."""
-    words = rule.words
+    """A row (id, n, node, counts, cuts) for each document; ``cuts``: how many of its shingles lie below each edge."""
+    words, edges = rule.words, rule.edges()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, names = np.zeros(COUNTERS, np.int64), ["id", "n", "node", "counts", "counter", "count"]
-        ids = pa.null()
         for batch in (whole.slice(a, 500) for whole in batches for a in range(0, whole.num_rows, 500)):
             sets = [shingles(text.as_py(), words) for text in batch.column("text")]
-            counts += np.bincount(_counter(np.concatenate(sets)), minlength=COUNTERS)
-            ids, none = batch.column("id").type, pa.nulls(len(sets), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(map(len, sets), pa.int64()), pa.array(map(_node, sets), pa.int64()), pa.array(map(_counts, sets), pa.binary()), none, none], names)
-        used = np.flatnonzero(counts)
-        if len(used):
-            none = pa.nulls(len(used), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), ids), none, none, pa.nulls(len(used), pa.binary()), pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names)
+            cuts = pa.array([_places(own, edges) for own in sets], pa.list_(pa.int64()))
+            columns = [batch.column("id"), pa.array(map(len, sets), pa.int64()), pa.array(map(_node, sets), pa.int64()), pa.array(map(_counts, sets), pa.binary()), cuts]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "node", "counts", "cuts"])
+
+    return materialize(docs.mapInArrow(read, f"id {kind}, n long, node long, counts binary, cuts array<long>"), "scan")
 
-    return materialize(docs.mapInArrow(read, f"id {kind}, n long, node long, counts binary, counter long, count long"), "scan")
 
+def _band(texts: DataFrame, rule: JaccardRule, low: int, high: int) -> DataFrame:
+    """(token, node, n) of the shingles between two edges of the hash range; a task gives equal sets once.
 
-def _postings(texts: DataFrame, order: np.ndarray, rule: JaccardRule) -> DataFrame:
-    """(token, node, n, pos) for the prefix of every set, rarest shingles first; a task gives equal sets once."""
-    shared = texts.sparkSession.sparkContext.broadcast(order)
-    words, prefix = rule.words, rule.prefix
+    ``texts`` has one column, ``text``: texts, or packed ones.
+    """
+    words, packed = rule.words, texts.schema["text"].dataType.simpleString() == "binary"
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, seen = shared.value, set()
-        for batch in parts(batches):
+        seen = set()
+        for batch in parts(batches, limit=CHUNK // 4 if packed else CHUNK):
             seen = seen if len(seen) < 1 << 16 else set()
             tokens, nodes, sizes = [], [], []
             for text in batch["text"]:
-                own = shingles(text, words)
+                own = shingles(zlib.decompress(text) if packed else text, words)
                 if not len(own) or (node := _node(own)) in seen:
                     continue
                 seen.add(node)
-                rare = np.lexsort((own, counts[_counter(own)]))[: prefix(len(own))]
-                tokens.append(own[rare].view(np.int64))
+                first, last = _places(own, [low, high])
+                tokens.append(own[first:last].view(np.int64))
                 nodes.append(node)
                 sizes.append(len(own))
             if tokens:
                 n = [len(t) for t in tokens]
-                yield pd.DataFrame({
-                    "token": np.concatenate(tokens), "node": np.repeat(np.array(nodes, np.int64), n),
-                    "n": np.repeat(np.array(sizes, np.int32), n), "pos": np.concatenate([np.arange(k, dtype=np.int32) for k in n]),
-                })
+                yield pd.DataFrame({"token": np.concatenate(tokens), "node": np.repeat(np.array(nodes, np.int64), n), "n": np.repeat(np.array(sizes, np.int32), n)})
 
-    return texts.mapInPandas(read, "token long, node long, n int, pos int")
+    return texts.mapInPandas(read, "token long, node long, n int")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """The rows (token, node, n) of shingles that several sets have, with ``times``: how many."""
+    token = Window.partitionBy("token")
+    rows = rows.withColumn("before", F.lag("node").over(token.orderBy("node"))).where("before is null or before <> node")
+    return rows.withColumn("times", F.count("*").over(token)).where("times > 1").drop("before")
 
 
 @dataclass(frozen=True)
 class _Corpus:
-    """``texts`` (id, text) and ``nodes`` (node, n, first, counts), a written table of the distinct sets."""
+    """The sets that may link: ``nodes`` (node, n, counts) and ``texts`` (node, packed), a text of each."""
 
     texts: DataFrame
     nodes: DataFrame
@@ -145,50 +153,112 @@ class _Corpus:
             pairs = pairs.join(self.nodes.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), F.col("counts").alias(f"{side}c")), side)
         return pairs.where(most("ac", "bc") >= self.rule.needed(F.col("an"), F.col("bn"))).drop("ac", "bc")
 
-    def texts_of(self, wanted: DataFrame) -> DataFrame:
-        """(node, packed): one text of each node; only texts that a sieve takes for wanted are shuffled."""
-        asked = materialize(wanted.distinct().join(self.nodes.select("node", "first"), "node"), "wanted")
-        rows = let_through(self.texts, asked, "first", F.col("id")).where("_met").select("id", squeezed("text").alias("packed"))
-        words = self.rule.words
-
-        @pandas_udf("long")
-        def node_of(packed: pd.Series) -> pd.Series:
-            return pd.Series([_node(shingles(zlib.decompress(x), words)) for x in packed], dtype=np.int64)
-
-        found = rows.join(asked, F.col("id") == F.col("first")).where(node_of("packed") == F.col("node"))
-        return materialize(found.select("node", "packed").dropDuplicates(["node"]), "texts")
-
     def overlaps(self, pairs: DataFrame) -> DataFrame:
         """(a, b, overlap) of distinct pairs of nodes, counted on whole sets."""
-        pairs = materialize(pairs.select("a", "b").distinct(), "pairs")
-        texts = self.texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
         words = self.rule.words
 
+        def overlap_of(one: pd.Series, two: pd.Series) -> list[int]:
+            sets = {x: shingles(zlib.decompress(x), words) for x in {*one, *two}}
+            return [len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(one, two, strict=True)]
+
         @pandas_udf("long")
         def overlap(one: pd.Series, two: pd.Series) -> pd.Series:
-            sets = {x: shingles(zlib.decompress(x), words) for x in {*one, *two}}
-            return pd.Series([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(one, two, strict=True)], dtype=np.int64)
+            # A few pairs at a time, so that only their sets are in memory.
+            return pd.Series([n for a in range(0, len(one), PAIRS) for n in overlap_of(one[a : a + PAIRS], two[a : a + PAIRS])], dtype=np.int64)
 
-        met = pairs
+        met = materialize(pairs.select("a", "b").distinct(), "pairs")
         for side in "ab":
-            met = met.join(texts.select(F.col("node").alias(side), F.col("packed").alias(f"{side}t")), side)
+            met = met.join(self.texts.select(F.col("node").alias(side), F.col("packed").alias(f"{side}t")), side)
         return materialize(met.select("a", "b", overlap("at", "bt").alias("overlap")), "overlaps")
 
 
-def _leaders(lists: DataFrame, rule: JaccardRule) -> DataFrame:
-    """For each node the set it shares most lists with, among the first of its size class in each list."""
-    ok = rule.reach(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"))
-    shared = lists.where((F.col("node") != F.col("lead.node")) & ok).groupBy("node", F.col("lead.node").alias("leader")).agg(F.count("*").alias("times"))
+def _texts_of(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(node, packed): one text of each wanted node; only texts that a sieve takes for wanted are shuffled."""
+    asked = materialize(wanted.join(nodes.select("node", "first"), "node"), "wanted")
+    rows = let_through(texts, asked, "first", F.col("id")).where("_met").select("id", squeezed("text").alias("packed"))
+
+    @pandas_udf("long")
+    def node_of(packed: pd.Series) -> pd.Series:
+        return pd.Series([_node(shingles(zlib.decompress(x), words)) for x in packed], dtype=np.int64)
+
+    found = rows.join(asked, F.col("id") == F.col("first")).where(node_of("packed") == F.col("node"))
+    return materialize(found.select("node", "packed").dropDuplicates(["node"]), "texts")
+
+
+def _prefixes(texts: DataFrame, nodes: DataFrame, rule: JaccardRule) -> tuple[DataFrame, _Corpus]:
+    """(token, node, n, pos): the shingles of each set's prefix that other sets have, and their places in it; and the
+    sets that may link.
+
+    Shingles are in order of how many sets had them when their band was counted. That is a function of the shingle, and
+    a set left out of a count holds a whole prefix of shingles no other set has, so it links with nothing.
+    """
+    low, rows, active, found = 0, None, nodes.select("node"), None
+    for k, high in enumerate(rule.edges()):
+        source = texts.select("text") if found is None else found.select(F.col("packed").alias("text"))
+        met = materialize(_met(_band(source, rule, low, high)), "met")
+        rows = met if rows is None else rows.join(active, "node", "left_semi").select(met.columns).union(met)
+        common = rows.groupBy("node").agg(F.count("*").alias("common"))
+        sets = nodes.select("node", "n", "cuts").join(active, "node", "left_semi").join(common, "node", "left")
+        own = F.col("cuts")[k] - F.coalesce("common", F.lit(0))
+        active = materialize(sets.where(rule.short(F.col("n"), own)).select("node"), "active")
+        found = _texts_of(active, nodes, texts, rule.words) if found is None else found.join(active, "node", "left_semi")
+        low = high
+    whole = Window.partitionBy("node")
+    pos = F.col("n") - F.count("*").over(whole) + F.row_number().over(whole.orderBy("times", "token")) - 1
+    rows = rows.join(active, "node", "left_semi").withColumn("pos", pos.cast("int"))
+    counts = nodes.join(active, "node", "left_semi").select("node", "n", "counts")
+    corpus = _Corpus(materialize(found, "texts"), materialize(counts, "counts"), rule)
+    return rows.where(rule.short(F.col("n"), F.col("pos"))).select("token", "node", "n", "pos"), corpus
+
+
+def _mixed(lists: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """The rows of lists that hold several components, with ``c``, the component."""
+    rows = lists.withColumn("c", F.col("node"))
+    if joined is not None:
+        rows = lists.join(joined.withColumnRenamed("component", "_c"), "node", "left").withColumn("c", F.coalesce("_c", "node")).drop("_c")
+    several = rows.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("token")
+    return rows.join(several, "token", "left_semi")
+
+
+def _leaders(lists: DataFrame, joined: DataFrame | None, tried: DataFrame | None, rule: JaccardRule) -> DataFrame:
+    """For each set one that it can link with, of another component and not tried: the one it shares most lists with,
+    among the sets that come first in the prefix order of their size class in each list.
+
+    Such a set has the fewest shingles of its own, so it is near the middle of a group of near copies.
+    """
+    rows = _mixed(lists, joined)
+    heads = rows.groupBy("token", "class").agg(F.min(F.struct("pos", "n", "node", "c")).alias("lead"))
+    ok = (F.col("c") != F.col("lead.c")) & rule.fits(F.col("n"), F.col("lead.n")) & rule.reach(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"))
+    shared = rows.join(heads, ["token", "class"]).where(ok).groupBy("node", F.col("lead.node").alias("leader")).agg(F.count("*").alias("times"))
+    if tried is not None:
+        shared = shared.join(tried.select(F.col("a").alias("node"), F.col("b").alias("leader")), ["node", "leader"], "left_anti")
     best = shared.groupBy("node").agg(F.min(F.struct((-F.col("times")).alias("times"), "leader")).alias("best"))
     return best.select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
 
 
+def _led(lists: DataFrame, corpus: _Corpus) -> DataFrame:
+    """(a, b, an, bn, overlap) of linked sets, found by rounds in which each set meets one leader at most.
+
+    A round whose links are less than a quarter of its pairs is the last one; what it leaves is compared in blocks.
+    """
+    rule, found, tried, joined = corpus.rule, None, None, None
+    while True:
+        asked = materialize(_leaders(lists, joined, tried, rule), "asked")
+        if found is not None and asked.isEmpty():
+            return found
+        near = materialize(corpus.possible(asked), "near")
+        near = near.join(corpus.overlaps(near), ["a", "b"]).where(F.col("overlap") >= rule.needed(F.col("an"), F.col("bn")))
+        near = materialize(near, "near")
+        found = near if found is None else found.unionByName(near)
+        if near.count() * 4 <= asked.count():
+            return found
+        tried = asked if tried is None else tried.union(asked)
+        joined = components(found.select("a", "b"))
+
+
 def _remaining(lists: DataFrame, joined: DataFrame, rule: JaccardRule) -> DataFrame:
     """Pairs of sets of different components that share a list and can link by size and position."""
-    rows = lists.select("token", "node", "n", "pos").join(joined.withColumnRenamed("component", "_c"), "node", "left")
-    rows = rows.withColumn("c", F.coalesce("_c", "node")).drop("_c")
-    token = Window.partitionBy("token")
-    rows = rows.withColumn("low", F.min("c").over(token)).withColumn("high", F.max("c").over(token)).where("low <> high")
+    rows, token = _mixed(lists, joined), Window.partitionBy("token")
     block = ((F.row_number().over(token.orderBy("n", "pos", "node")) - 1) / BLOCK).cast("long")
     rows = materialize(rows.select("token", "node", "n", "pos", "c", block.alias("block")), "remaining")
     bounds = rows.groupBy("token", "block").agg(
@@ -247,33 +317,23 @@ def similar_groups(docs: DataFrame, rule: JaccardRule = JaccardRule(), *, key: s
     ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     texts = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
-    scan = _scan(texts, kind, rule)
-    order = np.zeros(COUNTERS, np.int64)
-    counts = scan.where("counter is not null").groupBy("counter").agg(F.sum("count").alias("count")).toPandas()
-    order[counts["counter"].to_numpy(np.int64)] = counts["count"].to_numpy(np.int64)
-    rows = scan.where("counter is null").select("id", "n", "node", "counts")
+    rows = _scan(texts, kind, rule)
+    nodes = rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("id").alias("first"), F.first("counts").alias("counts"), F.first("cuts").alias("cuts"))
+    nodes = materialize(nodes, "nodes")
 
     size = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / rule.percent) + 1e-9) if rule.percent < 100 else F.col("n").cast("long")
-    inside = Window.partitionBy("token").orderBy("class", "n", "node")
-    lists = _postings(texts.select("text"), order, rule).withColumn("class", size)
-    lists = lists.withColumn("before", F.lag("node").over(inside)).where("before is null or before <> node")
-    lead = F.first(F.struct("node", "n", "pos")).over(Window.partitionBy("token", "class").orderBy("n", "node"))
-    last = F.max("node").over(Window.partitionBy("token")) != F.min("node").over(Window.partitionBy("token"))
-    lists = lists.withColumn("lead", lead).withColumn("shared", last).where("shared").select("token", "node", "n", "pos", "lead")
-    lists = materialize(lists, "lists")
-
-    nodes = rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("id").alias("first"), F.first("counts").alias("counts"))
-    corpus = _Corpus(texts, materialize(nodes, "nodes"), rule)
-    near = materialize(corpus.possible(_leaders(lists, rule)), "near")
-    near = near.join(corpus.overlaps(near), ["a", "b"]).where(F.col("overlap") >= rule.needed(F.col("an"), F.col("bn")))
-    near = materialize(near, "near")
+    lists, corpus = _prefixes(texts, nodes, rule)
+    lists = materialize(lists.withColumn("class", size), "lists")
+    near = _led(lists, corpus)
     joined = components(near.select("a", "b"))
-    anchors = near.select(F.col("a").alias("node"), F.col("b").alias("anchor"), (F.col("an") - F.col("overlap")).alias("lost"), (F.col("bn") - F.col("overlap")).alias("more"))
+    lost, more = F.col("an") - F.col("overlap"), F.col("bn") - F.col("overlap")
+    anchors = near.groupBy(F.col("a").alias("node")).agg(F.min(F.struct((lost + more).alias("far"), F.col("b").alias("anchor"), lost.alias("lost"), more.alias("more"))).alias("_"))
+    anchors = anchors.select("node", "_.anchor", "_.lost", "_.more")
     pairs = materialize(corpus.possible(_remaining(lists, joined, rule)), "possible")
     links = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_derived(pairs, anchors, corpus))
     joined = components(links)
 
-    first = corpus.nodes.select("node", "first")
+    first = nodes.select("node", "first")
     member = joined.join(first, "node")
     group = member.groupBy("component").agg(F.min("first").alias("least"))
     least = member.join(group, "component").select("node", "least")
