@@ -2,6 +2,7 @@
 columns whose names clash."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -216,6 +217,30 @@ def test_top_k(spark):
     assert topk.top_k(table.where("vec_id < 3"), F.lit(True)).count() == 6
 
 
+def test_top_k_of_large_components(spark):
+    """Products beyond 64 bits give exact scores, or an error where a score is no 64-bit integer."""
+    draw = random.Random(6)
+    rows = [(i, [draw.choice([-1.0, 1.0]) * draw.randrange(1 << 22, 1 << 23) / 256 * 300 for _ in range(8)]) for i in range(40)]
+    rows += [(100, [2.0**25] * 4 + [0.0] * 4), (101, [0.0] * 4 + [2.0**33] * 4), (102, [2.0**30, -(2.0**30)] + [0.0] * 6), (103, [1.0] * 8)]
+    cells = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(table, F.col("vec_id") == 103, 5, row_block=8).collect()}
+    order = sorted((-sum(a * b for a, b in zip(cells[103], c, strict=True)), i) for i, c in cells.items() if i != 103)[:5]
+    assert got == {(103, rank): (i, -s) for rank, (s, i) in enumerate(order, 1)}
+    twice = spark.createDataFrame([(1, [2.0**40] * 4), (2, [2.0**40] * 4)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="no 64-bit integer"):
+        topk.top_k(twice, F.lit(True)).collect()
+
+
+def test_top_k_shuffles_rows_once(spark):
+    """One exchange holds the rows once, whatever the number of query blocks."""
+    table, _ = vectors(spark, n=2000)
+    found = topk.top_k(table, F.col("vec_id") % 2 == 0, 5, row_block=100, query_block=10, shard_bytes=4000)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Join" not in plan and plan.count("REPARTITION_BY_NUM") == 1
+
+
 def test_mixing(spark, docs, none):
     rows = mixing.mix(docs, block_chars=500, period=40).select("doc_id", "source", "block", "release", "deadline", "slot", "block_start").collect()
     assert len(rows) == len(corpus())
