@@ -82,14 +82,24 @@ def test_secrets(docs, none):
     assert {r.spans for r in secrets.masked(docs).collect()} == {"own"}
 
 
-def test_widely_held_values_are_examples(spark):
-    value = "Zk3p9QwLm2Xv7RtB8sYd4HnC"
-    rows = [(i, f"see {value} 🎉 here", f"owner{i}") for i in range(3)] + [(9, "only Qk3p9QwLm2Xv7RtB8sYd4Hn1 here", "owner0")]
+def test_owners_and_repositories_decide(spark):
+    common, leaked, own, rare = ("Zk3p9QwLm2Xv7RtB8sYd4HnC", "Qk3p9QwLm2Xv7RtB8sYd4Hn1", "Wk3p9QwLm2Xv7RtB8sYd4Hn2", "Vk3p9QwLm2Xv7RtB8sYd4Hn3")
+    rows = [(i, f"see {common} 🎉 here", f"owner{i % 3}") for i in range(10)]
+    rows += [(20 + i, f"key {leaked} here", f"owner{i}") for i in range(3)] + [(30 + i, f"own {own} here", "owner0") for i in range(12)]
+    rows += [(50, f"one {rare} here", "owner0"), (50, f"one {rare} here", "owner0")]
     table = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    found = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.find_secrets(table).collect()}
-    assert found[0] == [(4, 28, "example")] and found[9] == [(5, 29, "live")]
+
+    def kinds(**rule):
+        found = secrets.find_secrets(table, rule=secrets.Ownership(**rule)).collect()
+        assert all(len(r.spans) == 1 and r.text[r.spans[0].start : r.spans[0].end] in (common, leaked, own, rare) for r in found)
+        return {r.doc_id // 10: r.spans[0].kind for r in found}
+
+    # Many owners and repositories; three owners with one each; one owner with many; one of each, its row repeated.
+    assert kinds() == {0: "example", 2: "live", 3: "live", 4: "live", 5: "live"}
+    assert kinds(many_repositories=12) == {0: "example", 2: "live", 3: "example", 4: "example", 5: "live"}
+    assert kinds(common_repositories=3) == {0: "example", 2: "example", 3: "live", 4: "live", 5: "live"}
     masked = {r.doc_id: r.text for r in secrets.masked(table).collect()}
-    assert masked[0] == rows[0][1] and masked[9] == "only [SECRET] here"
+    assert masked[0] == rows[0][1] and masked[20] == "key [SECRET] here" == "key" + masked[30][3:] and masked[50] == "one [SECRET] here"
 
 
 def test_pieces(docs, none):

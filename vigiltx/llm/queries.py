@@ -120,9 +120,9 @@ found AS (
   SELECT id, kind, stop - size AS start, stop, value, sha256(value) AS hash FROM placed
   WHERE length(value) >= CASE kind WHEN 'assign' THEN 8 WHEN 'access' THEN 16 WHEN 'hex' THEN 32 ELSE 24 END
     AND (kind <> 'bare' OR regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]'))),
-held AS (SELECT hash, count(DISTINCT coalesce(source, chr(1))) AS owners FROM found JOIN docs USING (id) GROUP BY hash),
+held AS (SELECT hash, count(DISTINCT coalesce(source, chr(1))) AS owners, count(DISTINCT (coalesce(source, chr(1)), id)) AS repositories FROM found JOIN docs USING (id) GROUP BY hash),
 judged AS (
-  SELECT found.*, CASE WHEN owners >= 3 THEN 'example'
+  SELECT found.*, CASE WHEN owners >= 3 AND repositories >= 10 OR repositories >= 1000 THEN 'example'
     WHEN len(list_distinct(string_split(value, ''))) >= 7 AND length(value) >= 12 AND NOT regexp_matches(value,
       '(?i)example|sample|dummy|changeme|change_me|placeholder|your|xxxx|test|12345678|abcdef') THEN 'live' END AS verdict
   FROM found JOIN held USING (hash)),

@@ -1,4 +1,4 @@
-"""Secrets in texts: fixed patterns, then how many owners hold each value decides what it is."""
+"""Secrets in texts: fixed patterns, then how many repositories and owners hold each value decides what it is."""
 
 from __future__ import annotations
 
@@ -31,10 +31,14 @@ _PLACEHOLDER = r"(?i)example|sample|dummy|changeme|change_me|placeholder|your|xx
 
 @dataclass(frozen=True)
 class Ownership:
-    """A value held by ``common_owners`` distinct owners or more is a copied example; below that it is live if it has
-    ``least_distinct`` different characters or more and no placeholder word."""
+    """When a value is a widely copied example: ``common_owners`` distinct owners or more hold it in
+    ``common_repositories`` distinct repositories or more, or any owners in ``many_repositories`` or more. Below that it
+    is live if it has ``least_distinct`` different characters or more and no placeholder word. So a key that a few
+    owners each leaked once stays live, and a sample that one owner copied everywhere is an example."""
 
     common_owners: int = 3
+    common_repositories: int = 10
+    many_repositories: int = 1000
     least_distinct: int = 7
     least_length: int = 12
 
@@ -71,9 +75,9 @@ def find_secrets(
 
     Kinds ``assign``, ``access`` and ``hex`` are the matches of the fixed patterns. Each matched value, and each bare
     run of 24 characters or more that mixes digits and both cases, is then looked up in the whole corpus: distinct
-    repositories and owners are counted for its hash. A value that many owners hold adds a span ``example``, one held
-    by few that looks random adds a span ``live``; both cover the value alone. ``documents`` names no repository, so a
-    document stands for one.
+    repositories (of an owner) and owners are counted for its hash. A value that ``rule`` takes for widely copied adds a
+    span ``example``, another that looks random adds a span ``live``; both cover the value alone. ``documents`` names
+    no repository, so a document stands for one.
 
     A null text counts as empty and has no spans, a null owner or repository is one of its own. Repeated rows keep
     their own results. A column of ``docs`` named ``spans`` is replaced. Only texts with a candidate are shuffled, and
@@ -98,7 +102,8 @@ def find_secrets(
     )
     counted = materialize(counted, "owners")
     random = (F.size(F.array_distinct(F.split("value", ""))) >= rule.least_distinct) & (F.length("value") >= rule.least_length) & ~F.col("value").rlike(_PLACEHOLDER)
-    verdict = F.when(F.col("owners") >= rule.common_owners, "example").when(random, "live")
+    common = (F.col("owners") >= rule.common_owners) & (F.col("repositories") >= rule.common_repositories)
+    verdict = F.when(common | (F.col("repositories") >= rule.many_repositories), "example").when(random, "live")
 
     def span(start: Column, kind: Column) -> Column:
         order = F.array_position(F.array(*map(F.lit, KINDS)), kind)
