@@ -5,6 +5,8 @@ import hashlib
 import math
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -61,6 +63,55 @@ def test_language(spark, docs, none):
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
 
 
+def plain_grams(text, sizes=(3, 4)):
+    flat = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in f" {text.lower()} "))
+    return [flat[i : i + n] for n in sizes for i in range(len(flat) - n + 1)]
+
+
+def test_language_equals_a_plain_recount(spark, docs):
+    """The same model with sets in place of filters; false positives are rare at this size."""
+    config = langid.LanguageConfig()
+    counts = {}
+    learn = {(i, t, lang) for i, t, lang, _ in corpus() if t is not None and lang is not None and (i is None or zlib.crc32(str(i).encode()) % 4 != 2)}
+    for _, text, lang in learn:
+        counts.setdefault(lang, Counter()).update(plain_grams(text))
+    total = {lang: c.total() for lang, c in counts.items()}
+    share = {lang: {g: n / total[lang] for g, n in c.items()} for lang, c in counts.items()}
+    held = {lang: {g for g, n in c.items() if n >= config.least and share[lang][g] >= config.ratio * max(s.get(g, 0) for s in share.values())} for lang, c in counts.items()}
+    assert max(map(len, held.values())) < config.grams
+    for r in langid.identify(docs, langid.held_out(F.col("doc_id"))).collect():
+        own = plain_grams(r.text or "")
+        hits = {lang: sum(g in known for g in own) / max(1, len(own)) for lang, known in held.items()}
+        if r.lang_pred != "und":
+            assert abs(r.score - max(hits.values())) < 0.005 and hits[r.lang_pred] > max(hits.values()) - 0.005
+
+
+def test_long_texts_lose_no_ngram(monkeypatch):
+    draw = random.Random(4)
+    texts = ["".join(draw.choice("abcßéÅΣ  ..1\n") for _ in range(n)) for n in (0, 1, 29, 30, 31, 500, 1000)] + [" " * 200 + "a" + "." * 200, "x" * 100]
+    monkeypatch.setattr(langid, "CHUNK", 30)
+    names = {}
+    for text in texts:
+        got = Counter(h for _, cut, seen in langid.together([text], (3, 4)) for h in langid.grams(cut, (3, 4), seen)[0].tolist())
+        want = Counter(plain_grams(text))
+        assert sorted(got.values()) == sorted(want.values())
+        whole = [f" {text.lower()} "]
+        hashes = langid.grams(whole, (3, 4), np.zeros(1, np.int64))[0].tolist()
+        assert got == Counter(hashes) and all(names.setdefault(g, h) == h for g, h in zip(plain_grams(text), hashes, strict=True))
+
+
+def test_spoken_keeps_known_languages(spark, docs, none):
+    draw = random.Random(9)
+    odd = [(500 + i, " ".join("".join(draw.choice("qxzjvkw") for _ in range(7)) for _ in range(40)), None, "s1") for i in range(5)] + [(510, "12 34 ##", None, "s1")]
+    table = docs.unionByName(spark.createDataFrame(odd, SCHEMA), allowMissingColumns=True)
+    kept = langid.spoken(table)
+    assert kept.columns == table.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert set(range(90)) <= set(ids) and not any(i is not None and i >= 500 for i in ids)
+    assert ids.count(5) == 2 and not {100, 101, 102, 103} & set(ids)
+    assert langid.spoken(none).count() == 0
+
+
 def test_bloom_counts_are_corrected():
     held = {"a": common.mixed(np.arange(5000, dtype=np.uint64)), "b": common.mixed(np.arange(4000, 9000, dtype=np.uint64))}
     model = langid.LanguageModel.build(held, ["a", "b"], langid.LanguageConfig(bits=1 << 15))

@@ -42,27 +42,46 @@ def letters() -> np.ndarray:
     return _letters
 
 
-def pieces(texts: list[str], overlap: int) -> Iterator[tuple[int, str]]:
-    """Each text, in pieces if it is long; a piece begins with the last ``overlap`` characters of the one before."""
+def ending(text: str, n: int) -> str:
+    """The last ``n`` characters of a lower-case text as n-grams see them: letters, and one space for a run of others."""
+    out: list[str] = []
+    for c in reversed(text):
+        c = c if c.isalpha() else " "
+        if c != " " or not out or out[-1] != " ":
+            out.append(c)
+            if len(out) == n:
+                break
+    return "".join(reversed(out))
+
+
+def pieces(texts: list[str], sizes: tuple[int, ...]) -> Iterator[tuple[int, str, int]]:
+    """(text, piece, seen): each text in lower case between two spaces, in pieces if it is long.
+
+    A piece begins with the ``seen`` characters before it that n-grams across the border need.
+    """
     for i, text in enumerate(texts):
-        for at in range(0, max(1, len(text)), CHUNK):
-            yield i, text[max(0, at - overlap) : at + CHUNK]
+        whole, before = f" {text.lower()} ", ""
+        for at in range(0, len(whole), CHUNK):
+            piece = before + whole[at : at + CHUNK]
+            yield i, piece, len(before)
+            if at + CHUNK < len(whole):
+                before = ending(piece, max(sizes) - 1)
 
 
-def grams(texts: list[str], sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all character n-grams of the texts, and the text each is in.
+def grams(texts: list[str], sizes: tuple[int, ...], seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all character n-grams of the pieces, and the piece each is in; not of those within the characters ``seen``.
 
-    Letters count in lower case, every run of other characters is one space, and a text begins and ends with one.
+    Every run of characters other than letters is one space.
     """
     known = letters()
-    lowered = [f" {t.lower()} " for t in texts]
-    lengths = np.fromiter(map(len, lowered), np.int64, len(lowered))
-    code = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     owner = np.repeat(np.arange(len(texts)), lengths)
     code = np.where(known[code], code, np.uint32(32))
     kept = np.ones(len(code), bool)
     kept[1:] = (code[1:] != 32) | (code[:-1] != 32) | (owner[1:] != owner[:-1])
     code, owner = code[kept].astype(WORD), owner[kept]
+    place = np.arange(len(code)) - np.searchsorted(owner, np.arange(len(texts)))[owner]
     hashes, owners = [], []
     for n in sizes:
         if len(code) < n:
@@ -70,7 +89,7 @@ def grams(texts: list[str], sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndar
         rolled = np.full(len(code) - n + 1, n, WORD)
         for k in range(n):
             rolled = rolled * WORD(0x9E3779B97F4A7C15) + code[k : len(code) - n + 1 + k]
-        inside = owner[n - 1 :] == owner[: len(code) - n + 1]
+        inside = (owner[n - 1 :] == owner[: len(code) - n + 1]) & (place[n - 1 :] >= seen[owner[n - 1 :]])
         hashes.append(mixed(rolled[inside]))
         owners.append(owner[n - 1 :][inside])
     if not hashes:
@@ -78,6 +97,13 @@ def grams(texts: list[str], sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndar
     return np.concatenate(hashes), np.concatenate(owners)
 
 
+def together(texts: list[str], sizes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray]]:
+    """Pieces in groups of a bounded size: the text of each, the pieces, and how much of each was seen."""
+    cut = list(pieces(texts, sizes))
+    for a, b in chunks(np.fromiter((len(t) for _, t, _ in cut), np.int64, len(cut))):
+        yield np.array([i for i, _, _ in cut[a:b]], np.int64), [t for _, t, _ in cut[a:b]], np.array([n for _, _, n in cut[a:b]], np.int64)
+
+
 def rows_of(hashes: np.ndarray, bits: int, probes: int) -> Iterator[np.ndarray]:
     """The filter rows that a hash is looked up in."""
     step = (hashes >> WORD(32)) | WORD(1)
@@ -118,13 +144,11 @@ class LanguageModel:
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
         whole = [t or "" for t in texts]
         hits, total = np.zeros((len(whole), len(self.languages))), np.zeros(len(whole))
-        cut = list(pieces(whole, 0))
-        for a, b in chunks(np.fromiter((len(t) for _, t in cut), np.int64, len(cut))):
-            hashes, owner = grams([t for _, t in cut[a:b]], self.config.sizes)
-            to = np.fromiter((i for i, _ in cut[a:b]), np.int64, b - a)
+        for to, texts, seen in together(whole, self.config.sizes):
+            hashes, owner = grams(texts, self.config.sizes, seen)
             if len(hashes) and self.languages:
-                np.add.at(hits, to, self.hits(hashes, owner, b - a))
-            np.add.at(total, to, np.bincount(owner, minlength=b - a))
+                np.add.at(hits, to, self.hits(hashes, owner, len(texts)))
+            np.add.at(total, to, np.bincount(owner, minlength=len(texts)))
         if not self.languages:
             return pd.DataFrame({"lang_pred": [UNKNOWN] * len(whole), "score": 0.0})
         share = np.clip((hits / np.maximum(total, 1)[:, None] - self.wrong) / np.maximum(1 - self.wrong, 1e-9), 0, 1)
@@ -147,9 +171,8 @@ def fit(spark: SparkSession, labelled: DataFrame, config: LanguageConfig = Langu
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, texts in batch.groupby("lang", sort=True)["text"]:
-                cut = [t for _, t in pieces(list(texts), 0)]
-                for a, b in chunks(np.fromiter(map(len, cut), np.int64, len(cut))):
-                    hashes, n = np.unique(grams(cut[a:b], sizes)[0], return_counts=True)
+                for _, cut, before in together(list(texts), sizes):
+                    hashes, n = np.unique(grams(cut, sizes, before)[0], return_counts=True)
                     yield pd.DataFrame({"lang": lang, "gram": hashes.view(np.int64), "n": n})
 
     seen = rows.repartition(F.xxhash64("text")).mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -181,7 +204,7 @@ def identify(docs: DataFrame, held_out: Column | None = None, *, text: str = "te
     The model is fitted on the rows whose ``lang`` is known and for which ``held_out`` is not true. The prediction
     depends on the text alone. A text that is null, empty or without a letter is ``und`` with score 0, and so is every
     text if no row is labelled; in a tie the language with more n-grams counted wins, then the name. Long texts are
-    read in pieces whose n-gram counts are added up. Input columns named as an output are replaced.
+    read in pieces whose n-gram counts are added up, each n-gram once, those across borders too. Input columns named as an output are replaced.
     """
     spark = docs.sparkSession
     ship(spark)
