@@ -372,6 +372,31 @@ def test_repeats(spark, monkeypatch, length, gram, chunk):
     assert got == brute_repeats(rows, length)
 
 
+def test_repeats_of_long_strings(spark):
+    """Phrases of several hundred strings keep their number."""
+    draw = random.Random(12)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(2500))
+    rows = [(i, f"{draw.random()}" * 20 + passage[draw.randint(0, 400) : 2000 + draw.randint(0, 500)] + f"{draw.random()}" * 30, None, None) for i in range(8)]
+    for length in (400, 1000):
+        got = {r.doc_id: bytes(r.kept) for r in repeats.repeated_spans(spark.createDataFrame(rows, SCHEMA), repeats.RepeatRule(length)).collect()}
+        assert got == brute_repeats(rows, length) and any(len(got[i]) < len(t) - 1000 for i, t, *_ in rows)
+
+
+def test_repeats_of_ids_with_several_texts(spark):
+    """The texts of an id are documents in the order of their hashes."""
+    period = "abcdefghijklmnopqrstuvwxyz" * 12
+    other = "".join(random.Random(1).choice("klmnop ") for _ in range(280))
+    rows = [(1, "x" * 50, None, None), (2, period[:303], None, None), (2, other, None, None), (2, other, None, None), (3, period[:300], None, None), (3, None, None, None), (4, other + "!", None, None)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((r.doc_id, r.text or "", bytes(r.kept)) for r in repeats.repeated_spans(table).collect())
+    hashes = {r.text: r.h for r in table.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted({(i, hashes[t], t or "") for i, t, *_ in rows})
+    want = brute_repeats([(n, t) for n, (_, _, t) in enumerate(order)], 100)
+    each = {(i, t): want[n] for n, (i, _, t) in enumerate(order)}
+    assert got == sorted((i, t or "", each[i, t or ""]) for i, t, *_ in rows)
+    assert each[3, period[:300]] == b"" and len(each[2, period[:303]]) < 303
+
+
 def test_repeats_in_pieces(monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK", 300)
     raw = bytes(random.Random(2).choices(range(97, 105), k=2000))

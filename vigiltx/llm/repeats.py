@@ -19,11 +19,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
+from vigiltx.functions.ranks import dense_index
 from vigiltx.llm.common import CHUNK, WORD, let_through, mixed, parts, ship, squeezed, whole_groups
 from vigiltx.sources.shared import materialize
 
-#: Rows of phrases keep the count of their strings beside their place.
-COUNT_BITS = 8
 #: Phrases of one trigger that are compared in one task.
 MANY = 4096
 LAST = (1 << 63) - 1
@@ -39,6 +38,11 @@ class RepeatRule:
     length: int = 100
     gram: int = 32
 
+    @property
+    def bits(self) -> int:
+        """Bits for the number of strings of a phrase, which rows of phrases keep beside its place."""
+        return (self.length - self.gram + 1).bit_length()
+
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the base and of its inverse, modulo 2^64."""
@@ -155,13 +159,13 @@ def _phrase_rows(texts: DataFrame, rule: RepeatRule) -> DataFrame:
             head = np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))
             later = same & ((doc != doc[head]) | (place != place[head]))
             one = ~same
-            yield pd.DataFrame({"trigger": trigger[one].view(np.int64), "phrase": phrase[one].view(np.int64), "doc": doc[one], "at": (place[one] << COUNT_BITS) | count[one]})
+            yield pd.DataFrame({"trigger": trigger[one].view(np.int64), "phrase": phrase[one].view(np.int64), "doc": doc[one], "at": (place[one] << rule.bits) | count[one]})
             if later.any():
                 owner, place, end = owner[later], place[later], (place + count + rule.length - 1)[later]
                 far = 1 << 40
                 start, stop = merged(owner * far + place, owner * far + end)
                 who = start // far
-                yield pd.DataFrame({"trigger": mixed((docs[who] ^ start).view(WORD)).view(np.int64), "phrase": stop - who * far, "doc": docs[who], "at": (start - who * far) << COUNT_BITS})
+                yield pd.DataFrame({"trigger": mixed((docs[who] ^ start).view(WORD)).view(np.int64), "phrase": stop - who * far, "doc": docs[who], "at": (start - who * far) << rule.bits})
 
     return texts.mapInPandas(read, "trigger long, phrase long, doc long, at long")
 
@@ -202,14 +206,14 @@ def _settled(texts: DataFrame, checks: DataFrame, rule: RepeatRule) -> DataFrame
     asked = checks.groupBy("doc").agg(F.collect_set(F.struct("at", "trigger", "hot")).alias("asked"))
     rows = let_through(texts, checks, "doc", F.col("doc")).where("_met").select("doc", squeezed("text").alias("packed"))
     rows = rows.dropDuplicates(["doc"]).join(asked, "doc").select("doc", "packed", F.col("asked.at").alias("at"), F.col("asked.trigger").alias("trigger"), F.col("asked.hot").alias("hot"))
-    mask = (1 << COUNT_BITS) - 1
+    bits, mask = rule.bits, (1 << rule.bits) - 1
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             cuts = []
             for doc, packed, at, trigger, hot in batch.itertuples(index=False):
                 raw = zlib.decompress(packed)
-                start = np.asarray(at, np.int64) >> COUNT_BITS
+                start = np.asarray(at, np.int64) >> bits
                 size = (np.asarray(at, np.int64) & mask) + rule.length - 1
                 cuts.append(pd.DataFrame({"trigger": trigger, "hot": hot, "doc": doc, "start": start, "count": size - rule.length + 1, "content": [raw[a : a + n] for a, n in zip(start.tolist(), size.tolist(), strict=True)]}))
                 if sum(map(len, cuts)) > 4096:
@@ -252,13 +256,24 @@ def _settled(texts: DataFrame, checks: DataFrame, rule: RepeatRule) -> DataFrame
     return cold.union(hot.where("end > 0").select("doc", "start", "end")).union(slow)
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (_row, doc, _text) with a number of its own for each document; the ids themselves unless one has several texts."""
+    rows = rows.withColumn("_hash", F.xxhash64(F.col("_text").cast("string")))
+    several = rows.groupBy("doc").agg(F.min("_hash").alias("low"), F.max("_hash").alias("high")).where("low <> high")
+    if several.isEmpty():
+        return rows.drop("_hash")
+    numbers = dense_index(rows.select("doc", "_hash").distinct(), ["doc", "_hash"], "_number")
+    return materialize(rows.join(numbers, ["doc", "_hash"]).select("_row", F.col("_number").alias("doc"), "_text"), "documents")
+
+
 def repeated_spans(docs: DataFrame, rule: RepeatRule = RepeatRule(), *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``spans``, the byte ranges (start, end) to remove, and ``kept``, the bytes that stay.
 
     A byte goes if a string of ``rule.length`` bytes covers it that also starts earlier: in a row of a smaller id, or
     before it in the same row. Strings are judged on the input, overlaps count, and none crosses rows. A null text
     counts as empty. Rows of a null id come last, in an order by their text. Rows that repeat an id and text are one
-    document: each gets the same result; an id is not to stand for different texts. Input columns named as an output are replaced.
+    document: each gets the same result. Different texts under one id are documents of their own, in the order of their
+    64-bit hashes. Input columns named as an output are replaced.
 
     Phrases that return within a batch are settled there, so that a phrase that most documents hold reaches the shuffle
     once for each batch. Texts are read three times; only those with a phrase in question are shuffled.
@@ -267,11 +282,12 @@ def repeated_spans(docs: DataFrame, rule: RepeatRule = RepeatRule(), *, key: str
     others = [c for c in docs.columns if c != text]
     unnamed = F.lit(LAST) - F.xxhash64(F.col(text).cast("string")).bitwiseAND(F.lit((1 << 40) - 1).cast("long"))
     rows = docs.select(F.struct(*others).alias("_row"), F.coalesce(F.col(key).cast("long"), unnamed).alias("doc"), F.col(text).alias("_text"))
+    rows = _numbered(rows)
     texts = rows.select("doc", F.col("_text").cast("string").alias("text")).where(F.octet_length("text") >= rule.length)
-    place = F.rank().over(Window.partitionBy("trigger", "phrase").orderBy("doc", F.shiftright("at", COUNT_BITS)))
+    place = F.rank().over(Window.partitionBy("trigger", "phrase").orderBy("doc", F.shiftright("at", rule.bits)))
     of_trigger = Window.partitionBy("trigger")
-    count = F.col("at").bitwiseAND(F.lit((1 << COUNT_BITS) - 1).cast("long"))
-    start = F.shiftright("at", COUNT_BITS)
+    count = F.col("at").bitwiseAND(F.lit((1 << rule.bits) - 1).cast("long"))
+    start = F.shiftright("at", rule.bits)
     found = _phrase_rows(texts, rule).withColumn("rank", place)
     found = found.withColumn("several", F.min("phrase").over(of_trigger) != F.max("phrase").over(of_trigger))
     found = found.withColumn("hot", F.count("*").over(of_trigger) > MANY).select(
