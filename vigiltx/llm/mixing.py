@@ -17,7 +17,8 @@ STEP, STEPS = 256, 256
 
 def _weight(weights: dict[str, float] | None, power: float) -> Column:
     if weights is None:
-        return F.pow(F.greatest("chars", F.lit(1)).cast("double"), F.lit(power))
+        chars = F.greatest("chars", F.lit(1)).cast("double")
+        return F.sqrt(chars) if power == 0.5 else F.pow(chars, F.lit(power))  # a root is rounded alike everywhere
     given = F.create_map(*(F.lit(x) for pair in weights.items() for x in pair)) if weights else F.create_map().cast("map<string,double>")
     return F.coalesce(given[F.col("_source")].cast("double"), F.lit(0.0))
 

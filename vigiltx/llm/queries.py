@@ -46,9 +46,9 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where the schedule puts every document; a source's weight is the square root of its characters, to a period of 1,000."""
+    """Where the schedule puts every document; a source's target weight is the square root of its characters."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs, period=1000).select("doc_id", "source", *mixing.ADDED)
+    return mixing.mix(docs).select("doc_id", "source", *mixing.ADDED)
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,28 +160,27 @@ FROM sets JOIN (SELECT a, min(b) AS least_id FROM reach GROUP BY a) ON a = doc_i
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(source, chr(1)) AS own, coalesce(length(text), 0) AS size,
     ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash, coalesce(doc_id::VARCHAR, '') AS k FROM documents),
-total AS (SELECT own, greatest(sum(size), 1) AS chars, sqrt(greatest(sum(size), 1)::DOUBLE) AS weight FROM sized GROUP BY own),
-share AS (
-  SELECT own, free, floor(free * weight / (sum(weight) OVER w)) AS low, free * weight / (sum(weight) OVER w) AS exact
-  FROM (SELECT *, greatest(1000, 2 * count(*) OVER ()) - count(*) OVER () AS free FROM total)
-  WINDOW w AS (ORDER BY own ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
-slots AS (
-  SELECT own, (1 + low + CASE WHEN row_number() OVER (ORDER BY exact - low DESC, own) <= free - sum(low) OVER () THEN 1 ELSE 0 END)::BIGINT AS a FROM share),
-every AS (SELECT list(own ORDER BY own) AS names, list(a ORDER BY own) AS parts, sum(a)::BIGINT AS period FROM slots),
+total AS (SELECT own, sqrt(greatest(sum(size), 1)::DOUBLE) AS weight, (sum(size) // 65536 + 1)::BIGINT AS blocks FROM sized GROUP BY own),
+every AS (
+  SELECT list(own ORDER BY own) AS names, list(weight ORDER BY own) AS weights, list(blocks ORDER BY own) AS blocks,
+    least(1125899906842624, 2305843009213693952 // (max(blocks) + count(*) + 2)) AS fine FROM total),
+grain AS (
+  SELECT names, blocks, list_transform(weights, lambda x: greatest(1, round(x / whole * fine)::BIGINT)) AS a
+  FROM (SELECT *, list_reduce(weights, lambda x, y: x + y) AS whole FROM every WHERE len(names) > 0)),
+plan AS (SELECT *, list_sum(a)::BIGINT AS w, range(1, len(names) + 1) AS each FROM grain),
 run AS (
-  SELECT 0::BIGINT AS slot, list_transform(parts, lambda x: 0::BIGINT) AS served, 0::BIGINT AS pick FROM every
+  SELECT 0::BIGINT AS t, list_transform(names, lambda x: 0::BIGINT) AS k, NULL::BIGINT AS pick, NULL::BIGINT AS slot, NULL::BIGINT AS block FROM plan
   UNION ALL
-  SELECT slot + 1, list_transform(range(1, len(served) + 1), lambda i: served[i] + CASE WHEN i = chosen THEN 1 ELSE 0 END), chosen FROM (
-    SELECT slot, served, list_min(list_filter(list_transform(range(1, len(served) + 1), lambda i: CASE WHEN served[i] < parts[i] AND (served[i] * period) // parts[i] <= slot
-      THEN ((((served[i] + 1) * period + parts[i] - 1) // parts[i]) * 1000000 + i)::BIGINT END), lambda x: x IS NOT NULL)) % 1000000 AS chosen
-    FROM run, every WHERE slot < period)),
-pattern AS (SELECT names[pick] AS own, slot - 1 AS slot, row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS j FROM run, every WHERE pick > 0),
+  SELECT now + 1, list_transform(each, lambda i: k[i] + CASE WHEN i = chosen THEN 1 ELSE 0 END), chosen, now, k[chosen] FROM (
+    SELECT *, (list_min(list_transform(each, lambda i: CASE WHEN k[i] < blocks[i] AND (k[i] * w) // a[i] <= now
+      THEN (((k[i] + 1) * w + a[i] - 1) // a[i])::HUGEINT * 1000000 + i END)) % 1000000)::BIGINT AS chosen
+    FROM (
+      SELECT *, greatest(t, list_min(list_transform(each, lambda i: CASE WHEN k[i] < blocks[i] THEN (k[i] * w) // a[i] END))) AS now
+      FROM run, plan WHERE list_sum(k) < list_sum(blocks)))),
 placed AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY own ORDER BY hash, k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS block_start FROM sized),
-blocks AS (SELECT *, block_start // 65536 AS block FROM placed JOIN slots USING (own))
-SELECT doc_id, source, block, (block * period) // a AS release, ((block + 1) * period + a - 1) // a AS deadline,
-  (block // a) * period + pattern.slot AS slot, block_start
-FROM blocks CROSS JOIN every JOIN pattern ON pattern.own = blocks.own AND pattern.j = block % a
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY own ORDER BY hash, k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS block_start FROM sized)
+SELECT doc_id, source, run.block, (run.block * w) // a[pick] AS release, ((run.block + 1) * w + a[pick] - 1) // a[pick] AS deadline, slot, block_start
+FROM placed CROSS JOIN plan JOIN run ON names[pick] = own AND run.block = block_start // 65536
 """,
     "op8_top_k": """
 WITH v AS (
