@@ -72,11 +72,11 @@ def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.n
 
 
 def _packer(rows: int, kind: str):
-    """Blocks of up to ``rows`` vectors of one length, ids and cells (floors) packed as bytes; ``at`` numbers the blocks of
-    all tasks so that those of a task are dealt evenly."""
+    """Blocks of up to ``rows`` vectors of one length, ids and cells (floors) packed as bytes; blocks are dealt by
+    ``at``, those of a task one after another and each task's from another place on."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = TaskContext.get().partitionId()
+        n = TaskContext.get().partitionId() * STRIDE
         for batch in batches:
             for dim, same in batch.groupby("dim", sort=True):
                 for a in range(0, len(same), rows):
@@ -88,6 +88,8 @@ def _packer(rows: int, kind: str):
     return pack
 
 
+#: A prime, so that tasks begin to deal at different shards.
+STRIDE = 1_000_003
 BLOCK = "at long, dim int, ids binary, cells binary"
 
 
@@ -136,7 +138,7 @@ def top_k(
     blocks = blocks.select(F.pmod("at", F.lit(shards)).alias("shard"), "dim", F.lit(False).alias("asks"), "ids", "cells")
     asks = rows.where("asks").select("dim", "id", "cells").mapInPandas(_packer(query_block, kind), BLOCK)
     asks = asks.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), "dim", F.lit(True).alias("asks"), "ids", "cells")
-    met = blocks.union(asks).repartition(shards, "shard").sortWithinPartitions("shard", "dim", "asks")
+    met = blocks.union(asks).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "dim", "asks")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         here, shard = None, []
