@@ -8,7 +8,8 @@ from builders import by_key, customers, silver
 from conftest import executed_plan
 from pyspark.sql import functions as F
 
-from vigiltx.functions.money import convert, half_even2, money_sum, round2
+from harness import mapped
+from vigiltx.functions.money import convert, half_even2, money_sum, round2, with_round2
 from vigiltx.operators.features import customer_features, received_features, sent_features
 from vigiltx.schema import FEATURE_COLUMNS
 
@@ -162,3 +163,23 @@ def test_conversion(spark):
     rows = spark.createDataFrame([(10.0, "PEN"), (1.0, "JPY"), (2.0, "XXX")], "usd double, cur string")
     got = [r[0] for r in rows.select(convert(F.col("usd"), F.col("cur"))).collect()]
     assert got == [33.5, 159.35, None]
+
+
+def test_rounding_in_steps_equals_rounding_at_once(spark):
+    draw = random.Random(4)
+    values = [0.125, 1.005, 2.675, -0.125, 0.0, -0.0, 1e15 + 0.5, 2.0**44, 2.0**44 - 0.005, 3e26, 1e27, 1e300, math.inf, -math.inf, math.nan, None, 5e-324]
+    values += [draw.uniform(-1, 1) * 10 ** draw.randint(-4, 20) for _ in range(500)] + [draw.randint(0, 10**6) / 1000 for _ in range(500)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    made = with_round2(rows.withColumn("at_once", round2(F.col("v"))), "steps", F.col("v"))
+    assert made.columns == ["v", "at_once", "steps"]
+    assert [r.v for r in made.filter("NOT at_once <=> steps").collect()] == []
+
+
+def test_bronze_looks_up_a_rate_once_a_row(spark, tmp_path):
+    lines = "1L l_orderkey, 2L l_partkey, 3L l_suppkey, 1 l_linenumber, 100.0D l_extendedprice, 'R' l_returnflag, 'F' l_linestatus, date '2026-01-01' l_shipdate"
+    spark.sql(f"SELECT {lines}").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.sql("SELECT 1L o_orderkey, 4L o_custkey, '1-URGENT' o_orderpriority").write.parquet(str(tmp_path / "orders.parquet"))
+    bronze = mapped.bronze_transactions(spark, str(tmp_path))
+    plan = bronze._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("USD") <= 4  # two lists of currencies, the rates; before, the rates stood at each use of the amount
+    assert bronze.count() == 2

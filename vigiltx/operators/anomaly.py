@@ -129,11 +129,12 @@ def draw_samples(vectors: DataFrame, cfg: ModelConfig, n: int, spread: float = 1
             for tree, values in enumerate(_coefficients(cfg))
         ]
     )
-    drawn = F.transform(trees, lambda t: F.struct(t["tree"].alias("tree"), draw(t).alias("_draw")))
     w = W.partitionBy("tree").orderBy("_draw", "customer_id")
     return (
-        hashed.select(F.explode(F.filter(drawn, lambda d: d["_draw"] < bound)).alias("_d"), "*")
-        .select("_d.*", *vectors.columns)
+        hashed.select("*", F.explode(trees).alias("_tree"))
+        .withColumn("_draw", draw(F.col("_tree")))
+        .filter(F.col("_draw") < bound)
+        .select("_tree.tree", "_draw", *vectors.columns)
         .withColumn("_place", F.row_number().over(w))
         .filter(F.col("_place") <= size)
         .drop("_place", "_draw")
