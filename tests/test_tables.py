@@ -311,3 +311,18 @@ def test_an_empty_rerun_empties_its_batch(spark, tmp_path):
     append_batch(pairs(spark, b=2), path, "b2", "core")
     append_batch(pairs(spark, a=1).where("false"), path, "b=1", "core")
     assert [r.batch_id for r in read_batches(spark, path).collect()] == ["b2"]
+
+
+def test_an_upsert_writes_the_source_once(spark, table):
+    table.overwrite(pairs(spark, a=1, b=1))
+    written = []
+    write = VersionedTable._write
+    table._write = lambda df: written.append((path := write(table, df), spark.read.parquet(path).count())) or path
+    table.upsert(pairs(spark, b=2, c=2, d=2), "k")
+    assert [n for _, n in written] == [3, 1]  # the batch, and of the table only what is kept
+    assert content(table.read()) == {"a": 1, "b": 2, "c": 2, "d": 2}
+    table.upsert(pairs(spark, d=3).withColumn("w", F.lit("x")), "k")
+    assert {(r.k, r.v, r.w) for r in table.read().collect()} == {("a", 1, None), ("b", 2, None), ("c", 2, None), ("d", 3, "x")}
+    table.upsert(pairs(spark, a=4).withColumn("v", F.col("v").cast("bigint")), "k")  # another type: written together
+    assert content(table.read().select("k", "v")) == {"a": 4, "b": 2, "c": 2, "d": 3}
+    assert dict(table.read().dtypes)["v"] == "bigint"
