@@ -15,9 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import pandas_udf
+from pyspark.sql import types as T
 
 from vigiltx.functions.ranks import dense_index
 from vigiltx.llm.common import CHUNK, WORD, let_through, mixed, parts, ship, squeezed, whole_groups
@@ -25,6 +26,8 @@ from vigiltx.sources.shared import materialize
 
 #: Phrases of one trigger that are compared in one task.
 MANY = 4096
+#: Texts that are cut at a time.
+ROWS = 256
 LAST = (1 << 63) - 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _TABLE = mixed(np.arange(1, 257, dtype=WORD) * WORD(0x9E3779B97F4A7C15))
@@ -88,17 +91,18 @@ def triggers(sums: np.ndarray, down: np.ndarray, n: int, rule: RepeatRule) -> tu
 def stretches(raws: list[bytes], rule: RepeatRule) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Texts put together: bytes, the text each byte is in, and its place there. Long texts come in pieces, which overlap
     so that every string is in one."""
+    size = CHUNK // 4  # some twenty numbers a byte are in memory at a time
     parts, owners, places, total = [], [], [], 0
     for i, raw in enumerate(raws):
         if len(raw) < rule.length:
             continue
-        for at in range(0, len(raw) - rule.length + 1, CHUNK):
-            piece = np.frombuffer(raw, np.uint8)[at : at + CHUNK + rule.length - 1]
+        for at in range(0, len(raw) - rule.length + 1, size):
+            piece = np.frombuffer(raw, np.uint8)[at : at + size + rule.length - 1]
             parts.append(piece)
             owners.append(np.full(len(piece), i, np.int64))
             places.append(at + np.arange(len(piece)))
             total += len(piece)
-            if total >= CHUNK or at + CHUNK < len(raw) - rule.length + 1:
+            if total >= size or at + size < len(raw) - rule.length + 1:
                 yield np.concatenate(parts), np.concatenate(owners), np.concatenate(places)
                 parts, owners, places, total = [], [], [], 0
     if parts:
@@ -298,24 +302,28 @@ def repeated_spans(docs: DataFrame, rule: RepeatRule = RepeatRule(), *, key: str
     spans = found.where("end is not null").select("doc", "start", "end").union(more)
     spans = materialize(spans.groupBy("doc").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")), "spans")
 
-    @pandas_udf("spans array<struct<start:long,end:long>>, kept binary, text string")
-    def cut(packed: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
-        spans, kept, whole = [], [], []
-        for p, s, e in zip(packed, starts, ends, strict=True):
-            raw = zlib.decompress(p)
-            s, e = (np.minimum(np.asarray([] if x is None else x, np.int64), len(raw)) for x in (s, e))
-            s, e = merged(s, e)
-            spans.append([{"start": int(a), "end": int(b)} for a, b in zip(s, e, strict=True)])
-            edges = [0, *(int(x) for pair in zip(s, e, strict=True) for x in pair), len(raw)]
-            kept.append(b"".join([raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]))
-            whole.append(raw.decode("utf-8", "surrogatepass"))
-        return pd.DataFrame({"spans": spans, "kept": kept, "text": whole})
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (whole.slice(a, ROWS) for whole in batches for a in range(0, whole.num_rows, ROWS)):
+            texts, kept, first, last = [], [], [], []
+            for p, s, e in zip(*(part.column(c).to_pylist() for c in ("_packed", "starts", "ends")), strict=True):
+                raw = zlib.decompress(p)
+                s, e = merged(*(np.minimum(np.asarray([] if x is None else x, np.int64), len(raw)) for x in (s, e)))
+                first.append(s)
+                last.append(e)
+                edges = [0, *np.column_stack([s, e]).ravel().tolist(), len(raw)]
+                kept.append(b"".join([raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]))
+                texts.append(raw.decode("utf-8", "surrogatepass"))
+            ends = np.concatenate([[0], np.cumsum([len(s) for s in first])]).astype(np.int32)
+            pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (first, last)], ["start", "end"])
+            columns = [part.column("_row"), pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(ends), pairs), pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["_row", "_text", "spans", "kept"])
 
     rows = let_through(rows, spans, "doc", F.col("doc"))
     packed = F.when(F.col("_text").isNotNull(), squeezed(F.col("_text").cast("string")))
     some = rows.where("_met and _text is not null").select("_row", "doc", packed.alias("_packed")).join(spans, "doc", "left")
-    some = some.withColumn("cut", cut("_packed", "starts", "ends")).select("_row", F.col("cut.text").alias("_text"), "cut.spans", "cut.kept")
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    made = T.StructType([some.schema["_row"], T.StructField("_text", T.StringType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("kept", T.BinaryType())])
+    some = some.select("_row", "_packed", "starts", "ends").mapInArrow(cut, made)
     rest = rows.where("not _met or _text is null").select("_row", F.col("_text").cast("string"), none.alias("spans"), F.encode(F.coalesce(F.col("_text").cast("string"), F.lit("")), "utf-8").alias("kept"))
     out = some.union(rest)
     fields = [c for c in docs.columns if c not in ("spans", "kept")]
