@@ -165,8 +165,12 @@ def test_characteristic_polynomial():
         a = draw.integers(-9, 9, (d + 2, d))
         m = (a.T @ a).tolist()
         p = whitening.characteristic(m)
-        want = np.poly(np.array(m, float))[::-1]
-        assert p == [round(c) for c in want]
+        # Faddeev and LeVerrier in whole numbers: coefficients of np.poly lose their last digits from 10^14 on.
+        exact, want, step = np.array(m, object), [1], np.zeros((d, d), object)
+        for k in range(1, d + 1):
+            step = exact @ step + want[0] * np.eye(d, dtype=object)
+            want.insert(0, -int(np.trace(exact @ step)) // k)
+        assert p == want
     # (t - 1)^2 (t - 4)^3 and its repeated part
     p = [round(c) for c in np.poly([1, 1, 4, 4, 4])[::-1]]
     assert whitening.repeated_part(p) == [round(c) for c in np.poly([1, 4, 4])[::-1]]
