@@ -214,6 +214,26 @@ def test_jaccard(spark, words, percent):
     assert sorted(tuple(r) for r in got) == brute_groups(rows, words, percent)
 
 
+def test_jaccard_texts_are_shuffled_once(spark, monkeypatch):
+    plans = {}
+
+    def written(df, name, write=jaccard.materialize):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(jaccard, "materialize", written)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = jaccard.similar_groups(spark.createDataFrame(corpus(), SCHEMA), jaccard.JaccardRule(3, 90)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == len(corpus())
+    first, last = plans["texts"]
+    # One side of the join are the texts; later bands hold texts back without a join.
+    assert first.count("Exchange hashpartitioning") == 2 and "Exchange hashpartitioning" not in last and "Join" not in last
+
+
 def test_jaccard_edges(docs, none):
     assert jaccard.similar_groups(none).count() == 0
     assert jaccard.similar_groups(docs).count() == len(corpus())

@@ -174,15 +174,16 @@ class _Corpus:
 
 def _texts_of(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(node, packed): one text of each wanted node; only texts that a sieve takes for wanted are shuffled."""
-    asked = materialize(wanted.join(nodes.select("node", "first"), "node"), "wanted")
+    asked = materialize(wanted.select("node").join(nodes.select("node", "first"), "node"), "wanted")
     rows = let_through(texts, asked, "first", F.col("id")).where("_met").select("id", squeezed("text").alias("packed"))
 
     @pandas_udf("long")
     def node_of(packed: pd.Series) -> pd.Series:
         return pd.Series([_node(shingles(zlib.decompress(x), words)) for x in packed], dtype=np.int64)
 
-    found = rows.join(asked, F.col("id") == F.col("first")).where(node_of("packed") == F.col("node"))
-    return materialize(found.select("node", "packed").dropDuplicates(["node"]), "texts")
+    # A node has one first id. Joined by both and taken once by both, texts are shuffled once.
+    found = rows.withColumn("node", node_of("packed")).join(asked.withColumnRenamed("first", "id"), ["node", "id"])
+    return materialize(found.dropDuplicates(["node", "id"]).select("node", "packed"), "texts")
 
 
 def _prefixes(texts: DataFrame, nodes: DataFrame, rule: JaccardRule) -> tuple[DataFrame, _Corpus]:
@@ -190,18 +191,20 @@ def _prefixes(texts: DataFrame, nodes: DataFrame, rule: JaccardRule) -> tuple[Da
     sets that may link.
 
     Shingles are in order of how many sets had them when their band was counted. That is a function of the shingle, and
-    a set left out of a count holds a whole prefix of shingles no other set has, so it links with nothing.
+    a set left out of a count holds a whole prefix of shingles no other set has, so it links with nothing. Some of
+    those sets may be counted all the same: their texts are held back by a sieve, not by a join, which would shuffle
+    the texts. ``active`` has the sets that may link and how many of their shingles so far are ``common``.
     """
-    low, rows, active, found = 0, None, nodes.select("node"), None
+    low, rows, active, found = 0, None, None, None
     for k, high in enumerate(rule.edges()):
         source = texts.select("text") if found is None else found.select(F.col("packed").alias("text"))
         met = materialize(_met(_band(source, rule, low, high)), "met")
-        rows = met if rows is None else rows.join(active, "node", "left_semi").select(met.columns).union(met)
-        common = rows.groupBy("node").agg(F.count("*").alias("common"))
-        sets = nodes.select("node", "n", "cuts").join(active, "node", "left_semi").join(common, "node", "left")
-        own = F.col("cuts")[k] - F.coalesce("common", F.lit(0))
-        active = materialize(sets.where(rule.short(F.col("n"), own)).select("node"), "active")
-        found = _texts_of(active, nodes, texts, rule.words) if found is None else found.join(active, "node", "left_semi")
+        rows = met if rows is None else rows.union(met)
+        sets = nodes.select("node", "n", "cuts", F.lit(0).alias("common")) if active is None else nodes.select("node", "n", "cuts").join(active, "node")
+        sets = sets.join(met.groupBy("node").agg(F.count("*").alias("more")), "node", "left")
+        sets = sets.withColumn("common", F.col("common") + F.coalesce("more", F.lit(0)))
+        active = materialize(sets.where(rule.short(F.col("n"), F.col("cuts")[k] - F.col("common"))).select("node", "common"), "active")
+        found = _texts_of(active, nodes, texts, rule.words) if found is None else let_through(found, active, "node", F.col("node")).where("_met").drop("_met")
         low = high
     whole = Window.partitionBy("node")
     pos = F.col("n") - F.count("*").over(whole) + F.row_number().over(whole.orderBy("times", "token")) - 1
