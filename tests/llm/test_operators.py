@@ -48,6 +48,19 @@ def none(docs):
     return docs.where("false")
 
 
+def test_language_holds_a_few_pieces_at_a_time():
+    taken = []
+
+    def texts():
+        for i in range(6):
+            taken.append(i)
+            yield "ab " * (langid.CHUNK // 4)
+
+    groups = langid.together(texts(), (3, 4))
+    assert list(next(groups)[0]) == [0] and len(taken) <= 2
+    assert [list(to) for to, _, _ in groups] == [[i] for i in range(1, 6)]
+
+
 def test_language(spark, docs, none):
     found = langid.identify(docs, langid.held_out(F.col("doc_id")))
     assert set(found.columns) == set(docs.columns) | {"lang_pred", "score"}
@@ -164,7 +177,6 @@ def test_pieces(docs, none):
 
 def test_pairs_of_pieces_are_told_by_their_merges(monkeypatch):
     """Each pair is answered from the merges of its two pieces, in a memory of fixed size."""
-    monkeypatch.setattr(sentence_pieces, "PAIRS", 50)
     monkeypatch.setattr(sentence_pieces, "SLOTS", 16)
     monkeypatch.setattr(sentence_pieces, "REMEMBERED", 100)
     own = sentence_pieces.Vocabulary(sentence_pieces._content(sentence_pieces.MODEL))
@@ -178,7 +190,7 @@ def test_pairs_of_pieces_are_told_by_their_merges(monkeypatch):
         got = own.encode(texts)
         assert [x.tolist() for x in got] == [own.model.encode(t or "") for t in texts]
         assert [own.decode(x) for x in got] == [own.model.decode(x.tolist()) for x in got]
-    assert len(own.pairs) <= 50
+    assert len(own.slots) == 16
 
 
 def brute_groups(rows, words, percent):
@@ -230,6 +242,8 @@ def test_jaccard_texts_are_shuffled_once(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(got) == len(corpus())
     first, last = plans["texts"]
+    # One Python worker a task reads the texts.
+    assert first.count("MapInArrow") == 1 and "ArrowEvalPython" not in first
     # One side of the join are the texts; later bands hold texts back without a join.
     assert first.count("Exchange hashpartitioning") == 2 and "Exchange hashpartitioning" not in last and "Join" not in last
 

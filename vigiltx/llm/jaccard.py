@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from vigiltx.llm.common import CHUNK, WORD, components, let_through, parts, shingles, ship, squeezed, without
+from vigiltx.llm.common import CHUNK, WORD, components, let_through, parts, shingles, ship, sieve, sieved, without
 from vigiltx.sources.shared import materialize
 
 BLOCK = 256
@@ -175,14 +175,22 @@ class _Corpus:
 def _texts_of(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(node, packed): one text of each wanted node; only texts that a sieve takes for wanted are shuffled."""
     asked = materialize(wanted.select("node").join(nodes.select("node", "first"), "node"), "wanted")
-    rows = let_through(texts, asked, "first", F.col("id")).where("_met").select("id", squeezed("text").alias("packed"))
-
-    @pandas_udf("long")
-    def node_of(packed: pd.Series) -> pd.Series:
-        return pd.Series([_node(shingles(zlib.decompress(x), words)) for x in packed], dtype=np.int64)
+    bits = texts.sparkSession.sparkContext.broadcast(sieve(asked, F.xxhash64("first")))
+    kind = texts.schema["id"].dataType.simpleString()
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # In one pass, so that a task needs one worker; a few texts at a time.
+        for batch in batches:
+            batch = batch.filter(pa.array(sieved(batch.column("hash").to_numpy(), bits.value)))
+            for part in (batch.slice(a, 500) for a in range(0, batch.num_rows, 500)):
+                raw = [(t or "").encode("utf-8", "surrogatepass") for t in part.column("text").to_pylist()]
+                nodes = pa.array([_node(shingles(t, words)) for t in raw], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("id"), nodes, pa.array([zlib.compress(t, 1) for t in raw], pa.binary())], ["id", "node", "packed"])
+
+    rows = texts.where("id is not null").select("id", "text", F.xxhash64("id").alias("hash"))
+    rows = rows.mapInArrow(read, f"id {kind}, node long, packed binary")
     # A node has one first id. Joined by both and taken once by both, texts are shuffled once.
-    found = rows.withColumn("node", node_of("packed")).join(asked.withColumnRenamed("first", "id"), ["node", "id"])
+    found = rows.join(asked.withColumnRenamed("first", "id"), ["node", "id"])
     return materialize(found.dropDuplicates(["node", "id"]).select("node", "packed"), "texts")
 
 

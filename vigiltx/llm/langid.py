@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from vigiltx.llm.common import CHUNK, WORD, carried, chunks, mixed, number, ship, smallest, uncarried
+from vigiltx.llm.common import CHUNK, WORD, carried, mixed, number, ship, smallest, uncarried
 
 UNKNOWN = "und"
 _letters: np.ndarray | None = None
@@ -99,9 +100,15 @@ def grams(texts: list[str], sizes: tuple[int, ...], seen: np.ndarray) -> tuple[n
 
 def together(texts: list[str], sizes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray]]:
     """Pieces in groups of a bounded size: the text of each, the pieces, and how much of each was seen."""
-    cut = list(pieces(texts, sizes))
-    for a, b in chunks(np.fromiter((len(t) for _, t, _ in cut), np.int64, len(cut))):
-        yield np.array([i for i, _, _ in cut[a:b]], np.int64), [t for _, t, _ in cut[a:b]], np.array([n for _, _, n in cut[a:b]], np.int64)
+    held: list[tuple[int, str, int]] = []
+    total = 0
+    for piece in chain(pieces(texts, sizes), [None]):
+        if held and (piece is None or total + len(piece[1]) > CHUNK):
+            yield np.array([i for i, _, _ in held], np.int64), [t for _, t, _ in held], np.array([n for _, _, n in held], np.int64)
+            held, total = [], 0
+        if piece is not None:
+            held.append(piece)
+            total += len(piece[1])
 
 
 def rows_of(hashes: np.ndarray, bits: int, probes: int) -> Iterator[np.ndarray]:

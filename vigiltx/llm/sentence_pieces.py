@@ -26,8 +26,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Words that a worker remembers; beyond it starts anew.
 REMEMBERED = 150_000
-#: Pairs of pieces that a worker remembers, and the slots in which they are looked up first; two pairs may share one.
-PAIRS, SLOTS = 1 << 19, 1 << 20
+#: Slots for the pairs of pieces that a worker remembers; of two that share one, the later one stays.
+SLOTS = 1 << 21
 _vocabularies: dict[int, Vocabulary] = {}
 
 
@@ -63,7 +63,6 @@ class Vocabulary:
                 self.raw[i] = b""
             elif m.is_unknown(i):
                 self.raw[i] = " ⁇ ".encode()
-        self.pairs: dict[int, bool] = {}
         #: In each slot a pair and, as its last bit, whether merging leaves it as it is.
         self.slots = np.full(SLOTS, -1, np.int64)
         reached = [i for i in own if self.merged(self.piece[i]) == [self.piece[i]]]
@@ -124,20 +123,12 @@ class Vocabulary:
         new = np.flatnonzero(held >> 1 != keys)
         if len(new):
             every, back = np.unique(keys[new], return_inverse=True)
-            found = np.fromiter(map(self.stays, every.tolist()), bool, len(every))
+            piece, n = self.piece, len(self.piece)
+            found = np.array([self.parted(piece[key // n], piece[key % n]) for key in every.tolist()], bool)
             ok[new] = found[back]
             self.slots[slot[new]] = keys[new] << 1 | ok[new]
         return ok
 
-    def stays(self, key: int) -> bool:
-        known, n = self.pairs, len(self.piece)
-        ok = known.get(key)
-        if ok is None:
-            if len(known) >= PAIRS:
-                known.clear()
-            ok = known[key] = self.parted(self.piece[key // n], self.piece[key % n])
-        return ok
-
     def parted(self, a: str, b: str) -> bool:
         """Whether merging ``a + b`` gives ``a`` and ``b``: the merges that made the two are undone, the last one first.
 
