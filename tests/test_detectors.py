@@ -65,6 +65,22 @@ def test_sessions_share_one_read(spark, tmp_path):
     assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
 
 
+def test_sessions_are_chained_in_all_shuffle_partitions(spark):
+    """Adaptive execution would put all these pieces together in one task."""
+    rows, tx = random_tx(spark, 2)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        sessions = detectors.burst_sessions(tx, 600)
+        plan = executed_plan(sessions)
+        got = {(r.customer_id, r.started_at, r.ended_at, r.events, r.amount) for r in sessions.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == sessions_by_hand(rows, 600)
+    dealt = [line for line in plan.splitlines() if " Exchange hashpartitioning(customer_id" in line and "REPARTITION_BY_NUM" in line and "Reused" not in line]
+    assert len(dealt) == 2 and all(", 7), " in line for line in dealt)
+
+
 def test_near_duplicates(spark):
     def at(second):
         return f"2026-09-01 12:00:{second:02d}"
