@@ -3,7 +3,8 @@ from builders import bronze, by_key, customers
 from conftest import executed_plan
 from pyspark.sql import functions as F
 
-from vigiltx.operators.clean import clean_customers, clean_transactions
+from vigiltx.operators import clean
+from vigiltx.operators.clean import clean_customers, clean_stored, clean_transactions, repeated_keys
 from vigiltx.schema import CUSTOMERS, adopt, publish
 
 
@@ -87,6 +88,24 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert cleaned.count() == 1
 
 
+@pytest.mark.parametrize("words", [1, 1 << 20])
+def test_stored_rows_are_cleaned_alike_and_lone_ones_not_shuffled(spark, tmp_path, monkeypatch, words):
+    monkeypatch.setattr(clean, "KEY_WORDS", words)
+    rows = [{"tx_id": f"k{i % 450}", "amount_usd": i + 1.0} for i in range(500)]
+    rows += [{"tx_id": None}, {"tx_id": "k449", "amount_usd": None}, {"tx_id": "void", "amount_usd": 0.0}]
+    made = bronze(spark, rows).withColumn("batch_id", F.when(F.col("amount_usd") % 2 == 0, "2").otherwise("1"))
+    made.repartition(5).write.parquet(str(tmp_path / "bronze"))
+    stored = spark.read.parquet(str(tmp_path / "bronze"))
+    bits = repeated_keys(stored).persist()
+    got, want = clean_stored(stored, bits, "batch_id"), clean_transactions(stored, "batch_id")
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 450
+    met = F.coalesce(F.col("_bits").bitwiseAND(clean._bit(clean._hashed())), F.lit(0).cast("long")) != 0
+    marked = stored.join(bits, clean._word(clean._hashed()) == F.col("_word"), "left")
+    shuffled = [r.tx_id for r in marked.filter(met).filter("amount_usd > 0").collect()]
+    assert set(shuffled) >= {f"k{i}" for i in range(50)} and (len(shuffled) == 100 or words == 1)
+
+
 def test_published_names_round_trip(spark):
     clean = clean_transactions(bronze(spark, [{}]))
     published = publish(clean.drop("tx_ts"))

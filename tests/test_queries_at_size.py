@@ -1,9 +1,12 @@
 """Queries that feed several batches take them from rows joined and cleaned once, in files of bounded size."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from harness import registry
+from vigiltx.sources.shared import shared_folder
 from vigiltx.sources.tables import VersionedTable
 
 
@@ -48,6 +51,14 @@ def test_batches_read_bronze_that_is_written(spark, sf, monkeypatch, name):
     assert len(plans) >= 2 and not any("Join" in plan for plan in plans)
 
 
+def test_regrouped_batches_leave_no_copy_of_bronze(spark, sf):
+    shared = os.path.join(shared_folder(spark).removeprefix("file:"), "vigiltx")
+    before = set(os.listdir(shared)) if os.path.exists(shared) else set()
+    assert registry.QUERIES["incremental_regrouped"](spark, sf).count() > 300
+    assert {n.split("-")[0] for n in set(os.listdir(shared)) - before} == {"bronze", "regrouped"}
+    assert not [n for n in set(os.listdir(shared)) - before if n.startswith("bronze-rows")]
+
+
 def test_streamed_files_have_as_many_parts_as_their_rows_need(spark, sf, monkeypatch):
     found = []
     stream = registry.stream_silver

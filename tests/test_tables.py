@@ -1,3 +1,7 @@
+import os
+import random
+import shutil
+import time
 from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
@@ -9,7 +13,8 @@ from pyspark.sql import functions as F
 from vigiltx.config import ModelConfig, MonitorConfig
 from vigiltx.plans.layers import refresh_gold, refresh_silver
 from vigiltx.schema import ALERT_COLUMNS, CUSTOMERS, PROFILE_COLUMNS, PUBLISHED, SILVER_COLUMNS, publish
-from vigiltx.sources.shared import shared_folder
+from vigiltx.sources import tables
+from vigiltx.sources.shared import SHUFFLE_CLEANUP, lent, shared_folder
 from vigiltx.sources.tables import (
     ConcurrentWriteError, PartitionedTable, RepeatedKeyError, VersionedTable, append_batch,
     read_batches, write_partitioned,
@@ -326,3 +331,110 @@ def test_an_upsert_writes_the_source_once(spark, table):
     table.upsert(pairs(spark, a=4).withColumn("v", F.col("v").cast("bigint")), "k")  # another type: written together
     assert content(table.read().select("k", "v")) == {"a": 4, "b": 2, "c": 2, "d": 3}
     assert dict(table.read().dtypes)["v"] == "bigint"
+
+
+def test_an_upsert_shares_folders_that_no_row_goes_from(spark, table, monkeypatch):
+    table.upsert(pairs(spark, a=1, b=1), "k")
+    table.upsert(pairs(spark, c=1), "k")
+    one, two = table._live()["data"]
+    table.upsert(pairs(spark, b=2).withColumn("w", F.lit("x")), "k")
+    data = table._live()["data"]
+    assert two in data and one not in data and len(data) == 3
+    assert {(r.k, r.v, r.w) for r in table.read().collect()} == {("a", 1, None), ("b", 2, "x"), ("c", 1, None)}
+    table.upsert(pairs(spark, d=1), "k", gone=F.col("w") == "x", beaten=F.col("v") > 1)
+    assert data[0] in table._live()["data"] and content(table.read().select("k", "v")) == {"a": 1, "c": 1, "d": 1}
+    monkeypatch.setattr(tables, "MOST_FOLDERS", 3)
+    table.upsert(pairs(spark, a=5), "k", beaten=F.col("v") < 5)
+    assert len(table._live()["data"]) == 2  # what was kept of all folders, and the batch
+    assert content(table.read().select("k", "v")) == {"a": 5, "c": 1, "d": 1}
+
+
+def test_gone_rows_leave_a_partitioned_table(spark, tmp_path):
+    parts = PartitionedTable(spark, str(tmp_path / "parts"), "v")
+    parts.overwrite(pairs(spark, a=1, b=1, c=2, d=3))
+    parts.upsert(pairs(spark, e=4), "k", gone=F.col("k").isin("b", "d"))
+    assert content(parts.read()) == {"a": 1, "c": 2, "e": 4}
+
+
+def shuffle_files(spark) -> int:
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().toList()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_writes_give_their_shuffle_files_back(spark, tmp_path, table):
+    def write(df, n):
+        append_batch(df, str(tmp_path / "bronze"), str(n), "core")
+        table.overwrite(df)
+        with lent(df, "for-now") as written:
+            assert len(written.collect()) == 7
+
+    before, files = spark.conf.get(SHUFFLE_CLEANUP), shuffle_files(spark)
+    for n in range(3):
+        write(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), n)
+    until = time.time() + 20  # executors are told, not waited for
+    while shuffle_files(spark) > files and time.time() < until:
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= files and spark.conf.get(SHUFFLE_CLEANUP) == before
+
+
+def test_a_load_leaves_no_temporary_table(spark, tmp_path, table):
+    path, shared = str(tmp_path / "bronze"), os.path.join(shared_folder(spark).removeprefix("file:"), "vigiltx")
+    os.makedirs(shared, exist_ok=True)
+    before = set(os.listdir(shared))
+    for batch_id, ids in (("2", "ab"), ("1", "bc"), ("1", "cd")):
+        append_batch(bronze(spark, [{"tx_id": k} for k in ids]), path, batch_id, "core")
+        load_new_batches(spark, path, table)
+    table.upsert(table.read(), "tx_id", newest_by="batch_id")
+    assert set(os.listdir(shared)) == before
+    with pytest.raises(RuntimeError), lent(table.read(), "for-now"):
+        assert set(os.listdir(shared)) != before
+        raise RuntimeError
+    assert set(os.listdir(shared)) == before
+
+
+def test_a_late_batch_does_not_read_the_others(spark, tmp_path, table):
+    path = str(tmp_path / "bronze")
+    for batch_id, ids in (("1", "ab"), ("4", "bc")):
+        append_batch(bronze(spark, [{"tx_id": k} for k in ids]).coalesce(1), path, batch_id, "core")
+        load_new_batches(spark, path, table)
+    for file in (tmp_path / "bronze").glob("*/*.parquet"):
+        at = file.stat()
+        file.write_bytes(b"?" * at.st_size)  # as large and as old, so the batch counts as loaded
+        os.utime(file, ns=(at.st_atime_ns, at.st_mtime_ns))
+    append_batch(bronze(spark, [{"tx_id": k} for k in "abd"]), path, "3", "core")
+    load_new_batches(spark, path, table)
+    assert {(r.tx_id, r.batch_id) for r in table.read().collect()} == {("a", "3"), ("b", "4"), ("c", "4"), ("d", "3")}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_batches_late_corrected_and_gone_give_what_one_load_gives(spark, tmp_path, table, seed):
+    path, draw = str(tmp_path / "bronze"), random.Random(seed)
+    # Empty amounts are unusable rows, which must not hide those of older batches.
+    for step in range(7):
+        for batch_id in draw.sample("12345", draw.choice((1, 1, 2))):
+            if draw.random() < 0.25:
+                shutil.rmtree(f"{path}/batch_id={batch_id}", ignore_errors=True)
+                continue
+            keys = [draw.choice("abcdefgh") for _ in range(draw.randint(0, 6))]
+            rows = [{"tx_id": k, "amount_usd": draw.choice((1.0, 2.0, 3.0, None))} for k in [*keys, "a", None]]
+            append_batch(bronze(spark, rows), path, batch_id, f"run {step}")
+        load_new_batches(spark, path, table)
+        if os.path.exists(path) and os.listdir(path):
+            whole = VersionedTable(spark, str(tmp_path / f"whole-{step}"))
+            load_new_batches(spark, path, whole)
+            rows, want = (
+                sorted((r.tx_id, r.amount_usd, r.batch_id, r.source_system) for r in t.read().collect()) for t in (table, whole)
+            )
+            assert rows == want
+
+
+def test_rows_that_no_load_put_there_are_taken_anew(spark, tmp_path, table):
+    path = str(tmp_path / "bronze")
+    append_batch(bronze(spark, [{"tx_id": "a"}, {"tx_id": "b"}]), path, "2", "core")
+    load_new_batches(spark, path, table)
+    by_hand = table.read().withColumn("amount_usd", F.lit(9.0)).withColumn("batch_id", F.lit(None).cast("string"))
+    table.upsert(by_hand.unionByName(by_hand.filter("tx_id = 'a'").withColumn("tx_id", F.lit("c"))), "tx_id")
+    append_batch(bronze(spark, [{"tx_id": "a", "amount_usd": 5.0}]), path, "1", "core")
+    load_new_batches(spark, path, table)
+    got = {(r.tx_id, r.amount_usd, r.batch_id) for r in table.read().collect()}
+    assert got == {("a", 1.0, "2"), ("b", 9.0, None), ("c", 9.0, None)}

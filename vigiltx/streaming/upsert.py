@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from vigiltx.operators.clean import clean_transactions
+from vigiltx.operators.clean import clean_stored, clean_transactions, repeated_keys
 from vigiltx.schema import BRONZE_TRANSACTIONS, PUBLISHED, SILVER_COLUMNS, adopt_bronze
-from vigiltx.sources.shared import materialize
+from vigiltx.sources.shared import lent
 from vigiltx.sources.tables import VersionedTable, batch_folder, batch_states, read_batches
 
 # Which file a silver row came from, in the order files were written: time, then path.
@@ -105,9 +105,10 @@ def load_new_batches(spark: SparkSession, bronze_path: str, silver: VersionedTab
     """Bring the table to what a load of all bronze batches gives, from those that are new or changed.
 
     The table keeps the state of each batch. Batches later than all loaded ones are
-    upserted. If one comes late, was run again or is gone, the keys it holds and those
-    whose row is from its earlier run are taken from all batches anew, the newest
-    batch's row first. Batches may have published or own column names; new columns are
+    upserted. One that comes late goes in where the table has no row of a newer batch. If
+    one was run again or is gone, rows of its earlier run leave the table, and their keys
+    are taken from what is new and from batches older than it; newer ones have none of
+    them. Batches may have published or own column names; new columns are
     looked for in the new batches alone, those of older ones are known from the table.
     """
     found, loaded, exists = batch_states(spark, bronze_path), silver.batches(), silver.exists()
@@ -123,13 +124,47 @@ def load_new_batches(spark: SparkSession, bronze_path: str, silver: VersionedTab
     every = every.filter(F.col("batch_id").isin(sorted(found)))
     fresh, mark = every.filter(F.col("batch_id").isin(sorted(new))), max(found)
     if not again and (not loaded or min(new) > max(loaded)):
-        rows = clean_transactions(fresh, newest_by="batch_id")
-        return silver.upsert(rows, "tx_id", mark=mark, batches=found)
+        with lent(repeated_keys(fresh), "repeated") as repeated:
+            rows = clean_stored(fresh, repeated, newest_by="batch_id")
+            return silver.upsert(rows, "tx_id", mark=mark, batches=found)
     before = silver.read()
+    if not _all_loaded(before, loaded):
+        return _take_anew(every, fresh, before, again, silver, mark, found)
+    changed, unchanged = F.col("batch_id").isin(sorted(again)), sorted(found.keys() - new)
+    rows, older = fresh, [b for b in unchanged if again and b < max(again)]
+    if older:
+        lost = before.filter(changed).select(F.col("tx_id").alias("_key"), F.col("batch_id").alias("_lost"))
+        rows = every.filter(F.col("batch_id").isin(older))
+        rows = rows.join(lost, (F.col("tx_id") == F.col("_key")) & (F.col("batch_id") < F.col("_lost")), "left_semi")
+        rows = fresh.unionByName(rows)
+    rows = clean_transactions(rows, newest_by="batch_id")
+    ahead = [b for b in unchanged if new and b > min(new)]
+    if ahead:
+        there = before.filter(F.col("batch_id").isin(ahead)).select(F.col("tx_id").alias("_key"), F.col("batch_id").alias("_there"))
+        rows = rows.join(there, (F.col("tx_id") == F.col("_key")) & (F.col("_there") > F.col("batch_id")), "left_anti")
+    # No row of a newer batch is left beside one of the source.
+    beaten = F.col("batch_id") < max(new) if new and unchanged and min(unchanged) < max(new) else F.lit(False)
+    silver.upsert(rows, "tx_id", mark=mark, batches=found, gone=changed if again else None, beaten=beaten)
+
+
+def _all_loaded(silver: DataFrame, loaded: dict[str, str]) -> bool:
+    """Whether every row tells which of the loaded batches it is from."""
+    if "batch_id" not in silver.columns:
+        return False
+    known = F.col("batch_id").isin(sorted(loaded))
+    return silver.filter(~F.coalesce(known, F.lit(False))).isEmpty()
+
+
+def _take_anew(
+    every: DataFrame, fresh: DataFrame, before: DataFrame, again: set[str],
+    silver: VersionedTable, mark: str, found: dict[str, str],
+) -> None:
+    """For a table with rows that no load put there: keys of the new batches, and those
+    whose row is from an earlier run, are taken from all batches."""
     keys = fresh.select("tx_id")
     if "batch_id" in before.columns:
         stale = before.filter(F.col("batch_id").isin(sorted(again)))
         keys = keys.union(stale.select("tx_id"))
-    keys = materialize(keys.filter("tx_id IS NOT NULL").distinct(), "changed")
-    rows = clean_transactions(every.join(keys, "tx_id", "left_semi"), newest_by="batch_id")
-    silver.upsert(rows, "tx_id", mark=mark, batches=found, replaced=keys)
+    with lent(keys.filter("tx_id IS NOT NULL").distinct(), "changed") as keys:
+        rows = clean_transactions(every.join(keys, "tx_id", "left_semi"), newest_by="batch_id")
+        silver.upsert(rows, "tx_id", mark=mark, batches=found, replaced=keys)
